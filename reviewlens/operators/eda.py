@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text as X
+from reviewlens.functions.columns import with_computed
 from reviewlens.functions.labels import sentiment
 from reviewlens.operators import clean as C
 from reviewlens.operators import rank as R
@@ -196,7 +197,7 @@ def vocab_stats(work: DataFrame, text_col: str = "clean_text") -> DataFrame:
 def ngram_counts(work: DataFrame, n: int, text_col: str = "clean_text", by: list[str] | None = None) -> DataFrame:
     # Tokens get their own projection: ngrams() reads the array several times
     # and Catalyst keeps a multiply-referenced expensive column materialised.
-    toks = work.select(*(by or []), X.word_tokens(F.col(text_col)).alias("_toks"))
+    toks = with_computed(work.select(*(by or []), text_col), _toks=X.word_tokens(F.col(text_col)))
     return (toks.select(*(by or []), F.explode(X.ngrams("_toks", n)).alias("ngram"))
             .groupBy(*(by or []), "ngram").agg(F.count(F.lit(1)).alias("cnt")))
 
@@ -218,8 +219,8 @@ def _tag(n: int):
 def top_ngrams_by_class(work: DataFrame, ns=(1, 2), k: int = 5, text_col: str = "clean_text",
                         sentiment_col: str = "sentiment") -> DataFrame:
     """A-12 + W-01: per class and n, the k most frequent n-grams, all n in one pass."""
-    toks = (work.where(F.col(sentiment_col).isNotNull())
-            .select(sentiment_col, X.word_tokens(F.col(text_col)).alias("_toks")))
+    toks = with_computed(work.where(F.col(sentiment_col).isNotNull()).select(sentiment_col, text_col),
+                         _toks=X.word_tokens(F.col(text_col)))
     grams = F.concat(*[F.transform(X.ngrams("_toks", n), _tag(n)) for n in ns])
     counts = (toks.select(sentiment_col, F.inline(grams))
               .groupBy(sentiment_col, "n", F.col("g").alias("ngram")).agg(F.count(F.lit(1)).alias("cnt")))

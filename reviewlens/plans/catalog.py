@@ -221,3 +221,154 @@ def split_stratified(spark, sf):
 @query
 def kfold(spark, sf):
     return R.kfold(labelled(spark, sf).select("doc_id", "y"), "doc_id", "y", 5)
+
+
+# ------------------------------------------------------------------ evaluation
+from reviewlens.operators import metrics as M  # noqa: E402
+
+
+def scored(spark, sf):
+    return V.scored(spark, sf)
+
+
+def model_results(spark, sf):
+    """V5: V3 metrics per language; language stands for the model."""
+    m = M.metrics_basic(scored(spark, sf), by=["lang"])
+    rep = F.when(F.col("lang").isin("en", "fr"), "classical").otherwise("deep")
+    return m.select(F.col("lang").alias("model"), rep.alias("representation"), "accuracy", "macro_f1",
+                    F.lit(0.0).alias("train_time"),
+                    *[F.round(f"f1_class_{c}", 4).alias(f"f1_class_{c}") for c in range(3)])
+
+
+@query
+def metrics_basic(spark, sf):
+    return M.metrics_basic(scored(spark, sf))
+
+
+@query
+def metrics_full(spark, sf):
+    s = scored(spark, sf)
+    auc = M.roc_auc(s).where(F.col("cls") == "macro").select("auc").scalar()
+    return M.summary(s).select(F.round("accuracy", 6).alias("accuracy"),
+                               F.round("precision_macro", 6).alias("precision_macro"),
+                               F.round("recall_macro", 6).alias("recall_macro"),
+                               F.round("macro_f1", 6).alias("f1_macro"), auc.alias("roc_auc"))
+
+
+@query
+def class_report(spark, sf):
+    return M.class_report(scored(spark, sf))
+
+
+@query
+def error_count(spark, sf):
+    return scored(spark, sf).agg(F.count_if(F.col("y_true") != F.col("y_pred")).alias("n_errors"))
+
+
+@query
+def confusion(spark, sf):
+    return M.confusion(scored(spark, sf))
+
+
+@query
+def confusion_norm(spark, sf):
+    return M.confusion(scored(spark, sf), normalize=True)
+
+
+@query
+def roc_curve(spark, sf):
+    return M.roc_curve(scored(spark, sf))
+
+
+@query
+def roc_auc(spark, sf):
+    return M.roc_auc(scored(spark, sf))
+
+
+@query
+def error_samples(spark, sf):
+    return M.error_samples(scored(spark, sf))
+
+
+@query
+def error_stats(spark, sf):
+    return M.error_stats(scored(spark, sf))
+
+
+@query
+def regression_metrics(spark, sf):
+    return M.regression_metrics(V.scored_reg(spark, sf))
+
+
+@query
+def pred_vs_actual(spark, sf):
+    return M.pred_vs_actual(V.scored_reg(spark, sf)).withColumnRenamed("bx", "bin_true").withColumnRenamed("by", "bin_pred")
+
+
+@query
+def results_table(spark, sf):
+    return model_results(spark, sf).drop("train_time")
+
+
+@query
+def comparison(spark, sf):
+    r = model_results(spark, sf)
+    kind = F.when(F.col("representation") == "classical", "Classical ML").otherwise("Deep Learning")
+    return (r.select(kind.alias("model_type"), F.coalesce("model", F.lit("Unknown")).alias("model"),
+                     F.coalesce("representation", F.lit("Unknown")).alias("representation"),
+                     F.coalesce("accuracy", F.lit(0.0)).alias("accuracy"),
+                     F.coalesce("macro_f1", F.lit(0.0)).alias("macro_f1"),
+                     F.coalesce("train_time", F.lit(0.0)).alias("train_time"))
+            .orderBy(F.col("macro_f1").desc(), "model"))
+
+
+@query
+def best_models(spark, sf):
+    return (model_results(spark, sf).orderBy(F.col("macro_f1").desc(), "model", "representation").limit(5)
+            .select("model", "representation", "accuracy", "macro_f1"))
+
+
+@query
+def best_lift(spark, sf):
+    """A-17 / A-18 / E-14 / J-08: best row, table aggregates and the deep-over-classical lift."""
+    r = model_results(spark, sf)
+    best = r.orderBy(F.col("macro_f1").desc(), "model").limit(1)
+    best_model = best.select("model").scalar()
+    best_cls = r.where(F.col("representation") == "classical").agg(F.max("macro_f1")).scalar()
+    best_deep = r.where(F.col("representation") == "deep").agg(F.max("macro_f1")).scalar()
+    return r.agg(F.max("accuracy").alias("best_accuracy"), F.max("macro_f1").alias("best_macro_f1"),
+                 F.avg("train_time").alias("mean_train_time")).select(
+        best_model.alias("best_model"), "best_accuracy", "best_macro_f1", "mean_train_time",
+        F.round((best_deep - best_cls) * 100, 4).alias("lift_pp"))
+
+
+@query
+def baseline_majority(spark, sf):
+    """A-15 / M-11: majority class of the train split predicted for the test split."""
+    sp = R.split_exact(labelled(spark, sf).select("doc_id", "y"), "doc_id")
+    maj = (sp.where(F.col("split") == "train").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.col("n").desc(), "y").limit(1).select("y").scalar())
+    test = sp.where(F.col("split") == "test").select(F.col("y").alias("y_true"), maj.alias("y_pred"))
+    m = M.metrics_basic(test)
+    return m.select(maj.alias("majority_class"), "accuracy", "macro_f1")
+
+
+@query
+def baseline_mean(spark, sf):
+    """A-16 / M-13: mean train value predicted for every test event; RMSE and MAE."""
+    ev = V.table(spark, sf, "events").select("event_id", "value")
+    sp = R.split_exact(ev, "event_id")
+    mean = sp.where(F.col("split") == "train").agg(F.avg("value")).scalar()
+    test = sp.where(F.col("split") == "test").select(F.col("value").alias("y_true"), mean.alias("y_pred"))
+    m = M.regression_metrics(test)
+    return m.select(F.round(mean, 6).alias("train_mean"), "rmse", "mae")
+
+
+@query
+def label_encode(spark, sf):
+    """X-10 / U-04: class names -> codes in sorted order (StringIndexer, alphabetAsc)."""
+    from pyspark.ml.feature import StringIndexer
+    from reviewlens.functions.labels import class_name
+    v = labelled(spark, sf).select("doc_id", class_name(F.col("y")).alias("label"))
+    model = StringIndexer(inputCol="label", outputCol="_code", stringOrderType="alphabetAsc").fit(v)
+    return model.transform(v).select("doc_id", "label", F.col("_code").cast("int").alias("code"))

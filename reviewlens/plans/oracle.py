@@ -210,3 +210,161 @@ select doc_id, y, case when rk <= round_even(n * 0.1, 0) then 'holdout' else 'tr
 SQL["kfold"] = f"""
 with v as {V2}
 select doc_id, y, cast(({rank_sql('doc_id', partition='y')} - 1) % 5 as integer) as fold from v"""
+
+# ---------------------------------------------------------------------------- evaluation
+
+
+def per_class_sql(src: str, by: str = "") -> str:
+    """CTE body list: cm, pcr, pc, pm over a (by.., y_true, y_pred) source."""
+    g = f"{by}, " if by else ""
+    return f"""cm as (select {g}y_true, y_pred, count(*) as cnt from {src} group by all),
+pcr as (select {g}y_true as cls, case when y_true = y_pred then cnt else 0 end as tp, cnt as sup, 0 as prd from cm
+        union all select {g}y_pred, 0, 0, cnt from cm),
+pc as (select {g}cls, sum(tp) as tp, sum(sup) as support, sum(prd) as predicted from pcr group by all),
+pm as (select {g}cls, tp, support, predicted,
+  case when predicted > 0 then tp / predicted else 0.0 end as precision,
+  case when support > 0 then tp / support else 0.0 end as recall,
+  case when support + predicted > 0 then 2.0 * tp / (support + predicted) else 0.0 end as f1 from pc)"""
+
+
+def metrics_basic_sql(src: str, by: str = "", digits: int = 6) -> str:
+    g = f"{by}, " if by else ""
+    return f"""with {per_class_sql(src, by)}
+select {g}round(sum(tp) / sum(support), {digits}) as accuracy, round(avg(f1), {digits}) as macro_f1,
+  round(max(case when cls = 0 then f1 end), {digits}) as f1_class_0,
+  round(max(case when cls = 1 then f1 end), {digits}) as f1_class_1,
+  round(max(case when cls = 2 then f1 end), {digits}) as f1_class_2
+from pm {'group by ' + by if by else ''}"""
+
+
+ONE_VS_REST = f"""ex as (select 0 as cls, p0 as score, case when y_true = 0 then 1 else 0 end as pos from {V3}
+  union all select 1, p1, case when y_true = 1 then 1 else 0 end from {V3}
+  union all select 2, p2, case when y_true = 2 then 1 else 0 end from {V3}),
+agg as (select cls, score, sum(pos) as pos, sum(1 - pos) as neg from ex group by all)"""
+
+AUC_SQL = f"""with {ONE_VS_REST},
+cum as (select cls, score, pos, neg,
+  sum(neg) over (partition by cls order by score rows between unbounded preceding and current row) as neg_le from agg),
+per as (select cast(cls as varchar) as cls,
+  case when sum(pos) > 0 and sum(neg) > 0 then sum(pos * (neg_le - 0.5 * neg)) / (sum(pos) * sum(neg)) end as auc
+  from cum group by cls)
+select cls, round(auc, 6) as auc from per
+union all select 'macro', round(case when count(auc) = count(*) then avg(auc) end, 6) from per"""
+
+V5 = f"""(select lang as model, case when lang in ('en', 'fr') then 'classical' else 'deep' end as representation,
+  accuracy, macro_f1, 0.0::DOUBLE as train_time, round(f1_class_0, 4) as f1_class_0, round(f1_class_1, 4) as f1_class_1,
+  round(f1_class_2, 4) as f1_class_2 from ({metrics_basic_sql(V3, 'lang')}))"""
+
+SQL["metrics_basic"] = metrics_basic_sql(V3)
+
+SQL["metrics_full"] = f"""
+with {per_class_sql(V3)}
+select round(sum(tp) / sum(support), 6) as accuracy, round(avg(precision), 6) as precision_macro,
+  round(avg(recall), 6) as recall_macro, round(avg(f1), 6) as f1_macro,
+  (select auc from ({AUC_SQL}) where cls = 'macro') as roc_auc from pm"""
+
+SQL["class_report"] = f"""
+with {per_class_sql(V3)},
+t as (select sum(support) as n, sum(tp) as tp, avg(precision) as mp, avg(recall) as mr, avg(f1) as mf,
+  sum(precision * support) / sum(support) as wp, sum(recall * support) / sum(support) as wr,
+  sum(f1 * support) / sum(support) as wf from pm),
+r as (select case cls when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as label,
+  precision, recall, f1, support from pm
+  union all select 'accuracy', tp / n, tp / n, tp / n, n from t
+  union all select 'macro avg', mp, mr, mf, n from t
+  union all select 'weighted avg', wp, wr, wf, n from t)
+select label, round(precision, 4) as precision, round(recall, 4) as recall, round(f1, 4) as f1_score,
+  cast(support as BIGINT) as support from r"""
+
+SQL["error_count"] = f"select count(*) filter (where y_true <> y_pred) as n_errors from {V3}"
+
+_CM = f"""cm as (select y_true, y_pred, count(*) as cnt from {V3} group by all),
+cs as (select y_true as c from cm union select y_pred from cm),
+full_cm as (select a.c as y_true, b.c as y_pred, coalesce(cm.cnt, 0)::BIGINT as cnt
+  from cs a cross join cs b left join cm on cm.y_true = a.c and cm.y_pred = b.c)"""
+
+SQL["confusion"] = f"with {_CM} select y_true, y_pred, cnt from full_cm"
+SQL["confusion_norm"] = f"""with {_CM}
+select y_true, y_pred, case when sum(cnt) over (partition by y_true) > 0
+  then round(cnt / sum(cnt) over (partition by y_true), 6) end as rate from full_cm"""
+
+SQL["roc_curve"] = f"""
+with {ONE_VS_REST},
+cum as (select cls, score,
+  sum(pos) over (partition by cls order by score desc rows between unbounded preceding and current row) as tp,
+  sum(neg) over (partition by cls order by score desc rows between unbounded preceding and current row) as fp
+  from agg),
+tot as (select cls, sum(pos) as P, sum(neg) as N from agg group by cls)
+select cum.cls, round(score, 6) as threshold, round(case when P > 0 then tp / P end, 6) as tpr,
+  round(case when N > 0 then fp / N end, 6) as fpr from cum join tot on cum.cls = tot.cls"""
+
+SQL["roc_auc"] = AUC_SQL
+
+SQL["error_samples"] = f"""
+select doc_id, y_true as true_label, y_pred as predicted_label,
+  case y_true when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as true_class,
+  case y_pred when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as predicted_class,
+  round([p0, p1, p2][y_pred + 1], 6) as confidence, round([p0, p1, p2][y_true + 1], 6) as true_class_prob,
+  substr(text, 1, 200) as text
+from {V3} where y_true <> y_pred order by md5('42:' || doc_id), doc_id limit 100"""
+
+SQL["error_stats"] = f"""
+select y_true as label, case y_true when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as class_name,
+  count(*) as total, count(*) filter (where y_true <> y_pred) as errors,
+  round(count(*) filter (where y_true <> y_pred) / count(*), 6) as error_rate,
+  round(1 - count(*) filter (where y_true <> y_pred) / count(*), 6) as accuracy
+from {V3} group by y_true"""
+
+SQL["regression_metrics"] = f"""
+select round(avg((y_true - y_pred) * (y_true - y_pred)), 6) as mse,
+  round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 6) as rmse, round(avg(abs(y_true - y_pred)), 6) as mae,
+  round(1 - sum((y_true - y_pred) * (y_true - y_pred)) / (var_pop(y_true) * count(*)), 6) as r2 from {V4}"""
+
+SQL["pred_vs_actual"] = f"""
+with v as {V4}, b as (select least(min(y_true), min(y_pred)) as lo, greatest(max(y_true), max(y_pred)) as hi from v)
+select cast(least(floor((y_true - lo) / (hi - lo) * 20), 19) as integer) as bin_true,
+  cast(least(floor((y_pred - lo) / (hi - lo) * 20), 19) as integer) as bin_pred, count(*) as cnt
+from v, b group by all"""
+
+SQL["results_table"] = f"""select model, representation, accuracy, macro_f1, f1_class_0, f1_class_1, f1_class_2
+from {V5}"""
+
+SQL["comparison"] = f"""
+select case when representation = 'classical' then 'Classical ML' else 'Deep Learning' end as model_type,
+  coalesce(model, 'Unknown') as model, coalesce(representation, 'Unknown') as representation,
+  coalesce(accuracy, 0.0) as accuracy, coalesce(macro_f1, 0.0) as macro_f1, coalesce(train_time, 0.0) as train_time
+from {V5} order by macro_f1 desc, model"""
+
+SQL["best_models"] = f"""select model, representation, accuracy, macro_f1 from {V5}
+order by macro_f1 desc, model, representation limit 5"""
+
+SQL["best_lift"] = f"""
+with r as {V5}
+select (select model from r order by macro_f1 desc, model limit 1) as best_model, max(accuracy) as best_accuracy,
+  max(macro_f1) as best_macro_f1, avg(train_time) as mean_train_time,
+  round(((select max(macro_f1) from r where representation = 'deep')
+       - (select max(macro_f1) from r where representation = 'classical')) * 100, 4) as lift_pp from r"""
+
+_SPLIT = """(select v.*, case when rk <= n - n_test - n_val then 'train' when rk <= n - n_test then 'val' else 'test' end
+  as split from (select *, {rank} as rk from {src}) v,
+  (select count(*) as n, cast(round_even(count(*) * 0.2, 0) as BIGINT) as n_test,
+          cast(round_even(count(*) * 0.1, 0) as BIGINT) as n_val from {src}) s)"""
+
+_V2SPLIT = _SPLIT.format(rank=rank_sql('doc_id'), src=f"(select doc_id, y from {V2})")
+SQL["baseline_majority"] = f"""
+with sp as {_V2SPLIT},
+maj as (select y from sp where split = 'train' group by y order by count(*) desc, y limit 1),
+test as (select y as y_true, (select y from maj) as y_pred from sp where split = 'test'),
+m as ({metrics_basic_sql('test')})
+select (select y from maj) as majority_class, accuracy, macro_f1 from m"""
+
+_EVSPLIT = _SPLIT.format(rank=rank_sql('event_id'), src="(select event_id, value from events)")
+SQL["baseline_mean"] = f"""
+with sp as {_EVSPLIT}, mu as (select avg(value) as m from sp where split = 'train')
+select round((select m from mu), 6) as train_mean,
+  round(sqrt(avg((value - (select m from mu)) * (value - (select m from mu)))), 6) as rmse,
+  round(avg(abs(value - (select m from mu))), 6) as mae from sp where split = 'test'"""
+
+SQL["label_encode"] = f"""
+select doc_id, label, cast(dense_rank() over (order by label) - 1 as integer) as code
+from (select doc_id, case y when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as label from {V2})"""
