@@ -372,3 +372,64 @@ def label_encode(spark, sf):
     v = labelled(spark, sf).select("doc_id", class_name(F.col("y")).alias("label"))
     model = StringIndexer(inputCol="label", outputCol="_code", stringOrderType="alphabetAsc").fit(v)
     return model.transform(v).select("doc_id", "label", F.col("_code").cast("int").alias("code"))
+
+
+# ------------------------------------------------------------------ features
+from reviewlens.operators import features as FT  # noqa: E402
+
+
+def work_split(spark, sf):
+    """Work set with an exact seeded train/val/test split (fit on train only)."""
+    return R.split_exact(work(spark, sf).select("doc_id", "clean_text", "sentiment"), "doc_id")
+
+
+@query
+def bow(spark, sf):
+    w = work_split(spark, sf)
+    out, _ = FT.bow(w, w.where(F.col("split") == "train"), "clean_text")
+    return out.select("doc_id", "term", F.col("tf").cast("bigint").alias("tf"))
+
+
+@query
+def tfidf(spark, sf):
+    w = work_split(spark, sf)
+    out, _ = FT.tfidf(w, w.where(F.col("split") == "train"), "clean_text")
+    return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+def _stats(spark, sf):
+    return FT.text_stats(C.drop_null_text(reviews(spark, sf)), "review_text")
+
+
+@query
+def text_stats(spark, sf):
+    return _stats(spark, sf).select("doc_id", *[F.round(c, 6).alias(c) for c in FT.STAT_COLS])
+
+
+@query
+def text_stats_scaled(spark, sf):
+    st = R.split_exact(_stats(spark, sf), "doc_id")
+    z = FT.standard_scale(st, st.where(F.col("split") == "train"), FT.STAT_COLS)
+    return z.select("doc_id", "split", *[F.round(c, 6).alias(f"z_{c}") for c in FT.STAT_COLS])
+
+
+@query
+def vocab_by_freq(spark, sf):
+    return FT.vocab_by_freq(work(spark, sf), "clean_text")
+
+
+@query
+def vocab_first_seen(spark, sf):
+    return FT.vocab_first_seen(work(spark, sf), "clean_text")
+
+
+@query
+def encode_sequences(spark, sf):
+    w = work(spark, sf)
+    enc = FT.encode_sequences(w, FT.vocab_by_freq(w, "clean_text"), "clean_text")
+    return enc.select("doc_id", "length", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
+
+
+@query
+def token_stats(spark, sf):
+    return FT.token_stats(work(spark, sf), "clean_text")

@@ -368,3 +368,79 @@ select round((select m from mu), 6) as train_mean,
 SQL["label_encode"] = f"""
 select doc_id, label, cast(dense_rank() over (order by label) - 1 as integer) as code
 from (select doc_id, case y when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end as label from {V2})"""
+
+# ---------------------------------------------------------------------------- features
+from reviewlens.operators import features as _FT  # noqa: E402
+
+_WSPLIT = _SPLIT.format(rank=rank_sql('doc_id'), src=f"(select doc_id, clean_text from {WORK})")
+_VT = f"regexp_extract_all(lower(clean_text), {S.lit(_FT.MIN_TOKEN)}, 1)"
+
+
+def _vectorise(ngram_hi: int) -> str:
+    grams = " union all ".join(f"select doc_id, unnest({S.ngrams('toks', n)}) as term from t"
+                               for n in range(1, ngram_hi + 1))
+    return f"""sp as {_WSPLIT},
+t as (select doc_id, split, {_VT} as toks from sp),
+g as ({grams}),
+tf as (select doc_id, term, count(*) as tf from g group by all),
+fit as (select tf.* from tf join sp on tf.doc_id = sp.doc_id where sp.split = 'train'),
+voc as (select term, sum(tf) as freq, count(*) as df from fit group by term order by freq desc, term limit 50000),
+n as (select count(*) as n from sp where split = 'train')"""
+
+
+SQL["bow"] = f"""with {_vectorise(1)}
+select doc_id, tf.term, cast(tf as BIGINT) as tf from tf join voc on tf.term = voc.term"""
+
+SQL["tfidf"] = f"""with {_vectorise(2)},
+w as (select doc_id, tf.term, tf * (ln((n.n + 1) / (df + 1)) + 1) as w from tf join voc on tf.term = voc.term, n)
+select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight from w"""
+
+_STATS = f"""(select doc_id, length(review_text) as chars, {S.ws_tokens('review_text')} as wt,
+  {S.punct_count('review_text')} as punct, {S.upper_count('review_text')} as upper_n
+  from {V1} where review_text is not null)"""
+_STAT_EXPR = """cast(chars as double) as char_count, cast(len(wt) as double) as word_count,
+  case when len(wt) > 0 then list_sum(list_transform(wt, lambda x: length(x))) / len(wt) else 0.0 end as avg_word_len,
+  cast(punct as double) as punct_count, case when chars > 0 then upper_n / chars else 0.0 end as capital_ratio"""
+
+SQL["text_stats"] = f"""
+select doc_id, round(char_count, 6) as char_count, round(word_count, 6) as word_count,
+  round(avg_word_len, 6) as avg_word_len, round(punct_count, 6) as punct_count, round(capital_ratio, 6) as capital_ratio
+from (select doc_id, {_STAT_EXPR} from {_STATS})"""
+
+_ZCOLS = ["char_count", "word_count", "avg_word_len", "punct_count", "capital_ratio"]
+SQL["text_stats_scaled"] = f"""
+with st as (select doc_id, {_STAT_EXPR} from {_STATS}),
+sp as {_SPLIT.format(rank=rank_sql('doc_id'), src='st')},
+m as (select {', '.join(f'avg({c}) as m_{c}, stddev_pop({c}) as s_{c}' for c in _ZCOLS)} from sp where split = 'train')
+select doc_id, split, {', '.join(f'round(({c} - m_{c}) / case when s_{c} = 0 then 1.0 else s_{c} end, 6) as z_{c}'
+                                 for c in _ZCOLS)}
+from sp, m"""
+
+_TF = f"""tf as (select term, count(*) as freq from (select unnest({S.word_tokens('clean_text')}) as term from {WORK})
+  group by term having count(*) >= 2)"""
+
+SQL["vocab_by_freq"] = f"""with {_TF}
+select term, freq, cast(row_number() over (order by freq desc, term) + 1 as integer) as id from tf"""
+
+SQL["vocab_first_seen"] = f"""
+with t as (select doc_id, {S.word_tokens('clean_text')} as toks from {WORK}),
+e as (select doc_id, unnest(toks) as term, generate_subscripts(toks, 1) - 1 as pos from t),
+f as (select term, count(*) as freq, min((doc_id, pos)) as fp from e group by term having count(*) >= 2)
+select term, freq, fp[1] as first_doc, cast(fp[2] as integer) as first_pos,
+  cast(row_number() over (order by fp[1], fp[2]) + 1 as integer) as id from f"""
+
+SQL["encode_sequences"] = f"""
+with {_TF}, voc as (select term, cast(row_number() over (order by freq desc, term) + 1 as integer) as id from tf),
+t as (select doc_id, {S.word_tokens('clean_text')} as toks from {WORK}),
+e as (select doc_id, unnest(toks[1:256]) as term, generate_subscripts(toks[1:256], 1) as pos from t),
+j as (select e.doc_id, e.pos, coalesce(voc.id, 1) as id from e left join voc on e.term = voc.term),
+s as (select doc_id, string_agg(cast(id as varchar), ',' order by pos) as ids, count(*) as n from j group by doc_id)
+select t.doc_id, cast(least(len(t.toks), 256) as integer) as length,
+  case when s.n is null then array_to_string(list_transform(range(256), lambda x: '0'), ',')
+       else s.ids || repeat(',0', 256 - s.n) end as ids
+from t left join s on t.doc_id = s.doc_id"""
+
+SQL["token_stats"] = f"""
+with {_TF}
+select (select count(*) from tf) + 2 as vocab_size, count(*) as n_docs,
+  round(avg(len({S.word_tokens('clean_text')})), 6) as avg_tokens_per_doc from {WORK}"""
