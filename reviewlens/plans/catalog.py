@@ -433,3 +433,55 @@ def encode_sequences(spark, sf):
 @query
 def token_stats(spark, sf):
     return FT.token_stats(work(spark, sf), "clean_text")
+
+
+# ------------------------------------------------------------------ sources and sinks
+from reviewlens.session import scratch_dir  # noqa: E402
+from reviewlens.sources import readers as IO  # noqa: E402
+
+# Fixed junk lines appended to the JSON-lines fixture: blank, truncated, non-object, non-JSON.
+JUNK_LINES = ["", '{"text": "truncated', "[1]", "not json at all"]
+V1_COLS = ["doc_id", "review_text", "rating", "lang", "source"]
+OLD_NAMES_SCHEMA = "doc_id long, text string, overall double, lang string, source string"
+
+
+def _v1_old_names(spark, sf):
+    """V1 with the legacy column names ``text`` / ``overall`` (exercises P-01)."""
+    return V.reviews(spark, sf).withColumnRenamed("review_text", "text").withColumnRenamed("rating", "overall")
+
+
+@query
+def ingest_jsonl(spark, sf):
+    """S-01/S-04/S-05/P-01: gzip JSON lines plus junk lines, read back and canonicalised."""
+    base = scratch_dir(spark, "ingest-jsonl")
+    _v1_old_names(spark, sf).write.option("compression", "gzip").json(base)
+    spark.createDataFrame([(x,) for x in JUNK_LINES], "value string").coalesce(1).write.mode("append").text(base)
+    return IO.read_reviews(spark, base, fmt="jsonl", key="doc_id").select(*V1_COLS)
+
+
+@query
+def ingest_csv(spark, sf):
+    """S-03: CSV with quotes, embedded newlines and blank-only fields, read back exactly."""
+    base = scratch_dir(spark, "ingest-csv")
+    IO.write_stage(_v1_old_names(spark, sf), base, fmt="csv")
+    return IO.read_reviews(spark, f"{base}", fmt="csv", schema=OLD_NAMES_SCHEMA, key="doc_id").select(*V1_COLS)
+
+
+@query
+def ingest_json(spark, sf):
+    """S-02: one JSON array document per file (multiLine), one file per hash bucket of rows."""
+    base = scratch_dir(spark, "ingest-json")
+    v = _v1_old_names(spark, sf)
+    buckets = max(v.rdd.getNumPartitions(), 1)
+    docs = (v.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
+            .agg(F.to_json(F.collect_list(F.struct(*v.columns))).alias("value")))
+    docs.write.partitionBy("bucket").text(base)
+    return IO.read_reviews(spark, base, fmt="json", key="doc_id").select(*V1_COLS)
+
+
+@query
+def stage_roundtrip(spark, sf):
+    """S-07/S-08: cleaned stage written as Parquet and read back."""
+    base = scratch_dir(spark, "stage-02_cleaned")
+    IO.write_stage(cleaned(spark, sf).select("doc_id", "clean_text", "sentiment"), base)
+    return IO.read_stage(spark, base)

@@ -444,3 +444,8 @@ SQL["token_stats"] = f"""
 with {_TF}
 select (select count(*) from tf) + 2 as vocab_size, count(*) as n_docs,
   round(avg(len({S.word_tokens('clean_text')})), 6) as avg_tokens_per_doc from {WORK}"""
+
+# ---------------------------------------------------------------------------- sources
+for _q in ("ingest_jsonl", "ingest_csv", "ingest_json"):
+    SQL[_q] = f"select doc_id, review_text, rating, lang, source from {V1}"
+SQL["stage_roundtrip"] = f"select doc_id, clean_text, sentiment from {CLEANED}"
