@@ -1,0 +1,119 @@
+"""Porter suffix-stripping stemmer (M. F. Porter, 1980), one token at a time.
+
+A small per-token helper: the Spark job stems each *distinct* token once and
+joins the result back (see ``operators.lexical``).
+"""
+
+from __future__ import annotations
+
+_VOWELS = set("aeiou")
+
+
+def _cons(w: str, i: int) -> bool:
+    c = w[i]
+    if c in _VOWELS:
+        return False
+    if c == "y":
+        return i == 0 or not _cons(w, i - 1)
+    return True
+
+
+def _m(stem: str) -> int:
+    """Number of VC sequences in the stem."""
+    n, i, L = 0, 0, len(stem)
+    while i < L and _cons(stem, i):
+        i += 1
+    while i < L:
+        while i < L and not _cons(stem, i):
+            i += 1
+        if i >= L:
+            break
+        n += 1
+        while i < L and _cons(stem, i):
+            i += 1
+    return n
+
+
+def _has_vowel(stem: str) -> bool:
+    return any(not _cons(stem, i) for i in range(len(stem)))
+
+
+def _double_cons(w: str) -> bool:
+    return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
+
+
+def _cvc(w: str) -> bool:
+    L = len(w)
+    return (L >= 3 and _cons(w, L - 3) and not _cons(w, L - 2) and _cons(w, L - 1)
+            and w[-1] not in "wxy")
+
+
+def _replace(w: str, rules, cond) -> str:
+    for suf, rep in rules:
+        if w.endswith(suf):
+            stem = w[: len(w) - len(suf)]
+            return stem + rep if cond(stem) else w
+    return w
+
+
+# The algorithm's suffix tables, in the published order.
+STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+         ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"),
+         ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"),
+         ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")]
+STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", "")]
+STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+         "iti", "ous", "ive", "ize"]
+
+
+def stem(word: str) -> str:
+    w = word
+    if len(w) <= 2:
+        return w
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ies"):
+        w = w[:-2]
+    elif w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        w = w[:-1]
+    # step 1b
+    again = False
+    if w.endswith("eed"):
+        if _m(w[:-3]) > 0:
+            w = w[:-1]
+    elif w.endswith("ed") and _has_vowel(w[:-2]):
+        w, again = w[:-2], True
+    elif w.endswith("ing") and _has_vowel(w[:-3]):
+        w, again = w[:-3], True
+    if again:
+        if w.endswith(("at", "bl", "iz")):
+            w += "e"
+        elif _double_cons(w) and w[-1] not in "lsz":
+            w = w[:-1]
+        elif _m(w) == 1 and _cvc(w):
+            w += "e"
+    # step 1c
+    if w.endswith("y") and _has_vowel(w[:-1]):
+        w = w[:-1] + "i"
+    # steps 2, 3
+    w = _replace(w, STEP2, lambda s: _m(s) > 0)
+    w = _replace(w, STEP3, lambda s: _m(s) > 0)
+    # step 4
+    for suf in STEP4:
+        if w.endswith(suf):
+            s = w[: len(w) - len(suf)]
+            if _m(s) > 1 and (suf != "ion" or (s and s[-1] in "st")):
+                w = s
+            break
+    # step 5a
+    if w.endswith("e"):
+        s = w[:-1]
+        if _m(s) > 1 or (_m(s) == 1 and not _cvc(s)):
+            w = s
+    # step 5b
+    if _m(w) > 1 and _double_cons(w) and w.endswith("l"):
+        w = w[:-1]
+    return w

@@ -63,22 +63,31 @@ def _c(c) -> Column:
 
 # F-01 -----------------------------------------------------------------------
 def strip_html(c) -> Column:
-    """Drop script/style blocks and comments, tags -> space, decode entities."""
-    out = _c(c)
+    """Drop script/style blocks and comments, tags -> space, decode entities.
+
+    Each group runs only on values containing its trigger character (every
+    pattern needs a literal '<' or '&'), a cheap exact skip for plain text.
+    """
+    src = _c(c)
+    tags = src
     for p in HTML_BLOCKS:
-        out = F.regexp_replace(out, p, " ")
-    out = F.regexp_replace(out, HTML_TAG, " ")
+        tags = F.regexp_replace(tags, p, " ")
+    tags = F.regexp_replace(tags, HTML_TAG, " ")
+    out = F.when(src.contains("<"), tags).otherwise(src)
+    ents = out
     for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+        ents = F.replace(ents, F.lit(ent), F.lit(ch))
+    return F.when(out.contains("&"), ents).otherwise(out)
 
 
 # F-02 -----------------------------------------------------------------------
 def expand_contractions(c) -> Column:
-    out = _c(c)
+    """Every rule needs an apostrophe: values without one skip the regex chain."""
+    src = _c(c)
+    out = src
     for pat, java_rep, _ in contraction_rules():
         out = F.regexp_replace(out, pat, java_rep)
-    return out
+    return F.when(src.contains("'"), out).otherwise(src)
 
 
 # F-03, F-04, F-05 -------------------------------------------------------------

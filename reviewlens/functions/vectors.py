@@ -1,0 +1,22 @@
+"""Vector helpers (no ``from __future__ import annotations``: pandas UDF hints must be real types)."""
+
+import pandas as pd
+from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def sparse_vector(size: int, indices: Column, values: Column) -> Column:
+    """(indices array, values array) -> MLlib SparseVector, built in Arrow batches; NULL arrays -> empty vector."""
+
+    @F.pandas_udf(VectorUDT())
+    def _vec(idx: pd.Series, val: pd.Series) -> pd.Series:
+        out = []
+        for i, v in zip(idx, val):
+            if i is None or (hasattr(i, "__len__") and len(i) == 0):
+                out.append(SparseVector(size, [], []))
+            else:
+                out.append(SparseVector(size, [int(x) for x in i], [float(x) for x in v]))
+        return pd.Series(out)
+
+    return _vec(indices, values)

@@ -30,65 +30,76 @@ def vec_tokens(c) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(MIN_TOKEN), 1)
 
 
-def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id") -> DataFrame:
-    """(key, term, tf): term counts per document over the n-gram range.
+def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id",
+              carry: list[str] | None = None) -> DataFrame:
+    """(key, carry.., term, tf): term counts per document over the n-gram range.
 
     Documents are hash-partitioned on the key once (one row per document
-    moves); the per-document count and any later per-document window then
+    moves); the per-document count and the later per-document norm window
     reuse that partitioning instead of shuffling exploded terms.
     """
     lo, hi = ngram_range
-    d = with_computed(docs.select(key, text_col), _t=vec_tokens(text_col)).select(key, "_t")
+    carry = list(carry or [])
+    d = with_computed(docs.select(key, *carry, text_col), _t=vec_tokens(text_col)).select(key, *carry, "_t")
     grams = F.concat(*[X.ngrams("_t", n) for n in range(lo, hi + 1)])
-    return (d.repartition(key).select(key, F.explode(grams).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    return (d.repartition(key).select(key, *carry, F.explode(grams).alias("term"))
+            .groupBy(key, *carry, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
-def top_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES, key: str = "doc_id") -> DataFrame:
-    """Capped vocabulary: top terms by corpus frequency (ties: term ascending) with df and a 0-based index."""
+def top_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+    """Capped vocabulary: top terms by corpus frequency (ties: term ascending) with df and a 0-based index.
+
+    The result has at most ``max_features`` rows: the bound that makes it a
+    safe broadcast side.
+    """
     stats = terms.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
     top = stats.orderBy(F.col("freq").desc(), F.col("term")).limit(max_features)
     return top.withColumn("index", (F.row_number().over(Window.orderBy(F.col("term"))) - 1).cast("int"))
 
 
-def bow(docs: DataFrame, fit_docs: DataFrame, text_col: str, max_features: int = MAX_FEATURES,
+def _fit_terms(docs: DataFrame, text_col: str, fit: Column | None, ngram_range, key: str):
+    """Terms of all documents computed once and written once; the fit subset is a filter on it."""
+    from reviewlens.session import stage
+    d = docs.withColumn("_fit", fit if fit is not None else F.lit(True))
+    terms = stage(doc_terms(d, text_col, ngram_range, key, carry=["_fit"]), "doc-terms")
+    n_fit = d.where(F.col("_fit")).agg(F.count(F.lit(1))).scalar()
+    return terms, terms.where(F.col("_fit")), n_fit
+
+
+def bow(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int = MAX_FEATURES,
         key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """X-01: counts over a vocabulary fitted on ``fit_docs`` (train only). Returns (long table, vocabulary)."""
-    vocab = top_vocabulary(doc_terms(fit_docs, text_col, (1, 1), key), max_features, key)
-    terms = doc_terms(docs, text_col, (1, 1), key)
+    """X-01: counts over a vocabulary fitted on the ``fit`` documents (train only). Returns (long, vocabulary)."""
+    terms, fit_terms, _ = _fit_terms(docs, text_col, fit, (1, 1), key)
+    vocab = top_vocabulary(fit_terms, max_features)
     out = terms.join(F.broadcast(vocab.select("term", "index")), "term")  # <= max_features rows
     return out.select(key, "term", "index", "tf"), vocab
 
 
-def tfidf(docs: DataFrame, fit_docs: DataFrame, text_col: str, max_features: int = MAX_FEATURES,
+def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int = MAX_FEATURES,
           ngram_range=(1, 2), key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """X-02: smooth idf = ln((1+n)/(1+df)) + 1 from the fit documents; rows L2-normalised.
 
     Spark's ``IDF`` omits the ``+1`` (a term in every document weighs 0), so
     the weights are computed here from the vocabulary table.
     """
-    fit_terms = doc_terms(fit_docs, text_col, ngram_range, key)
-    n = fit_docs.agg(F.count(F.lit(1))).scalar()
-    vocab = top_vocabulary(fit_terms, max_features, key).withColumn(
-        "idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
-    terms = doc_terms(docs, text_col, ngram_range, key)
+    terms, fit_terms, n = _fit_terms(docs, text_col, fit, ngram_range, key)
+    vocab = top_vocabulary(fit_terms, max_features).withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
     w = terms.join(F.broadcast(vocab.select("term", "index", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # one document per window group
     return w.select(key, "term", "index", (F.col("w") / norm).alias("weight")), vocab
 
 
-def to_sparse(long: DataFrame, size: int, value: str, key: str = "doc_id") -> DataFrame:
-    """Long (key, index, value) -> one MLlib SparseVector per key (documents with no term get none)."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
+def to_sparse(keys: DataFrame, long: DataFrame, size: int, value: str, key: str = "doc_id") -> DataFrame:
+    """Long (key, index, value) -> one MLlib SparseVector per key of ``keys`` (empty vector when no term).
 
-    @pandas_udf(VectorUDT())
-    def _vec(idx: pd.Series, val: pd.Series) -> pd.Series:
-        return pd.Series([SparseVector(size, list(i), list(v)) for i, v in zip(idx, val)])
+    Entries are grouped per document (bounded by the document's distinct
+    terms); vectors are built in Arrow batches.
+    """
+    from reviewlens.functions.vectors import sparse_vector
 
     g = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", value))).alias("_p"))
-    return g.select(key, _vec(F.col("_p.index"), F.col(f"_p.{value}")).alias("features"))
+    j = keys.select(key).join(g, key, "left")
+    return j.select(key, sparse_vector(size, F.col("_p.index"), F.col(f"_p.{value}")).alias("features"))
 
 
 # X-06 ----------------------------------------------------------------------------------

@@ -39,6 +39,12 @@ def work(spark, sf) -> DataFrame:
     return E.work_set(cleaned(spark, sf))
 
 
+def work_staged(spark, sf) -> DataFrame:
+    """The working set written once, for queries that read it in several passes."""
+    from reviewlens.session import stage
+    return stage(work(spark, sf).select("doc_id", "clean_text", "sentiment", "rating", "char_len", "word_len"), "work")
+
+
 # ------------------------------------------------------------------ EDA core
 @query
 def top_ngrams_by_class(spark, sf):
@@ -145,12 +151,12 @@ def length_by_rating(spark, sf):
 
 @query
 def length_histogram(spark, sf):
-    return E.length_histogram(work(spark, sf), "char_len")
+    return E.length_histogram(work_staged(spark, sf), "char_len")
 
 
 @query
 def length_kde(spark, sf):
-    return E.length_kde(work(spark, sf), "char_len")
+    return E.length_kde(work_staged(spark, sf), "char_len")
 
 
 @query
@@ -175,7 +181,7 @@ def top_bigrams(spark, sf):
 
 @query
 def cloud_terms(spark, sf):
-    return E.cloud_terms(work(spark, sf))
+    return E.cloud_terms(work_staged(spark, sf))
 
 
 @query
@@ -380,20 +386,20 @@ from reviewlens.operators import features as FT  # noqa: E402
 
 def work_split(spark, sf):
     """Work set with an exact seeded train/val/test split (fit on train only)."""
-    return R.split_exact(work(spark, sf).select("doc_id", "clean_text", "sentiment"), "doc_id")
+    return R.split_exact(work_staged(spark, sf).select("doc_id", "clean_text", "sentiment"), "doc_id")
 
 
 @query
 def bow(spark, sf):
     w = work_split(spark, sf)
-    out, _ = FT.bow(w, w.where(F.col("split") == "train"), "clean_text")
+    out, _ = FT.bow(w, "clean_text", fit=F.col("split") == "train")
     return out.select("doc_id", "term", F.col("tf").cast("bigint").alias("tf"))
 
 
 @query
 def tfidf(spark, sf):
     w = work_split(spark, sf)
-    out, _ = FT.tfidf(w, w.where(F.col("split") == "train"), "clean_text")
+    out, _ = FT.tfidf(w, "clean_text", fit=F.col("split") == "train")
     return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -415,24 +421,24 @@ def text_stats_scaled(spark, sf):
 
 @query
 def vocab_by_freq(spark, sf):
-    return FT.vocab_by_freq(work(spark, sf), "clean_text")
+    return FT.vocab_by_freq(work_staged(spark, sf), "clean_text")
 
 
 @query
 def vocab_first_seen(spark, sf):
-    return FT.vocab_first_seen(work(spark, sf), "clean_text")
+    return FT.vocab_first_seen(work_staged(spark, sf), "clean_text")
 
 
 @query
 def encode_sequences(spark, sf):
-    w = work(spark, sf)
+    w = work_staged(spark, sf)
     enc = FT.encode_sequences(w, FT.vocab_by_freq(w, "clean_text"), "clean_text")
     return enc.select("doc_id", "length", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
 
 
 @query
 def token_stats(spark, sf):
-    return FT.token_stats(work(spark, sf), "clean_text")
+    return FT.token_stats(work_staged(spark, sf), "clean_text")
 
 
 # ------------------------------------------------------------------ sources and sinks
@@ -485,3 +491,347 @@ def stage_roundtrip(spark, sf):
     base = scratch_dir(spark, "stage-02_cleaned")
     IO.write_stage(cleaned(spark, sf).select("doc_id", "clean_text", "sentiment"), base)
     return IO.read_stage(spark, base)
+
+
+# ------------------------------------------------------------------ learners (rows-only checks)
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+
+from reviewlens.functions.columns import with_computed  # noqa: E402
+from reviewlens.operators import learn as ML  # noqa: E402
+
+
+def learn_split(spark, sf, target: str = "class"):
+    """Labelled docs (class task: V2 y) or rated reviews (regression: V1 rating), cleaned and split exactly."""
+    if target == "class":
+        base = V.labelled(spark, sf).select("doc_id", F.col("y").cast("double").alias("label"), "text")
+    else:
+        base = (reviews(spark, sf).where(F.col("rating").isNotNull() & F.col("review_text").isNotNull())
+                .select("doc_id", F.col("rating").alias("label"), F.col("review_text").alias("text")))
+    d = with_computed(base, clean_text=X.clean_text(F.col("text")))
+    return R.split_exact(d.select("doc_id", "label", "text", "clean_text"), "doc_id")
+
+
+def represent(sp, rep: str = "tfidf"):
+    """X-08: features column for a representation; fit on the train split only."""
+    train = sp.where(F.col("split") == "train")
+    if rep in ("tfidf", "bow", "tfidf_stats"):
+        if rep == "bow":
+            long, vocab = FT.bow(sp, "clean_text", fit=F.col("split") == "train")
+            long = long.withColumnRenamed("tf", "weight")
+        else:
+            long, vocab = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
+        size = vocab.agg(F.count(F.lit(1))).first()[0]  # <= max_features
+        vec = FT.to_sparse(sp, long, size, "weight")
+        out = sp.join(vec, "doc_id")
+        if rep == "tfidf_stats":  # J-01: equi-join on doc_id + assembler, stays sparse
+            st = FT.text_stats(sp, "text")
+            z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
+            out = (out.withColumnRenamed("features", "tfidf").join(z, "doc_id"))
+            out = VectorAssembler(inputCols=["tfidf"] + FT.STAT_COLS, outputCol="features").transform(out)
+        return out
+    if rep == "text_stats":
+        st = FT.text_stats(sp, "text")
+        z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
+        return sp.join(VectorAssembler(inputCols=FT.STAT_COLS, outputCol="features").transform(z), "doc_id")
+    raise ValueError(rep)
+
+
+def _fit_one(spark, sf, name: str, rep: str = "tfidf", task: str = "classification", **over):
+    sp = learn_split(spark, sf, "class" if task == "classification" else "rating")
+    data = represent(sp, rep).select("doc_id", "label", "features", "split").cache()  # reused by fit and score
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    n_train = train.count()
+    if task == "classification":
+        if "mlp" in name:
+            sel = ML.select_features(1024)
+            est = ML.classifier(name, n_train, n_features=1024, featuresCol="selected", **over)
+            pipe = ML.build_pipeline(est, [sel])
+        else:
+            pipe = ML.build_pipeline(ML.classifier(name, n_train, **over))
+    else:
+        pipe = ML.build_pipeline(ML.regressor(name, n_train, **over))
+    model, m, secs = ML.train_and_evaluate(pipe, train, test, task)
+    return model, ML.result_row(m, name, rep, secs), data
+
+
+def _learner(name, rep="tfidf", task="classification"):
+    def q(spark, sf):
+        return _fit_one(spark, sf, name, rep, task)[1]
+    return q
+
+
+for _qname, _m, _rep, _task in [
+        ("train_lr", "logistic", "tfidf", "classification"), ("train_nb", "complement_nb", "tfidf", "classification"),
+        ("train_rf", "random_forest", "tfidf", "classification"), ("train_gbt", "gbt", "tfidf", "classification"),
+        ("train_mlp", "mlp", "tfidf", "classification"), ("train_svm", "linear_svm", "tfidf", "classification"),
+        ("baseline_tfidf_lr", "logistic", "tfidf", "classification"),
+        ("tfidf_stats_features", "logistic", "tfidf_stats", "classification"),
+        ("train_linear", "linear", "tfidf", "regression"), ("train_ridge", "ridge", "tfidf", "regression"),
+        ("train_rf_reg", "random_forest", "text_stats", "regression"),
+        ("train_gbt_reg", "gbt", "text_stats", "regression")]:
+    QUERIES[_qname] = _learner(_m, _rep, _task)
+
+
+@query
+def train_history(spark, sf):
+    """M-10: loss per iteration of the logistic regression fit."""
+    model = _fit_one(spark, sf, "logistic")[0]
+    return ML.training_history(spark, model.stages[-1])
+
+
+def _tune(spark, sf, search: str):
+    sp = learn_split(spark, sf)
+    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split")
+    train = R.kfold(data.where(F.col("split") == "train"), "doc_id", "label", 5).cache()
+    n_train = train.count()
+    est = ML.classifier("complement_nb", n_train)
+    grid = ML.param_grid("complement_nb", est)
+    maps = ML.expand_grid(grid) if search == "grid" else ML.random_candidates(grid, 10)
+    cvm = ML.cross_validate(est, maps, train, ML.MacroF1Evaluator())
+    return ML.cv_results(spark, cvm, maps)
+
+
+@query
+def tune_grid(spark, sf):
+    """M-15 / M-16 / R-08: grid search with 5 stratified folds, macro-F1 scored."""
+    return _tune(spark, sf, "grid")
+
+
+@query
+def tune_random(spark, sf):
+    """M-17: seeded random candidates from the grid, same folds and scorer."""
+    return _tune(spark, sf, "random")
+
+
+@query
+def save_load_score(spark, sf):
+    """S-10 / S-11 / M-19: save under {task}/{slug}_{rep}, load, re-score, parse the representation back."""
+    model, _, data = _fit_one(spark, sf, "logistic")
+    path = ML.model_path(scratch_dir(spark, "models"), "classification", "logistic", "tfidf")
+    ML.save_model(model, path)
+    loaded = ML.load_model(path)
+    pred = loaded.transform(data.where(F.col("split") == "test"))
+    return pred.select("doc_id", F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
+                       F.lit(ML.representation_of(path)).alias("representation"))
+
+
+@query
+def learning_curve(spark, sf):
+    """R-04: refit on nested seeded fractions of train (exact-rank prefixes), score the same test."""
+    sp = learn_split(spark, sf)
+    data = R.exact_rank(represent(sp, "tfidf").select("doc_id", "label", "features", "split"), "doc_id",
+                        seed=7, rank_col="_r").cache()
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    n = train.count()
+    out = None
+    for frac in (0.25, 0.5, 1.0):
+        part = train.where(F.col("_r") <= F.lit(int(round(frac * n))))
+        est = ML.classifier("complement_nb", n)
+        _, m, secs = ML.train_and_evaluate(ML.build_pipeline(est), part, test)
+        row = m.select(F.lit(frac).alias("fraction"), "accuracy", "macro_f1")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def tuned_delta(spark, sf):
+    """R-05: default vs tuned (best CV smoothing) complement NB on the same split."""
+    sp = learn_split(spark, sf)
+    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split").cache()
+    train = R.kfold(data.where(F.col("split") == "train"), "doc_id", "label", 5)
+    test = data.where(F.col("split") == "test")
+    est = ML.classifier("complement_nb", 1)
+    maps = ML.expand_grid(ML.param_grid("complement_nb", est))
+    cvm = ML.cross_validate(est, maps, train, ML.MacroF1Evaluator())
+    _, base, _ = ML.train_and_evaluate(ML.build_pipeline(est), train, test)
+    tuned = M.metrics_basic(ML.predictions_to_scored(cvm.bestModel.transform(test)))
+    b, t = base.alias("b"), tuned.alias("t")
+    return b.join(t, how="inner").select(F.col("b.macro_f1").alias("default_f1"), F.col("t.macro_f1").alias("tuned_f1"),
+                                         (F.col("t.macro_f1") - F.col("b.macro_f1")).alias("delta"))
+
+
+@query
+def model_matrix(spark, sf):
+    """R-06: every classifier x representation on shared, cached features."""
+    sp = learn_split(spark, sf)
+    out = None
+    for rep in ("tfidf", "bow", "text_stats"):
+        data = represent(sp, rep).select("doc_id", "label", "features", "split").cache()
+        train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+        n = train.count()
+        for name in ("logistic", "complement_nb", "random_forest"):
+            if name == "complement_nb" and rep == "text_stats":
+                continue  # scaled stats can be negative: complement NB needs non-negative input
+            _, m, secs = ML.train_and_evaluate(ML.build_pipeline(ML.classifier(name, n)), train, test)
+            row = ML.result_row(m, name, rep, secs)
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+# ------------------------------------------------------------------ streaming extension
+from reviewlens.streaming import streams as ST  # noqa: E402
+
+
+@query
+def clean_stream(spark, sf):
+    """F-08 over a file stream of V1 JSON lines (legacy names, gzip parts)."""
+    src = scratch_dir(spark, "stream-src")
+    _v1_old_names(spark, sf).write.option("compression", "gzip").json(src)
+    return ST.clean_stream(spark, src, OLD_NAMES_SCHEMA)
+
+
+@query
+def stream_event_counts(spark, sf):
+    """Events per day and type from a Parquet file stream with a 1-hour watermark."""
+    src = scratch_dir(spark, "stream-events")
+    ev = V.table(spark, sf, "events").select("event_id", "ts", "event_type")
+    ev.write.parquet(src)
+    return ST.windowed_counts(spark, src, "event_id long, ts timestamp, event_type string")
+
+
+# ------------------------------------------------------------------ lexical (F-15..F-19)
+from reviewlens.operators import lexical as LX  # noqa: E402
+
+
+@query
+def stem_tokens(spark, sf):
+    """F-15: Porter stems per document (each distinct token stemmed once)."""
+    return LX.stem_text(work_staged(spark, sf), "clean_text")
+
+
+@query
+def lemma_text(spark, sf):
+    """F-16 with the empty dictionary: lowercased word tokens (the reference's fallback)."""
+    return LX.lemmatize_text(work(spark, sf), "clean_text")
+
+
+@query
+def stem_vs_lemma(spark, sf):
+    """F-17: text, stem and lemma side by side."""
+    return LX.stem_vs_lemma(work_staged(spark, sf), "clean_text")
+
+
+@query
+def preprocess(spark, sf):
+    """F-18 + F-19: processed text, its vocabulary (min freq 2, + PAD/UNK) and token stats."""
+    from reviewlens.session import stage
+    p = stage(LX.preprocess_for_ml(work(spark, sf), "clean_text", use_lemma=True), "processed")
+    n_vocab = (p.select(F.explode(X.ws_tokens(F.col("processed_text"))).alias("t")).groupBy("t").count()
+               .where(F.col("count") >= 2).agg(F.count(F.lit(1))).scalar())
+    return p.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(X.ws_tokens(F.col("processed_text")))).alias("a")).select(
+        (n_vocab + 2).alias("vocab_size"), "n_docs", F.round("a", 6).alias("avg_tokens_per_doc"))
+
+
+# ------------------------------------------------------------------ explanations (E-15, E-16)
+from reviewlens.operators import explain as XP  # noqa: E402
+
+
+@query
+def linear_attribution(spark, sf):
+    """E-15: exact linear attribution for class 0 over all rows, top 20 features (T-06 order)."""
+    sp = learn_split(spark, sf)
+    long, vocab = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
+    size = vocab.agg(F.count(F.lit(1))).first()[0]
+    data = sp.join(FT.to_sparse(sp, long, size, "weight"), "doc_id")
+    train = data.where(F.col("split") == "train").cache()
+    model = ML.classifier("logistic", train.count()).fit(train)
+    coef = model.coefficientMatrix.toArray()[0]  # one row per class, <= max_features columns
+    weights = spark.createDataFrame([(int(i), float(w)) for i, w in enumerate(coef)], "index int, weight double")
+    n = sp.agg(F.count(F.lit(1))).first()[0]
+    attr = XP.linear_attribution(long.select("doc_id", "index", F.col("weight").alias("value")), weights, n)
+    return attr.join(vocab.select("index", "term"), "index").select("term", "weight", "mean_abs_phi")
+
+
+@query
+def permutation_importance(spark, sf):
+    """E-15 for any model: permutation importance of the five text statistics (random forest)."""
+    sp = learn_split(spark, sf)
+    st = FT.text_stats(sp, "text").join(sp.select("doc_id", "label", "split"), "doc_id").cache()
+    asm = VectorAssembler(inputCols=FT.STAT_COLS, outputCol="features")
+    train, test = st.where(F.col("split") == "train"), st.where(F.col("split") == "test")
+    model = ML.classifier("random_forest", 1).fit(asm.transform(train))
+    return XP.permutation_importance(model, test, FT.STAT_COLS, asm.transform)
+
+
+@query
+def local_explain(spark, sf):
+    """E-16: 5 test documents x 500 word-mask perturbations, top 10 words each."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
+    sp = learn_split(spark, sf)
+    tok = RegexTokenizer(inputCol="clean_text", outputCol="tok", gaps=False, pattern=FT.MIN_TOKEN[1:-1])
+    pipe = Pipeline(stages=[tok, HashingTF(inputCol="tok", outputCol="tf", numFeatures=1 << 18),
+                            IDF(inputCol="tf", outputCol="features"),
+                            ML.classifier("logistic", 1000, maxIter=100)])
+    model = pipe.fit(sp.where(F.col("split") == "train"))
+    docs = XP.explain_sample(spark, sp.where(F.col("split") == "test").select("doc_id", "clean_text"), 5)
+    return XP.local_explanations(model, docs, "clean_text", 500, 10)
+
+
+# ------------------------------------------------------------------ embeddings (X-03..X-05, X-07, S-09)
+from reviewlens.operators import embed as EM  # noqa: E402
+
+
+@query
+def w2v_train(spark, sf):
+    """X-03: MLlib Word2Vec (128 dims, window 5, min count 2, 5 epochs, seed 42) on train tokens."""
+    sp = learn_split(spark, sf)
+    model = EM.train_word2vec(sp.where(F.col("split") == "train"), "clean_text")
+    return model.getVectors().select("word", F.size(EM.vector_array("vector")).alias("dim"))
+
+
+@query
+def w2v_weighted(spark, sf):
+    """X-04: TF-IDF-weighted mean of word vectors per document (zero vector when no shared term)."""
+    sp = learn_split(spark, sf)
+    model = EM.train_word2vec(sp.where(F.col("split") == "train"), "clean_text")
+    long, _ = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
+    vecs = model.getVectors().select(F.col("word").alias("term"), EM.vector_array("vector").alias("vec"))
+    out = EM.weighted_doc_vectors(sp.select("doc_id"), long, vecs, 128)
+    return out.select("doc_id", F.size("vec").alias("dim"),
+                      F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+
+
+@query
+def embed_cached(spark, sf):
+    """X-05 / S-09 / J-06 / U-01 / V-03: content-keyed embedding cache; train first, then train+test."""
+    sp = learn_split(spark, sf).select("doc_id", "split", "clean_text")
+    cache = scratch_dir(spark, "embed-cache")
+    EM.embed_with_cache(spark, sp.where(F.col("split") == "train"), "clean_text", cache)
+    both = sp.where(F.col("split") == "train").unionByName(sp.where(F.col("split") == "test"))  # U-01
+    out = EM.embed_with_cache(spark, both, "clean_text", cache)
+    return out.select("doc_id", "split", F.size("embedding").alias("dim"), "from_cache")
+
+
+@query
+def run_features(spark, sf):
+    """X-07 / X-08: every representation fitted on train, one summary row each."""
+    sp = learn_split(spark, sf)
+    rows = None
+    for rep in ("bow", "tfidf", "text_stats", "tfidf_stats"):
+        d = represent(sp, rep)
+        r = d.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs")).select(F.lit(rep).alias("representation"), "*")
+        rows = r if rows is None else rows.unionByName(r)
+    return rows
+
+
+# ------------------------------------------------------------------ EDA driver (D-02)
+@query
+def run_eda(spark, sf):
+    """D-02: every finding as (finding, key, value) over one written working set (A-02/A-03 on the full frame)."""
+    w = work_staged(spark, sf)
+    parts = [
+        E.class_distribution(w).select(F.lit("class_distribution").alias("finding"), F.col("sentiment").alias("key"),
+                                       F.col("cnt").cast("double").alias("value")),
+        E.rating_distribution(w).select(F.lit("rating_distribution"), F.col("rating").cast("string"),
+                                        F.col("cnt").cast("double")),
+        E.length_summary(w).select(F.lit("length_summary"), F.col("kind"), F.col("mean_len")),
+        E.duplicate_count(reviews(spark, sf), "review_text").select(F.lit("duplicates"), F.lit("n_duplicates"),
+                                                                    F.col("n_duplicates").cast("double")),
+        E.vocab_stats(w).select(F.lit("vocab"), F.lit("vocab_size"), F.col("vocab_size").cast("double")),
+        E.cloud_doc_counts(w).select(F.lit("cloud_docs"), F.col("sentiment"), F.col("n_docs").cast("double")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out

@@ -449,3 +449,28 @@ select (select count(*) from tf) + 2 as vocab_size, count(*) as n_docs,
 for _q in ("ingest_jsonl", "ingest_csv", "ingest_json"):
     SQL[_q] = f"select doc_id, review_text, rating, lang, source from {V1}"
 SQL["stage_roundtrip"] = f"select doc_id, clean_text, sentiment from {CLEANED}"
+
+# ---------------------------------------------------------------------------- streaming
+SQL["clean_stream"] = f"select doc_id, clean_text, sentiment from {CLEANED}"
+SQL["stream_event_counts"] = """
+select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as cnt
+from events group by all"""
+
+# ---------------------------------------------------------------------------- lexical
+SQL["lemma_text"] = f"select doc_id, array_to_string({S.word_tokens('clean_text')}, ' ') as lemma from {WORK}"
+SQL["preprocess"] = SQL["token_stats"]
+
+# ---------------------------------------------------------------------------- EDA driver
+SQL["run_eda"] = f"""
+with w as {WORK}
+select 'class_distribution' as finding, sentiment as key, cast(count(*) as double) as value from w group by sentiment
+union all select 'rating_distribution', cast(rating as varchar), cast(count(*) as double) from w
+  where rating is not null group by rating
+union all select 'length_summary', 'char', round(avg(char_len), 1) from w
+union all select 'length_summary', 'word', round(avg(word_len), 1) from w
+union all select 'duplicates', 'n_duplicates', cast(count(*) - count(distinct review_text)
+  - max(case when review_text is null then 1 else 0 end) as double) from {V1}
+union all select 'vocab', 'vocab_size', cast(count(distinct tok) as double)
+  from (select unnest({S.ws_tokens('lower(clean_text)')}) as tok from w)
+union all select 'cloud_docs', sentiment, cast(least(count(*), 5000) as double) from w
+  where sentiment is not null group by sentiment"""

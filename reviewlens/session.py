@@ -73,3 +73,16 @@ def is_local_fs(uri: str) -> bool:
 def makedirs_if_local(uri: str) -> None:
     if is_local_fs(uri):
         os.makedirs(local_path(uri), exist_ok=True)
+
+
+def stage(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    For an expensive intermediate (cleaned text, token counts) that later
+    passes read more than once: it is computed once, later passes scan the
+    written table, and lineage is cut (a lost executor re-reads the table
+    instead of recomputing the text work).
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
