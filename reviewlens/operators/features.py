@@ -1,7 +1,7 @@
 """Feature operators (X-01, X-02, X-06, X-09, X-11, X-12, F-20, F-21, A-13, A-14).
 
 Sparse features stay in long form ``(doc_id, term, value)`` for SQL work and
-can be assembled into MLlib ``SparseVector`` columns (``to_sparse``).  The
+are vectorised into MLlib ``SparseVector`` columns in the JVM (``vectorize``).  The
 capped vocabularies (<= max_features rows) are the only broadcast sides;
 uncapped vocabularies are joined normally and AQE decides at run time.
 """
@@ -89,17 +89,30 @@ def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_feature
     return w.select(key, "term", "index", (F.col("w") / norm).alias("weight")), vocab
 
 
-def to_sparse(keys: DataFrame, long: DataFrame, size: int, value: str, key: str = "doc_id") -> DataFrame:
-    """Long (key, index, value) -> one MLlib SparseVector per key of ``keys`` (empty vector when no term).
+def vectorize(docs: DataFrame, text_col: str, vocab: DataFrame, ngram_range=(1, 2), idf: bool = True,
+              out_col: str = "features") -> DataFrame:
+    """MLlib SparseVector per document over a fitted capped vocabulary, built in the JVM.
 
-    Entries are grouped per document (bounded by the document's distinct
-    terms); vectors are built in Arrow batches.
+    ``CountVectorizerModel.from_vocabulary`` counts terms in vocabulary-index
+    order; for TF-IDF an ``ElementwiseProduct`` by the idf vector and a
+    ``Normalizer(p=2)`` follow.  The vocabulary (<= max_features terms) is the
+    only thing taken to the driver.
     """
-    from reviewlens.functions.vectors import sparse_vector
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
 
-    g = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", value))).alias("_p"))
-    j = keys.select(key).join(g, key, "left")
-    return j.select(key, sparse_vector(size, F.col("_p.index"), F.col(f"_p.{value}")).alias("features"))
+    rows = vocab.orderBy("index").select("term", *(["idf"] if idf else [])).collect()
+    lo, hi = ngram_range
+    d = with_computed(docs, _t=vec_tokens(text_col))
+    d = d.withColumn("_grams", F.concat(*[X.ngrams("_t", n) for n in range(lo, hi + 1)])).drop("_t")
+    cv = CountVectorizerModel.from_vocabulary([r.term for r in rows], inputCol="_grams",
+                                              outputCol="_tf" if idf else out_col)
+    out = cv.transform(d).drop("_grams")
+    if not idf:
+        return out
+    out = ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in rows]), inputCol="_tf",
+                             outputCol="_w").transform(out)
+    return Normalizer(p=2.0, inputCol="_w", outputCol=out_col).transform(out).drop("_tf", "_w")
 
 
 # X-06 ----------------------------------------------------------------------------------

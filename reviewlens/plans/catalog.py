@@ -507,26 +507,27 @@ def learn_split(spark, sf, target: str = "class"):
     else:
         base = (reviews(spark, sf).where(F.col("rating").isNotNull() & F.col("review_text").isNotNull())
                 .select("doc_id", F.col("rating").alias("label"), F.col("review_text").alias("text")))
-    d = with_computed(base, clean_text=X.clean_text(F.col("text")))
-    return R.split_exact(d.select("doc_id", "label", "text", "clean_text"), "doc_id")
+    from reviewlens.session import stage
+    d = stage(with_computed(base, clean_text=X.clean_text(F.col("text"))).select("doc_id", "label", "text", "clean_text"),
+              f"learn-{target}")
+    return stage(R.split_exact(d, "doc_id"), f"learn-{target}-split")
 
 
 def represent(sp, rep: str = "tfidf"):
     """X-08: features column for a representation; fit on the train split only."""
     train = sp.where(F.col("split") == "train")
     if rep in ("tfidf", "bow", "tfidf_stats"):
+        fit = F.col("split") == "train"
         if rep == "bow":
-            long, vocab = FT.bow(sp, "clean_text", fit=F.col("split") == "train")
-            long = long.withColumnRenamed("tf", "weight")
+            _, vocab = FT.bow(sp, "clean_text", fit=fit)
+            out = FT.vectorize(sp, "clean_text", vocab, (1, 1), idf=False)
         else:
-            long, vocab = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
-        size = vocab.agg(F.count(F.lit(1))).first()[0]  # <= max_features
-        vec = FT.to_sparse(sp, long, size, "weight")
-        out = sp.join(vec, "doc_id")
+            _, vocab = FT.tfidf(sp, "clean_text", fit=fit)
+            out = FT.vectorize(sp, "clean_text", vocab, (1, 2), idf=True)
         if rep == "tfidf_stats":  # J-01: equi-join on doc_id + assembler, stays sparse
             st = FT.text_stats(sp, "text")
             z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
-            out = (out.withColumnRenamed("features", "tfidf").join(z, "doc_id"))
+            out = out.withColumnRenamed("features", "tfidf").join(z, "doc_id")
             out = VectorAssembler(inputCols=["tfidf"] + FT.STAT_COLS, outputCol="features").transform(out)
         return out
     if rep == "text_stats":
@@ -536,7 +537,18 @@ def represent(sp, rep: str = "tfidf"):
     raise ValueError(rep)
 
 
+_FITTED: dict = {}
+
+
 def _fit_one(spark, sf, name: str, rep: str = "tfidf", task: str = "classification", **over):
+    """Fit + evaluate once per (session, scale, model, representation, task); later queries reuse the fit."""
+    k = (id(spark), sf, name, rep, task, tuple(sorted(over.items())))
+    if k not in _FITTED:
+        _FITTED[k] = _fit_new(spark, sf, name, rep, task, **over)
+    return _FITTED[k]
+
+
+def _fit_new(spark, sf, name: str, rep: str = "tfidf", task: str = "classification", **over):
     sp = learn_split(spark, sf, "class" if task == "classification" else "rating")
     data = represent(sp, rep).select("doc_id", "label", "features", "split").cache()  # reused by fit and score
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
@@ -551,7 +563,8 @@ def _fit_one(spark, sf, name: str, rep: str = "tfidf", task: str = "classificati
     else:
         pipe = ML.build_pipeline(ML.regressor(name, n_train, **over))
     model, m, secs = ML.train_and_evaluate(pipe, train, test, task)
-    return model, ML.result_row(m, name, rep, secs), data
+    from reviewlens.session import stage
+    return model, stage(ML.result_row(m, name, rep, secs), "result"), data
 
 
 def _learner(name, rep="tfidf", task="classification"):
@@ -652,18 +665,13 @@ def tuned_delta(spark, sf):
 
 @query
 def model_matrix(spark, sf):
-    """R-06: every classifier x representation on shared, cached features."""
-    sp = learn_split(spark, sf)
+    """R-06: every classifier x representation; fits are shared with the single-model queries."""
     out = None
     for rep in ("tfidf", "bow", "text_stats"):
-        data = represent(sp, rep).select("doc_id", "label", "features", "split").cache()
-        train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-        n = train.count()
         for name in ("logistic", "complement_nb", "random_forest"):
             if name == "complement_nb" and rep == "text_stats":
                 continue  # scaled stats can be negative: complement NB needs non-negative input
-            _, m, secs = ML.train_and_evaluate(ML.build_pipeline(ML.classifier(name, n)), train, test)
-            row = ML.result_row(m, name, rep, secs)
+            row = _fit_one(spark, sf, name, rep)[1]
             out = row if out is None else out.unionByName(row)
     return out
 
@@ -729,13 +737,10 @@ from reviewlens.operators import explain as XP  # noqa: E402
 @query
 def linear_attribution(spark, sf):
     """E-15: exact linear attribution for class 0 over all rows, top 20 features (T-06 order)."""
+    model, _, data = _fit_one(spark, sf, "logistic")
     sp = learn_split(spark, sf)
     long, vocab = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
-    size = vocab.agg(F.count(F.lit(1))).first()[0]
-    data = sp.join(FT.to_sparse(sp, long, size, "weight"), "doc_id")
-    train = data.where(F.col("split") == "train").cache()
-    model = ML.classifier("logistic", train.count()).fit(train)
-    coef = model.coefficientMatrix.toArray()[0]  # one row per class, <= max_features columns
+    coef = model.stages[-1].coefficientMatrix.toArray()[0]  # one row per class, <= max_features columns
     weights = spark.createDataFrame([(int(i), float(w)) for i, w in enumerate(coef)], "index int, weight double")
     n = sp.agg(F.count(F.lit(1))).first()[0]
     attr = XP.linear_attribution(long.select("doc_id", "index", F.col("weight").alias("value")), weights, n)
