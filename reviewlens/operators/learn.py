@@ -172,10 +172,10 @@ def random_candidates(grid: dict, n_iter: int = 10, seed: int = SEED) -> list[di
 
 
 def cross_validate(pipeline_est, maps: list[dict], train: DataFrame, evaluator: Evaluator, fold_col: str = "fold",
-                   parallelism: int = 2):
-    """M-16 / M-18: CrossValidator over a precomputed, stratified fold column."""
+                   parallelism: int = 2, k: int = 5):
+    """M-16 / M-18: CrossValidator over a precomputed, stratified fold column with k folds."""
     cv = CrossValidator(estimator=pipeline_est, estimatorParamMaps=maps or [{}], evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED)
+                        numFolds=k, foldCol=fold_col, parallelism=parallelism, seed=SEED)
     return cv.fit(train)
 
 

@@ -578,13 +578,19 @@ for _qname, _m, _rep, _task in [
         ("train_rf", "random_forest", "tfidf", "classification"), ("train_gbt", "gbt", "tfidf", "classification"),
         ("train_mlp", "mlp", "tfidf", "classification"), ("train_svm", "linear_svm", "tfidf", "classification"),
         ("baseline_tfidf_lr", "logistic", "tfidf", "classification"),
-        ("tfidf_stats_features", "logistic", "tfidf_stats", "classification"),
         ("train_linear", "linear", "tfidf", "regression"), ("train_ridge", "ridge", "tfidf", "regression"),
         ("train_rf_reg", "random_forest", "text_stats", "regression"),
         ("train_gbt_reg", "gbt", "text_stats", "regression")]:
     QUERIES[_qname] = _learner(_m, _rep, _task)
 
 
+@query
+def tfidf_stats_features(spark, sf):
+    """J-01 / X-08: TF-IDF vectors joined on doc_id to scaled text stats and assembled (still sparse)."""
+    d = represent(learn_split(spark, sf), "tfidf_stats")
+    return d.select("doc_id", "split", "features")
+
+
 @query
 def train_history(spark, sf):
     """M-10: loss per iteration of the logistic regression fit."""
