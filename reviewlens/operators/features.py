@@ -30,48 +30,63 @@ def vec_tokens(c) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(MIN_TOKEN), 1)
 
 
-def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id",
+def doc_grams(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id",
               carry: list[str] | None = None) -> DataFrame:
-    """(key, carry.., term, tf): term counts per document over the n-gram range.
-
-    Documents are hash-partitioned on the key once (one row per document
-    moves); the per-document count and the later per-document norm window
-    reuse that partitioning instead of shuffling exploded terms.
-    """
+    """(key, carry.., _g): every n-gram of each document, one array per row (evaluated once per row)."""
     lo, hi = ngram_range
     carry = list(carry or [])
     d = with_computed(docs.select(key, *carry, text_col), _t=vec_tokens(text_col)).select(key, *carry, "_t")
-    grams = F.concat(*[X.ngrams("_t", n) for n in range(lo, hi + 1)])
-    return (d.repartition(key).select(key, *carry, F.explode(grams).alias("term"))
-            .groupBy(key, *carry, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    return d.select(key, *carry, F.concat(*[X.ngrams("_t", n) for n in range(lo, hi + 1)]).alias("_g"))
+
+
+def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id",
+              vocab: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf): per-document counts, restricted to ``vocab`` terms when given.
+
+    The vocabulary (<= max_features rows) is a broadcast semi-join applied
+    before the per-document count, so out-of-vocabulary grams never reach
+    the aggregation.
+    """
+    g = doc_grams(docs, text_col, ngram_range, key).select(key, F.explode("_g").alias("term"))
+    if vocab is not None:
+        g = g.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    return g.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
 
 
-def top_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+def term_stats(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id") -> DataFrame:
+    """(term, freq, df): corpus frequency and document frequency, each a term-keyed aggregation.
+
+    ``freq`` counts every gram and ``df`` every distinct gram of a document;
+    both combine map-side, so a very common term costs one partial row per
+    task, and no (document, term) table is built.
+    """
+    g = doc_grams(docs, text_col, ngram_range, key)
+    both = g.select(F.inline(F.concat(
+        F.transform("_g", lambda x: F.struct(x.alias("term"), F.lit(1).alias("f"), F.lit(0).alias("d"))),
+        F.transform(F.array_distinct("_g"), lambda x: F.struct(x.alias("term"), F.lit(0).alias("f"), F.lit(1).alias("d"))))))
+    return both.groupBy("term").agg(F.sum("f").cast("double").alias("freq"), F.sum("d").alias("df"))
+
+
+def top_vocabulary(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """Capped vocabulary: top terms by corpus frequency (ties: term ascending) with df and a 0-based index.
 
     The result has at most ``max_features`` rows: the bound that makes it a
     safe broadcast side.
     """
-    stats = terms.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
     top = stats.orderBy(F.col("freq").desc(), F.col("term")).limit(max_features)
     return top.withColumn("index", (F.row_number().over(Window.orderBy(F.col("term"))) - 1).cast("int"))
 
 
-def _fit_terms(docs: DataFrame, text_col: str, fit: Column | None, ngram_range, key: str):
-    """Terms of all documents computed once and written once; the fit subset is a filter on it."""
-    from reviewlens.session import stage
-    d = docs.withColumn("_fit", fit if fit is not None else F.lit(True))
-    terms = stage(doc_terms(d, text_col, ngram_range, key, carry=["_fit"]), "doc-terms")
-    n_fit = d.where(F.col("_fit")).agg(F.count(F.lit(1))).scalar()
-    return terms, terms.where(F.col("_fit")), n_fit
+def _fit(docs: DataFrame, fit: Column | None) -> DataFrame:
+    return docs if fit is None else docs.where(fit)
 
 
 def bow(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int = MAX_FEATURES,
         key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """X-01: counts over a vocabulary fitted on the ``fit`` documents (train only). Returns (long, vocabulary)."""
-    terms, fit_terms, _ = _fit_terms(docs, text_col, fit, (1, 1), key)
-    vocab = top_vocabulary(fit_terms, max_features)
-    out = terms.join(F.broadcast(vocab.select("term", "index")), "term")  # <= max_features rows
+    from reviewlens.session import stage
+    vocab = stage(top_vocabulary(term_stats(_fit(docs, fit), text_col, (1, 1), key), max_features), "bow-vocab")
+    out = doc_terms(docs, text_col, (1, 1), key, vocab).join(F.broadcast(vocab.select("term", "index")), "term")
     return out.select(key, "term", "index", "tf"), vocab
 
 
@@ -80,10 +95,15 @@ def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_feature
     """X-02: smooth idf = ln((1+n)/(1+df)) + 1 from the fit documents; rows L2-normalised.
 
     Spark's ``IDF`` omits the ``+1`` (a term in every document weighs 0), so
-    the weights are computed here from the vocabulary table.
+    the weights are computed here from the vocabulary table (written once,
+    <= max_features rows).
     """
-    terms, fit_terms, n = _fit_terms(docs, text_col, fit, ngram_range, key)
-    vocab = top_vocabulary(fit_terms, max_features).withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
+    from reviewlens.session import stage
+    fit_docs = _fit(docs, fit)
+    n = fit_docs.agg(F.count(F.lit(1))).scalar()
+    vocab = stage(top_vocabulary(term_stats(fit_docs, text_col, ngram_range, key), max_features)
+                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1), "tfidf-vocab")
+    terms = doc_terms(docs, text_col, ngram_range, key, vocab)
     w = terms.join(F.broadcast(vocab.select("term", "index", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # one document per window group
     return w.select(key, "term", "index", (F.col("w") / norm).alias("weight")), vocab
