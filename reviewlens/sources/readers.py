@@ -21,8 +21,11 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     later joins on that key).  Scans of a large table already have many
     splits and pass through untouched: no shuffle is added at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Connect session): leave the scan as it is
         return df
     return df.repartition(target, key) if key and key in df.columns else df.repartition(target)
 
@@ -99,7 +102,12 @@ def corrupt_count(spark: SparkSession, path: str) -> int:
     s = spark.read.json(path).schema
     if "_corrupt_record" not in s.fieldNames():
         return 0
-    return spark.read.schema(s).json(path).where(F.col("_corrupt_record").isNotNull()).cache().count()
+    # Spark refuses a query that reads only the corrupt-record column of a raw file: parse once, cached.
+    parsed = spark.read.schema(s).json(path).cache()
+    try:
+        return parsed.where(F.col("_corrupt_record").isNotNull()).count()
+    finally:
+        parsed.unpersist()
 
 
 # S-07 / S-08 ---------------------------------------------------------------------------

@@ -71,3 +71,9 @@ def test_stage_roundtrip(spark, tmp_path):
     back = IO.read_stage(spark, out, fmt="csv", schema="doc_id long, t string, r double").collect()
     assert [tuple(r) for r in back] == [(1, "a,\"b\"\nc", 1.0)]
     assert os.path.isdir(out)
+
+
+def test_corrupt_count(spark, tmp_path):
+    p = str(tmp_path / "r.jsonl")
+    write_jsonl(p)
+    assert IO.corrupt_count(spark, p) == 2  # truncated object and the non-object line; blank lines are skipped
