@@ -70,10 +70,17 @@ def term_stats(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "d
 def top_vocabulary(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """Capped vocabulary: top terms by corpus frequency (ties: term ascending) with df and a 0-based index.
 
-    The result has at most ``max_features`` rows: the bound that makes it a
-    safe broadcast side.
+    The cut is an exact distributed rank (buckets of (-freq, first two
+    characters), ``rank.prefix_sums``) on the written term statistics, not a
+    top-k merged in one task.  The result has at most ``max_features`` rows:
+    the bound that makes it a safe broadcast side and lets the final index
+    (terms in ascending order) be numbered in one task.
     """
-    top = stats.orderBy(F.col("freq").desc(), F.col("term")).limit(max_features)
+    from reviewlens.session import stage
+    st = stage(stats.select("term", "freq", "df"), "term-stats")
+    bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
+    r = R.prefix_sums(st, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")})
+    top = r.where(F.col("_r") <= max_features).drop("_r")
     return top.withColumn("index", (F.row_number().over(Window.orderBy(F.col("term"))) - 1).cast("int"))
 
 
