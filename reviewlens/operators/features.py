@@ -182,7 +182,8 @@ def vocab_by_freq(df: DataFrame, text_col: str, min_freq: int = MIN_FREQ) -> Dat
     Exact distributed rank: buckets (-freq, first two characters) coarsen the
     order, so even a frequency shared by a third of the terms is spread.
     """
-    tf = term_freq(df, text_col, min_freq)
+    from reviewlens.session import stage
+    tf = stage(term_freq(df, text_col, min_freq), "term-freq")  # read by the bucket totals and the ranking
     bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
     r = R.prefix_sums(tf, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")})
     return r.select("term", "freq", (F.col("_r") + 1).cast("int").alias("id"))
@@ -203,6 +204,8 @@ def vocab_first_seen(df: DataFrame, text_col: str, key: str = "doc_id", min_freq
     first = (ex.groupBy("term").agg(F.count(F.lit(1)).alias("freq"), F.min(F.struct(key, "pos")).alias("_f"))
              .where(F.col("freq") >= min_freq).select("term", "freq", F.col(f"_f.{key}").alias("first_doc"),
                                                      F.col("_f.pos").alias("first_pos")))
+    from reviewlens.session import stage
+    first = stage(first, "first-seen")  # read by the quantiles, the bucket totals and the ranking
     b = quantile_bucket(first, "first_doc", "_qb")
     r = R.prefix_sums(b, F.col("_qb"), [F.col("first_doc"), F.col("first_pos")], {"_r": F.lit(1).cast("bigint")})
     return r.select("term", "freq", "first_doc", "first_pos", (F.col("_r") + 1).cast("int").alias("id"))
