@@ -3,7 +3,7 @@
 * Word2Vec: MLlib ``Word2Vec`` (skip-gram, hierarchical softmax) on whitespace
   tokens; vectors differ from other libraries', shape and vocabulary agree.
 * TF-IDF-weighted document vectors: long TF-IDF rows joined to the word
-  vectors, exploded by dimension and summed per (document, dimension).
+  vectors, averaged per document by a weighted ``Summarizer.mean``.
 * Sentence embeddings: a pluggable batch encoder called from ``mapInPandas``
   (one encoder load per task), behind a content-keyed Parquet cache.
 """
@@ -41,16 +41,17 @@ def weighted_doc_vectors(docs: DataFrame, tfidf_long: DataFrame, vectors: DataFr
                          key: str = "doc_id") -> DataFrame:
     """X-04: sum(w * v) / sum(w) over terms with a vector and positive weight; zero vector otherwise.
 
-    Bigrams never have a word vector, so only unigram rows enter the join.
+    A weighted ``Summarizer.mean`` per document (JVM-side, vector-valued), so
+    no row is exploded per dimension.  Bigrams never have a word vector, so
+    only unigram rows enter the join.
     """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
     uni = tfidf_long.where(~F.col("term").contains(" ") & (F.col("weight") > 0))
-    j = uni.join(vectors, "term")
-    per = (j.select(key, "weight", F.posexplode("vec").alias("pos", "v"))
-           .groupBy(key, "pos").agg(F.sum(F.col("weight") * F.col("v")).alias("num")))
-    den = j.groupBy(key).agg(F.sum("weight").alias("den"))
-    vec = (per.join(den, key).groupBy(key)
-           .agg(F.array_sort(F.collect_list(F.struct("pos", (F.col("num") / F.col("den")).alias("x")))).alias("_p"))
-           .select(key, F.transform("_p", lambda s: s.getField("x").cast("float")).alias("vec")))
+    j = uni.join(vectors.select("term", array_to_vector("vec").alias("_v")), "term")
+    mean = j.groupBy(key).agg(Summarizer.mean(F.col("_v"), F.col("weight")).alias("_m"))
+    vec = mean.select(key, vector_array("_m").alias("vec"))
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return docs.select(key).join(vec, key, "left").select(key, F.coalesce("vec", zero).alias("vec"))
 
