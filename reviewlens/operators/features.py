@@ -79,7 +79,8 @@ def top_vocabulary(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFr
     from reviewlens.session import stage
     st = stage(stats.select("term", "freq", "df"), "term-stats")
     bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
-    r = R.prefix_sums(st, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")})
+    r = R.prefix_sums(st, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")},
+                      coarse=lambda b: b.getField("f"))
     top = r.where(F.col("_r") <= max_features).drop("_r")
     return top.withColumn("index", (F.row_number().over(Window.orderBy(F.col("term"))) - 1).cast("int"))
 
@@ -185,7 +186,8 @@ def vocab_by_freq(df: DataFrame, text_col: str, min_freq: int = MIN_FREQ) -> Dat
     from reviewlens.session import stage
     tf = stage(term_freq(df, text_col, min_freq), "term-freq")  # read by the bucket totals and the ranking
     bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
-    r = R.prefix_sums(tf, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")})
+    r = R.prefix_sums(tf, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")},
+                      coarse=lambda b: b.getField("f"))
     return r.select("term", "freq", (F.col("_r") + 1).cast("int").alias("id"))
 
 

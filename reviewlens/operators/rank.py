@@ -31,29 +31,38 @@ def seeded_hash(key, seed: int = DEFAULT_SEED) -> Column:
 
 def prefix_sums(df: DataFrame, bucket: Column, order: list[Column], measures: dict[str, Column],
                 partition_by: list[str] | None = None, bucket_desc: bool = False,
-                bounded_buckets: bool = False) -> DataFrame:
+                bounded_buckets: bool = False, coarse=None, _level: int = 0) -> DataFrame:
     """Add ``<name>`` = running sum of each measure over ``order`` within ``partition_by``.
 
     ``bucket`` must be monotone in ``order`` (ascending, or descending when
     ``bucket_desc``).  ``bounded_buckets`` declares that the bucket count is a
     small constant, which allows an explicit broadcast of the offsets.
+    ``coarse`` (a function of the bucket column, monotone in it) makes the
+    bucket offsets themselves a prefix sum over coarser buckets, so a large
+    bucket count never goes through one ordered window.
     """
     parts = list(partition_by or [])
-    d = df.withColumn("_bk", bucket)
-    for name, m in measures.items():
-        d = d.withColumn(f"_m_{name}", m)
-    tot = d.groupBy(*parts, "_bk").agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures])
-    bk_order = F.col("_bk").desc() if bucket_desc else F.col("_bk").asc()
-    w_off = Window.partitionBy(*parts).orderBy(bk_order).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*parts, "_bk",
-                      *[F.coalesce(F.sum(f"_t_{n}").over(w_off), F.lit(0)).alias(f"_o_{n}") for n in measures])
+    bk, t, o, m = f"_bk{_level}", f"_t{_level}_", f"_o{_level}_", f"_m{_level}_"
+    d = df.withColumn(bk, bucket)
+    for name, meas in measures.items():
+        d = d.withColumn(f"{m}{name}", meas)
+    tot = d.groupBy(*parts, bk).agg(*[F.sum(f"{m}{n}").alias(f"{t}{n}") for n in measures])
+    bk_order = F.col(bk).desc() if bucket_desc else F.col(bk).asc()
+    if coarse is None:
+        w_off = Window.partitionBy(*parts).orderBy(bk_order).rowsBetween(Window.unboundedPreceding, -1)
+        offs = tot.select(*parts, bk,
+                          *[F.coalesce(F.sum(f"{t}{n}").over(w_off), F.lit(0)).alias(f"{o}{n}") for n in measures])
+    else:
+        cum = prefix_sums(tot, coarse(F.col(bk)), [bk_order], {f"{o}{n}": F.col(f"{t}{n}") for n in measures},
+                          partition_by=parts, bucket_desc=bucket_desc, _level=_level + 1)
+        offs = cum.select(*parts, bk, *[(F.col(f"{o}{n}") - F.col(f"{t}{n}")).alias(f"{o}{n}") for n in measures])
     if bounded_buckets:
         offs = F.broadcast(offs)
-    d = d.join(offs, [*parts, "_bk"])
-    w_in = Window.partitionBy(*parts, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(offs, [*parts, bk])
+    w_in = Window.partitionBy(*parts, bk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     for n in measures:
-        d = d.withColumn(n, F.col(f"_o_{n}") + F.sum(f"_m_{n}").over(w_in))
-    return d.drop("_bk", *[f"_m_{n}" for n in measures], *[f"_o_{n}" for n in measures])
+        d = d.withColumn(n, F.col(f"{o}{n}") + F.sum(f"{m}{n}").over(w_in))
+    return d.drop(bk, *[f"{m}{n}" for n in measures], *[f"{o}{n}" for n in measures])
 
 
 def exact_rank(df: DataFrame, key: str, seed: int = DEFAULT_SEED, partition_by: list[str] | None = None,

@@ -55,3 +55,14 @@ def test_prefix_sums_hot_group(spark):
     out = R.prefix_sums(df, F.floor(F.col("s") * 64), [F.col("s")], {"c": F.col("v")}, partition_by=["g"])
     rows = out.where(F.col("g") == 0).orderBy("s").select("c").collect()
     assert [r.c for r in rows] == list(range(1, 4001))
+
+
+def test_prefix_sums_coarse_offsets_equal(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 37).alias("f"), F.col("id").cast("string").alias("t"))
+    bucket = F.struct((-F.col("f")).alias("nf"), F.substring("t", 1, 1).alias("p"))
+    order = [F.col("f").desc(), F.col("t")]
+    a = R.prefix_sums(df, bucket, order, {"r": F.lit(1)})
+    b = R.prefix_sums(df, bucket, order, {"r": F.lit(1)}, coarse=lambda c: c.getField("nf"))
+    ra = {r.t: r.r for r in a.collect()}
+    assert ra == {r.t: r.r for r in b.collect()}
+    assert sorted(ra.values()) == list(range(1, 3001))
