@@ -386,7 +386,10 @@ from reviewlens.operators import features as FT  # noqa: E402
 
 def work_split(spark, sf):
     """Work set with an exact seeded train/val/test split (fit on train only)."""
-    return R.split_exact(work_staged(spark, sf).select("doc_id", "clean_text", "sentiment"), "doc_id")
+    from reviewlens.session import stage
+    # read by the fit count, the fit statistics and the per-document counts: ranked once, written once
+    return stage(R.split_exact(work_staged(spark, sf).select("doc_id", "clean_text", "sentiment"), "doc_id"),
+                 "work-split")
 
 
 @query
@@ -414,7 +417,9 @@ def text_stats(spark, sf):
 
 @query
 def text_stats_scaled(spark, sf):
-    st = R.split_exact(_stats(spark, sf), "doc_id")
+    from reviewlens.session import stage
+    # statistics read by the count, the rank and the scaler fit: computed once, written once
+    st = stage(R.split_exact(stage(_stats(spark, sf), "text-stats"), "doc_id"), "text-stats-split")
     z = FT.standard_scale(st, st.where(F.col("split") == "train"), FT.STAT_COLS)
     return z.select("doc_id", "split", *[F.round(c, 6).alias(f"z_{c}") for c in FT.STAT_COLS])
 
