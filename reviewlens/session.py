@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,9 @@ _CONF = {
 }
 
 
+_STAGES: list[str] = []
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "reviewlens", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
@@ -41,8 +45,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (unit tests on one machine) do we pick a fresh local folder.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a ``local`` master
+    (unit tests on one machine) may leave it unset; anywhere else a
+    machine-local folder would scatter stages over the executors' disks, so
+    that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,29 +56,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application.
+
+    Python workers import it by name; on a cluster, or when the driver was
+    started from another folder, they would not find it otherwise.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_reviewlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="reviewlens-"), "reviewlens_pkg.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith((".py", ".txt")):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._reviewlens_shipped = True
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written stages."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     # Checkpoint dirs get a per-context uuid appended; keep our stages beside it.
-    return f"{base}/reviewlens-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-def is_local_fs(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/")
-
-
-def makedirs_if_local(uri: str) -> None:
-    if is_local_fs(uri):
-        os.makedirs(local_path(uri), exist_ok=True)
+    path = f"{base}/reviewlens-{name}-{uuid.uuid4().hex[:12]}"
+    _STAGES.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete every stage this process wrote; call when their readers are done.  Returns how many were there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        found += bool(path.getFileSystem(conf).delete(path, True))
+    return found
 
 
 def stage(df, name: str):
