@@ -61,7 +61,13 @@ class Page(HTMLParser):
         self.buffer: list[str] = []
         self.tags = 1
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def flush(self) -> None:
+        if not self.buffer:
+            self.tags = 1
+            return
         text = " ".join("".join(self.buffer).split())
         if text:
             self.lines.append((text, self.tags, bool(self.stack) and self.stack[-1][2], tuple(e[1] for e in self.stack)))
@@ -144,10 +150,11 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = np.array([len(text) / tags if not boiler else 0.0 for text, tags, boiler, _ in page.lines])
     smooth = smoothed(ratios)
+    threshold = smooth.std()
     votes: dict[int, int] = {}
     total = 0
     for (text, _, boiler, around), s in zip(page.lines, smooth):
-        if not boiler and s >= smooth.std():
+        if not boiler and s >= threshold:
             total += len(text)
             for e in around:
                 votes[e] = votes.get(e, 0) + len(text)

@@ -23,7 +23,7 @@ from reviewlens.session import stage
 
 from .common import arrow_ready, parts_of
 
-ORDERS = (3, 4)
+ORDERS = (4,)
 PLACES = 1 << 21
 HASHES = 3
 MIN_FREQUENCY = 2e-6
