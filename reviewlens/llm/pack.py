@@ -33,7 +33,7 @@ VOCABULARY = "word_bpe_49k.json"
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9]|[^\sa-zªµºß-öø-ÿ0-9]+")
 #: Entries of a task's caches; a full cache is emptied and filled again, results do not depend on it.
-_CACHE = 1_000_000
+_CACHE = 700_000
 
 
 class Encoder:
@@ -146,7 +146,7 @@ def pieces_by(path: str | None, name: str, capacity: int, end_id: int):
     def run(batches):
         enc = encoder(path or vocabulary_path(name))
         for batch in batches:
-            for part in parts_of(batch, max_bytes=BATCH_BYTES // 2):
+            for part in parts_of(batch, max_bytes=BATCH_BYTES // 4):
                 ids, ends = enc.encode(part.column("text"))
                 rows: list[tuple] = []
                 start = 0
