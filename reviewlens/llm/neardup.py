@@ -254,10 +254,11 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     label = components(links)
     in_small, in_large = rest_pairs(members, label, sets)
     more = stage(verified(likely(in_small.union(in_large).distinct(), chosen), sets), "links")
-    if not more.isEmpty():
-        label = components(links.union(more))
-
-    rooted = stage(with_root(nodes.select("node", "first_doc"), label, "node", "root"), "rooted")
+    # What joins components is counted once a pair of components, however many members it links.
+    merged = with_root(with_root(more, label, "a", "ra"), label, "b", "rb").select(
+        F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    rooted = with_root(with_root(nodes.select("node", "first_doc"), label, "node", "part"), components(merged), "part", "root")
+    rooted = stage(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
     names = rooted.join(named, "root").select("node", "component")
     d = signed.select("doc_id", "n_shingles", "node").join(names, "node", "left")
