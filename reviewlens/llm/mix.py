@@ -13,14 +13,14 @@ What the driver holds is one row a source and shard: names, sizes and counts, ne
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import with_computed
 from reviewlens.operators.rank import prefix_sums
 from reviewlens.session import stage
 
-from .common import WORD, arrow_ready, parts_of, text_key, text_or_empty
+from .common import WORD, arrow_ready, packed_row, parts_of, text_key, unpacked_row
 from .permute import halves, permuted
 
 #: Weights of the sources in their order, repeated.
@@ -184,17 +184,17 @@ def mixed_documents(df: DataFrame, block: int = BLOCK, **options) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_parts"), F.sum(F.col("hi") - F.col("lo")).alias("_words"))
     chosen = own.join(documents.select("source_no", "n", "doc_id", "h", "size"), ["source_no", "n"])
     # Repeated rows: one of each (doc_id, text) is joined with the choices of all its copies.
-    one = df.dropDuplicates(["doc_id", "text"]) if documents.groupBy("doc_id", "h").count().where("count > 1").limit(1).count() else df
-    chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "size", "_parts", "_words")
-    d = one.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_key() == F.col("_h")))
-    words = F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))
+    repeated = documents.groupBy("doc_id", "h").count().where("count > 1")
+    one = df if repeated.isEmpty() else df.dropDuplicates(["doc_id", "text"])
+    rows = one.select(packed_row(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
+    d = rows.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("h")))
+    words = F.regexp_extract_all(F.coalesce("_t", F.lit("")), F.lit(WORD), F.lit(0))
     whole = F.col("_words") == F.col("size")
     d = with_computed(d, _w=F.when(whole, F.lit(None)).otherwise(words))
     picked = F.flatten(F.transform("_parts", lambda p: F.slice(F.col("_w"), (p["lo"] + 1).cast("int"),
                                                               (p["hi"] - p["lo"]).cast("int"))))
-    d = with_computed(d, _text=F.when(whole, F.col("text")).otherwise(F.array_join(picked, " ")))
-    new: dict[str, Column] = {"text": F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
-    return d.select(*[new[c].alias(c) if c in new else df[c] for c in df.columns])
+    d = with_computed(d, _text=F.when(whole, F.col("_t")).otherwise(F.array_join(picked, " ")))
+    return d.select(*unpacked_row(df.columns, text=F.col("_text"), n_chars=F.length("_text").cast("bigint")))
 
 
 def op5_mix(spark, sf_dir: str) -> DataFrame:

@@ -14,13 +14,13 @@ After the last round every occurrence of a known instance that overlaps no base
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import with_computed
 from reviewlens.session import stage
 
-from .common import text_key, text_or_empty
+from .common import packed_row, text_key, text_or_empty, unpacked_row
 
 # The contract's patterns, written so that Java matches them in linear time: possessive repeats where giving back
 # cannot help, and no start inside a run whose first character failed already (\G: after a match one may).
@@ -37,12 +37,14 @@ MIN_KNOWN = 3
 MIN_SHARE = 0.8
 
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
+_WORD = "struct<gap:bigint,value:string,before:string>"
 
 
 def matches(text: Column, pattern: str, valid) -> Column:
     """Valid leftmost non-overlapping matches as (start, end, value); positions in code points.
 
     The pieces between matches (``split``) and the matches, zipped, add up to the text, so their lengths give places.
+    Only valid matches are gathered.
     """
     zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
                         lambda gap, m: F.struct(F.length(gap).cast("bigint").alias("gap"), m.alias("m")))
@@ -101,21 +103,35 @@ def base_spans(df: DataFrame) -> DataFrame:
 
 
 def occurrences(text: Column) -> Column:
-    """Every word with a digit or at sign: (start, end, value, word before it in lower case)."""
+    """Every word with a digit or at sign, in turn: (characters between it and the one before, value, word before it)."""
     flat = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    zipped = F.zip_with(F.split(flat, OCCURRENCE, -1), F.regexp_extract_all(flat, F.lit(OCCURRENCE), F.lit(0)),
-                        lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
+    zipped = F.zip_with(
+        F.split(flat, OCCURRENCE, -1), F.regexp_extract_all(flat, F.lit(OCCURRENCE), F.lit(0)),
+        lambda gap, m: F.struct(F.length(gap).cast("bigint").alias("gap"), m.alias("value"),
+                                F.lower(F.substring_index(F.rtrim(gap), " ", -1)).alias("before")))
+    return F.filter(zipped, lambda x: x["value"].isNotNull())
 
-    def step(s, x):
-        start = s["pos"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        before = F.lower(F.substring_index(F.rtrim(x["gap"]), " ", -1))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"), before.alias("before")))
-        return F.struct(end.alias("pos"), F.when(x["m"].isNotNull(), F.concat(s["out"], one)).otherwise(s["out"]).alias("out"))
-
-    out = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
-    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(out).alias("out"))
-    return F.aggregate(zipped, zero, step, lambda s: s["out"])
+
+def with_seeds(d: DataFrame) -> DataFrame:
+    """Occurrences by row, with ``seed``: whether a base span overlaps them.
+
+    Spans and occurrences of a text meet in the order of their places: an occurrence overlaps a span that starts before
+    its end if the furthest end of those so far is behind its start.
+    """
+    one = d.where(F.size("occ") > 0).dropDuplicates(["doc_id", "h"])
+    none = F.lit(None).cast("bigint")
+    in_turn = Window.partitionBy("doc_id", "h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    words = one.select("doc_id", "h", F.posexplode("occ").alias("i", "o")).withColumn(
+        "end", F.sum(F.col("o.gap") + F.length("o.value")).over(in_turn)).select(
+        "doc_id", "h", (F.col("end") - F.length("o.value")).alias("start"), "end", "o.value", "o.before",
+        F.col("end").alias("at"), F.lit(0).alias("kind"), none.alias("reach"))
+    spans = one.select("doc_id", "h", F.inline(F.concat("email", "ip", "card", "phone"))).select(
+        "*", F.lit("").alias("before"), F.col("start").alias("at"), F.lit(1).alias("kind"), F.col("end").alias("reach"))
+    so_far = Window.partitionBy("doc_id", "h").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = words.unionByName(spans).withColumn(
+        "seed", F.coalesce(F.max("reach").over(so_far) > F.col("start"), F.lit(False)))
+    return both.where("kind = 0").select("doc_id", "h", "start", "end", "value", "before", "seed",
+                                         shape(F.col("value")).alias("shape"))
 
 
 def shape(value: Column) -> Column:
@@ -154,16 +170,11 @@ def find(df: DataFrame, **limits) -> DataFrame:
     """
     docs = base_spans(df.select("doc_id", text_or_empty().alias("text")))
     seen = F.when(F.col("text").rlike("[0-9@]"), occurrences(F.col("text")))
-    spans = F.concat("email", "ip", "card", "phone")
-    d = with_computed(docs, h=text_key(), occ=seen, spans=spans)
+    d = with_computed(docs, h=text_key(), occ=F.coalesce(seen, F.array().cast(f"array<{_WORD}>")))
     # No text is written: only spans and the few words that look like identifiers.
-    base = stage(d.select("doc_id", "h", "email", "ip", "card", "phone", F.transform(
-        F.coalesce("occ", F.array().cast("array<struct<start:bigint,end:bigint,value:string,before:string>>")),
-        lambda o: F.struct(o["start"].alias("start"), o["end"].alias("end"), o["value"].alias("value"),
-                           o["before"].alias("before"),
-                           F.exists("spans", lambda s: (s["start"] < o["end"]) & (s["end"] > o["start"])).alias("seed"))
-    ).alias("occ")), "pii")
-    occ = base.select("doc_id", "h", F.inline("occ")).withColumn("shape", shape(F.col("value")))
+    base = stage(d.select("doc_id", "h", "email", "ip", "card", "phone", "occ"), "pii")
+    occ = stage(with_seeds(base), "occurrences")
+    base = base.drop("occ")
     new = bootstrap(occ, **limits)
     found = (occ.where("not seed").join(new, "value").groupBy("doc_id", "h")
              .agg(F.array_sort(F.collect_set(F.struct("start", "end", "value"))).cast(_SPANS).alias("context")))
@@ -187,24 +198,25 @@ def redact(df: DataFrame, **limits) -> DataFrame:
     """
     marked = [F.transform(k, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), s["end"].alias("end"),
                                                 F.lit(f"[{k.upper()}]").alias("mark"))) for i, k in enumerate(KINDS)]
-    spans = (find(df, **limits).select("doc_id", "h", F.array_sort(F.concat(*marked)).alias("spans"))
-             .where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"])
-             .withColumnsRenamed({"doc_id": "_d", "h": "_h", "spans": "_spans"}))
-    d = df.join(spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_key() == F.col("_h")), "left")
+    spans = (find(df, **limits).select(F.col("doc_id").alias("_d"), "h", F.array_sort(F.concat(*marked)).alias("_spans"))
+             .where(F.size("_spans") > 0).dropDuplicates(["_d", "h"]))
+    rows = df.select(packed_row(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
+    d = rows.join(spans, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("h")), "left")
 
     def step(s, x):
-        piece = F.substring(F.col("text"), (s["pos"] + 1).cast("int"), (x["start"] - s["pos"]).cast("int"))
+        piece = F.substring(F.col("_t"), (s["pos"] + 1).cast("int"), (x["start"] - s["pos"]).cast("int"))
         return F.when(x["start"] >= s["pos"], F.struct(x["end"].alias("pos"), F.concat(s["out"], piece, x["mark"]).alias("out"))
                       ).otherwise(s)
 
     zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit("").alias("out"))
     cut = F.aggregate("_spans", zero, step, lambda s: F.concat(
-        s["out"], F.substring(F.col("text"), (s["pos"] + 1).cast("int"), F.length("text"))))
+        s["out"], F.substring(F.col("_t"), (s["pos"] + 1).cast("int"), F.length("_t"))))
     changed = F.col("_spans").isNotNull()
-    d = with_computed(d, _text=F.when(changed, cut).otherwise(F.col("text")))
-    new = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("bigint")).otherwise(F.col("n_chars"))
-           if "n_chars" in df.columns else None}
-    return d.select(*[new[c].alias(c) if new.get(c) is not None else df[c] for c in df.columns])
+    d = with_computed(d, _text=F.when(changed, cut).otherwise(F.col("_t")))
+    new = {"text": F.col("_text")}
+    if "n_chars" in df.columns:
+        new["n_chars"] = F.when(changed, F.length("_text").cast("bigint")).otherwise(F.col("_row")["n_chars"])
+    return d.select(*unpacked_row(df.columns, **new))
 
 
 def op7_personal_data(spark, sf_dir: str) -> DataFrame:

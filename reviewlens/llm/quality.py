@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.session import stage
 
-from .common import arrow_ready, parts_of, ragged_take, split_words
+from .common import arrow_ready, packed_row, parts_of, ragged_take, split_words, unpacked_row
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = r"[#*$%&|<>]"
@@ -135,19 +135,19 @@ def measure(texts: pa.Array, path: str) -> list[np.ndarray]:
             n_chars / some, sums(p.is_byte[ids], token_ends) / some, entropies(ids, token_ends)]
 
 
-def measured(df: DataFrame, keep: list[str], prefix: str = "", path: str | None = None) -> DataFrame:
-    """``keep`` columns of ``df`` with the measures of its column ``text`` (names with ``prefix``)."""
+def measured(df: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:
+    """``keep`` columns of ``df`` with the measures of its column ``text``."""
     arrow_ready(df.sparkSession)
-    names = [prefix + n for n, _ in MEASURES]
-    source = df.select(*[df[c] for c in keep], F.col("text").alias(f"{prefix}_text"))
+    names = [n for n, _ in MEASURES]
+    source = df.select(*[df[c] for c in keep], F.col("text").alias("_text"))
 
     def run(batches):
         import public_tokenizers
 
         file = path or public_tokenizers.path(VOCABULARY)
         for batch in batches:
-            for part in parts_of(batch, f"{prefix}_text"):
-                cols = measure(part.column(f"{prefix}_text"), file)
+            for part in parts_of(batch, "_text"):
+                cols = measure(part.column("_text"), file)
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *[pa.array(c) for c in cols]], [*keep, *names])
 
     schema = df.select(*[df[c] for c in keep]).schema
@@ -156,31 +156,31 @@ def measured(df: DataFrame, keep: list[str], prefix: str = "", path: str | None
     return source.mapInArrow(run, schema)
 
 
-def base_failed(prefix: str = "") -> Column:
+def base_failed() -> Column:
     """The contract's base rules."""
-    words = F.col(f"{prefix}n_words")
-    return (words < MIN_WORDS) | (100 * F.col(f"{prefix}n_repeat_words") > MAX_REPEAT_PERCENT * words)
+    words = F.col("n_words")
+    return (words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words)
 
 
-def judged(d: DataFrame, lang: Column, prefix: str = "", limits: dict = BANDS) -> DataFrame:
-    """Add ``<prefix>base_failed`` and ``<prefix>kept`` to a written table of measures.
+def judged(d: DataFrame, lang: Column, limits: dict = BANDS) -> DataFrame:
+    """Add ``base_failed`` and ``kept`` to a written table of measures.
 
     The bands come from all documents that the base rules leave, by language (null: one group) and size class.
     """
-    size_class = F.floor(F.log2(F.greatest(F.col(f"{prefix}n_tokens"), F.lit(1)))).cast("int")
-    d = d.withColumns({f"{prefix}base_failed": base_failed(prefix), "_lang": F.coalesce(lang.cast("string"), F.lit("")),
+    size_class = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+    d = d.withColumns({"base_failed": base_failed(), "_lang": F.coalesce(lang.cast("string"), F.lit("")),
                        "_class": size_class})
-    quart = [F.percentile_approx(prefix + m, [0.25, 0.75], 10_000).alias(f"_{m}") for m in limits]
-    bands = d.where(~F.col(f"{prefix}base_failed")).groupBy("_lang", "_class").agg(F.count(F.lit(1)).alias("_n"), *quart)
+    quart = [F.percentile_approx(m, [0.25, 0.75], 10_000).alias(f"_{m}") for m in limits]
+    bands = d.where(~F.col("base_failed")).groupBy("_lang", "_class").agg(F.count(F.lit(1)).alias("_n"), *quart)
     d = d.join(bands, ["_lang", "_class"], "left")
     inside = F.lit(True)
     for m, (reach, least) in limits.items():
         lo, hi = F.col(f"_{m}")[0], F.col(f"_{m}")[1]
         slack = reach * F.greatest(hi - lo, F.lit(least))
-        value = F.col(prefix + m)
+        value = F.col(m)
         ok = value <= hi + slack if m == "byte_share" else value >= lo - slack
         inside = inside & (ok | (F.coalesce("_n", F.lit(0)) < MIN_GROUP))
-    return d.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & inside).drop(
+    return d.withColumn("kept", ~F.col("base_failed") & inside).drop(
         "_lang", "_class", "_n", *[f"_{m}" for m in limits])
 
 
@@ -195,8 +195,9 @@ def quality(df: DataFrame) -> DataFrame:
 
 def kept_documents(df: DataFrame) -> DataFrame:
     """The rows of ``df`` that the rules keep, with their columns as they are.  Texts are written once, with their measures."""
-    d = judged(stage(measured(df, df.columns, "_q_"), "quality"), F.col("lang"), "_q_")
-    return d.where("_q_kept").select(*df.columns)
+    rows = df.select(packed_row(df, "text"), df["lang"].alias("_l"), df["text"].alias("text"))
+    d = judged(stage(measured(rows, ["_row", "_l", "text"]), "quality"), F.col("_l"))
+    return d.where("kept").select(*unpacked_row(df.columns, text=F.col("text")))
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
