@@ -36,15 +36,14 @@ def text_key(name: str = "text") -> Column:
     return F.xxhash64(text_or_empty(name))
 
 
-def packed_row(df: DataFrame, *apart: str) -> Column:
-    """All columns but ``apart`` as one struct ``_row``, so that helper columns cannot clash with them."""
-    rest = [df[c] for c in df.columns if c not in apart]
-    return (F.struct(*rest) if rest else F.lit(None)).alias("_row")
+def numbered(df: DataFrame, *apart: str) -> list[Column]:
+    """All columns but ``apart`` under the names ``_c0, _c1, ...``, so that helper columns cannot clash with them."""
+    return [df[c].alias(f"_c{i}") for i, c in enumerate(df.columns) if c not in apart]
 
 
-def unpacked_row(columns: list[str], **new: Column) -> list[Column]:
-    """The columns of ``packed_row`` again, those in ``new`` with their new values."""
-    return [new[c].alias(c) if c in new else F.col("_row")[c].alias(c) for c in columns]
+def renamed(columns: list[str], **new: Column) -> list[Column]:
+    """The columns of ``numbered`` under their own names, those in ``new`` with their new values."""
+    return [(new[c] if c in new else F.col(f"_c{i}")).alias(c) for i, c in enumerate(columns)]
 
 
 def parts_of(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 4 << 20):

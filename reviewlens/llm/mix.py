@@ -20,7 +20,7 @@ from reviewlens.functions.columns import with_computed
 from reviewlens.operators.rank import prefix_sums
 from reviewlens.session import stage
 
-from .common import WORD, arrow_ready, packed_row, parts_of, text_key, unpacked_row
+from .common import WORD, arrow_ready, numbered, parts_of, renamed, text_key
 from .permute import halves, permuted
 
 #: Weights of the sources in their order, repeated.
@@ -186,7 +186,7 @@ def mixed_documents(df: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     # Repeated rows: one of each (doc_id, text) is joined with the choices of all its copies.
     repeated = documents.groupBy("doc_id", "h").count().where("count > 1")
     one = df if repeated.isEmpty() else df.dropDuplicates(["doc_id", "text"])
-    rows = one.select(packed_row(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
+    rows = one.select(*numbered(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
     d = rows.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("h")))
     words = F.regexp_extract_all(F.coalesce("_t", F.lit("")), F.lit(WORD), F.lit(0))
     whole = F.col("_words") == F.col("size")
@@ -194,7 +194,7 @@ def mixed_documents(df: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     picked = F.flatten(F.transform("_parts", lambda p: F.slice(F.col("_w"), (p["lo"] + 1).cast("int"),
                                                               (p["hi"] - p["lo"]).cast("int"))))
     d = with_computed(d, _text=F.when(whole, F.col("_t")).otherwise(F.array_join(picked, " ")))
-    return d.select(*unpacked_row(df.columns, text=F.col("_text"), n_chars=F.length("_text").cast("bigint")))
+    return d.select(*renamed(df.columns, text=F.col("_text"), n_chars=F.length("_text").cast("bigint")))
 
 
 def op5_mix(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions.columns import with_computed
 from reviewlens.session import stage
 
-from .common import packed_row, text_key, text_or_empty, unpacked_row
+from .common import numbered, renamed, text_key, text_or_empty
 
 # The contract's patterns, written so that Java matches them in linear time: possessive repeats where giving back
 # cannot help, and no start inside a run whose first character failed already (\G: after a match one may).
@@ -200,7 +200,7 @@ def redact(df: DataFrame, **limits) -> DataFrame:
                                                 F.lit(f"[{k.upper()}]").alias("mark"))) for i, k in enumerate(KINDS)]
     spans = (find(df, **limits).select(F.col("doc_id").alias("_d"), "h", F.array_sort(F.concat(*marked)).alias("_spans"))
              .where(F.size("_spans") > 0).dropDuplicates(["_d", "h"]))
-    rows = df.select(packed_row(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
+    rows = df.select(*numbered(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
     d = rows.join(spans, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("h")), "left")
 
     def step(s, x):
@@ -215,8 +215,8 @@ def redact(df: DataFrame, **limits) -> DataFrame:
     d = with_computed(d, _text=F.when(changed, cut).otherwise(F.col("_t")))
     new = {"text": F.col("_text")}
     if "n_chars" in df.columns:
-        new["n_chars"] = F.when(changed, F.length("_text").cast("bigint")).otherwise(F.col("_row")["n_chars"])
-    return d.select(*unpacked_row(df.columns, **new))
+        new["n_chars"] = F.when(changed, F.length("_text").cast("bigint")).otherwise(F.col(f"_c{df.columns.index('n_chars')}"))
+    return d.select(*renamed(df.columns, **new))
 
 
 def op7_personal_data(spark, sf_dir: str) -> DataFrame:

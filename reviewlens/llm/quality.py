@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.session import stage
 
-from .common import arrow_ready, packed_row, parts_of, ragged_take, split_words, unpacked_row
+from .common import arrow_ready, numbered, parts_of, ragged_take, renamed, split_words
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = r"[#*$%&|<>]"
@@ -195,9 +195,9 @@ def quality(df: DataFrame) -> DataFrame:
 
 def kept_documents(df: DataFrame) -> DataFrame:
     """The rows of ``df`` that the rules keep, with their columns as they are.  Texts are written once, with their measures."""
-    rows = df.select(packed_row(df, "text"), df["lang"].alias("_l"), df["text"].alias("text"))
-    d = judged(stage(measured(rows, ["_row", "_l", "text"]), "quality"), F.col("_l"))
-    return d.where("kept").select(*unpacked_row(df.columns, text=F.col("text")))
+    rows = df.select(*numbered(df, "text"), df["lang"].alias("_l"), df["text"].alias("text"))
+    d = judged(stage(measured(rows, rows.columns), "quality"), F.col("_l"))
+    return d.where("kept").select(*renamed(df.columns, text=F.col("text")))
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
