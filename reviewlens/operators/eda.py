@@ -231,11 +231,12 @@ def top_ngrams_by_class(work: DataFrame, ns=(1, 2), k: int = 5, text_col: str =
             .select(sentiment_col, "n", "rnk", "ngram", "cnt"))
 
 
-def cloud_terms(work: DataFrame, per_class: int = 5_000, k: int = 100, text_col: str = "clean_text",
+def cloud_terms(work: DataFrame, per_class: int | None = None, k: int = 100, text_col: str = "clean_text",
                 sentiment_col: str = "sentiment", key: str = "doc_id", seed: int = R.DEFAULT_SEED) -> DataFrame:
-    """W-02/W-03/R-01: seeded sample of <= per_class docs per class, top-k non-stop words per class."""
-    sample = R.exact_rank(work.where(F.col(sentiment_col).isNotNull()), key, seed, partition_by=[sentiment_col],
-                          rank_col="_r").where(F.col("_r") <= per_class)
+    """W-02/W-03/R-01: top-k non-stop words per class, over all docs or a seeded sample of <= per_class docs a class."""
+    sample = work.where(F.col(sentiment_col).isNotNull())
+    if per_class is not None:
+        sample = R.exact_rank(sample, key, seed, partition_by=[sentiment_col], rank_col="_r").where(F.col("_r") <= per_class)
     stops = work.sparkSession.createDataFrame([(w,) for w in english_stop_words()], "ngram string")
     toks = sample.select(sentiment_col, F.explode(X.ws_tokens(F.col(text_col))).alias("ngram"))
     toks = toks.join(F.broadcast(stops), "ngram", "left_anti")  # fixed 181-word list
@@ -243,10 +244,10 @@ def cloud_terms(work: DataFrame, per_class: int = 5_000, k: int = 100, text_col:
     return top_k_per_group(counts, sentiment_col, k).select(sentiment_col, "rnk", "ngram", "cnt")
 
 
-def cloud_doc_counts(work: DataFrame, per_class: int = 5_000, sentiment_col: str = "sentiment") -> DataFrame:
-    """D-03: docs per class in the cloud sample = least(class size, per_class)."""
-    return (work.where(F.col(sentiment_col).isNotNull()).groupBy(sentiment_col)
-            .agg(F.least(F.count(F.lit(1)), F.lit(per_class)).alias("n_docs")))
+def cloud_doc_counts(work: DataFrame, per_class: int | None = None, sentiment_col: str = "sentiment") -> DataFrame:
+    """D-03: docs per class that the cloud reads: the class size, or least(class size, per_class)."""
+    n = F.count(F.lit(1)) if per_class is None else F.least(F.count(F.lit(1)), F.lit(per_class))
+    return work.where(F.col(sentiment_col).isNotNull()).groupBy(sentiment_col).agg(n.alias("n_docs"))
 
 
 # R-02 / R-03 --------------------------------------------------------------------

@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens.session import ship_package
 from reviewlens.functions import text as X
 
 W2V = {"vectorSize": 128, "windowSize": 5, "minCount": 2, "maxIter": 5, "seed": 42}
@@ -85,16 +86,20 @@ def embed_with_cache(spark: SparkSession, docs: DataFrame, text_col: str, cache_
     Misses are found with a left-anti join, encoded once per distinct text in
     ``mapInPandas``, appended to the cache, and every document is joined back.
     """
-    d = docs.withColumn("text_md5", F.md5(F.col(text_col)))
-    try:
-        cached = spark.read.parquet(cache_path).where(F.col("model") == model)
-    except Exception:  # noqa: BLE001  (no cache yet)
+    ship_package(spark)
+    # A null text is encoded as the empty one; entries that two jobs wrote at once count once.
+    d = docs.withColumn("text_md5", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache_path)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        cached = spark.read.parquet(cache_path).where(F.col("model") == model).dropDuplicates(["text_md5"])
+    else:
         cached = spark.createDataFrame([], "model string, text_md5 string, embedding array<float>")
-    misses = d.select("text_md5", text_col).dropDuplicates(["text_md5"]).join(
+    misses = d.select("text_md5", F.coalesce(F.col(text_col), F.lit("")).alias(text_col)).dropDuplicates(["text_md5"]).join(
         cached.select("text_md5"), "text_md5", "left_anti")
     fresh = misses.mapInPandas(_encode_batches(encoder, text_col), "text_md5 string, embedding array<float>")
     fresh.select(F.lit(model).alias("model"), "text_md5", "embedding").write.mode("append").parquet(cache_path)
     hit_keys = cached.select("text_md5", F.lit(True).alias("from_cache"))
-    table = spark.read.parquet(cache_path).where(F.col("model") == model).select("text_md5", "embedding")
+    table = (spark.read.parquet(cache_path).where(F.col("model") == model).select("text_md5", "embedding")
+             .dropDuplicates(["text_md5"]))
     return (d.join(table, "text_md5").join(hit_keys, "text_md5", "left")
             .select(*docs.columns, "embedding", F.coalesce("from_cache", F.lit(False)).alias("from_cache")))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions import text as X
 from reviewlens.functions.columns import with_computed
 from reviewlens.functions.porter import stem
+from reviewlens.session import ship_package
 
 
 def _stem_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -27,6 +28,7 @@ def _stem_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def stem_table(tokens: DataFrame) -> DataFrame:
     """(term, mapped) for each distinct term of a (.., term) table."""
+    ship_package(tokens.sparkSession)
     return tokens.select("term").distinct().mapInPandas(_stem_batches, "term string, mapped string")
 
 

@@ -67,7 +67,10 @@ def _report_row(label: str, p: str, r: str, f: str):
 def class_report(scored: DataFrame, names: dict[int, str] | None = None) -> DataFrame:
     """E-03: per-class rows + accuracy, macro avg, weighted avg; 4 dp, integer support."""
     pc = per_class(scored)
-    label = class_name(F.col("cls")) if names is None else F.col("cls").cast("string")
+    label = class_name(F.col("cls"))
+    if names is not None:
+        named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+        label = F.coalesce(F.try_element_at(named, F.col("cls").cast("int")), F.col("cls").cast("string"))
     cls_rows = pc.select(label.alias("label"), "precision", "recall", "f1", F.col("support"))
     tot = pc.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
@@ -132,7 +135,7 @@ def roc_auc(scored: DataFrame, n_classes: int = 3, score_bins: int = 4096) -> Da
         F.sum(F.col("pos") * (F.col("neg_le") - 0.5 * F.col("neg"))).alias("num"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
         .select(F.col("cls").cast("string").alias("cls"),
-                F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N"))).alias("auc")))
+                F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P").cast("double") * F.col("N"))).alias("auc")))
     macro = per.agg(F.when(F.count("auc") == F.count(F.lit(1)), F.avg("auc")).alias("auc")).select(
         F.lit("macro").alias("cls"), "auc")
     return per.unionByName(macro).select("cls", F.round("auc", 6).alias("auc"))

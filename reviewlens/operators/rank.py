@@ -80,15 +80,8 @@ def exact_rank(df: DataFrame, key: str, seed: int = DEFAULT_SEED, partition_by:
     return out.drop("_h")
 
 
-def sample_exact(df: DataFrame, n: int, key: str, seed: int = DEFAULT_SEED, small_n: int = 1_000) -> DataFrame:
-    """T-01: exactly min(n, count) rows, seeded, no replacement.
-
-    Small n: top-n by the seeded hash (TakeOrderedAndProject keeps n rows per
-    task, n x tasks rows reach the final merge).  Larger n: exact distributed
-    rank, so nothing funnels through one task.
-    """
-    if n <= small_n:
-        return df.withColumn("_h", seeded_hash(key, seed)).orderBy("_h", key).limit(n).drop("_h")
+def sample_exact(df: DataFrame, n: int, key: str, seed: int = DEFAULT_SEED) -> DataFrame:
+    """T-01 / T-02: exactly min(n, count) rows, seeded, no replacement; one plan for every n."""
     return exact_rank(df, key, seed, rank_col="_r").where(F.col("_r") <= n).drop("_r")
 
 

@@ -643,9 +643,9 @@ def save_load_score(spark, sf):
 def learning_curve(spark, sf):
     """R-04: refit on nested seeded fractions of train (exact-rank prefixes), score the same test."""
     sp = learn_split(spark, sf)
-    data = R.exact_rank(represent(sp, "tfidf").select("doc_id", "label", "features", "split"), "doc_id",
-                        seed=7, rank_col="_r").cache()
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split").cache()
+    train = R.exact_rank(data.where(F.col("split") == "train"), "doc_id", seed=7, rank_col="_r").cache()
+    test = data.where(F.col("split") == "test")
     n = train.count()
     out = None
     for frac in (0.25, 0.5, 1.0):
@@ -810,12 +810,12 @@ def w2v_weighted(spark, sf):
 
 @query
 def embed_cached(spark, sf):
-    """X-05 / S-09 / J-06 / U-01 / V-03: content-keyed embedding cache; train first, then train+test."""
+    """X-05 / S-09 / J-06 / U-01 / V-03: content-keyed embedding cache; train first, then all splits."""
     sp = learn_split(spark, sf).select("doc_id", "split", "clean_text")
     cache = scratch_dir(spark, "embed-cache")
     EM.embed_with_cache(spark, sp.where(F.col("split") == "train"), "clean_text", cache)
-    both = sp.where(F.col("split") == "train").unionByName(sp.where(F.col("split") == "test"))  # U-01
-    out = EM.embed_with_cache(spark, both, "clean_text", cache)
+    parts = [sp.where(F.col("split") == s) for s in ("train", "val", "test")]
+    out = EM.embed_with_cache(spark, parts[0].unionByName(parts[1]).unionByName(parts[2]), "clean_text", cache)  # U-01
     return out.select("doc_id", "split", F.size("embedding").alias("dim"), "from_cache")
 
 

@@ -161,15 +161,14 @@ group by ngram order by cnt desc, ngram limit 20"""
 
 SQL["cloud_terms"] = f"""
 with w as (select * from {WORK} where sentiment is not null),
-s as (select *, {rank_sql('doc_id', partition='sentiment')} as r from w),
-t as (select sentiment, unnest({S.ws_tokens('clean_text')}) as ngram from s where r <= 5000),
+t as (select sentiment, unnest({S.ws_tokens('clean_text')}) as ngram from w),
 stops(ngram) as (values {STOP_VALUES}),
 c as (select sentiment, ngram, count(*) as cnt from t where ngram not in (select ngram from stops) group by all),
 r as (select *, row_number() over (partition by sentiment order by cnt desc, ngram) as rnk from c)
 select sentiment, cast(rnk as integer) as rnk, ngram, cnt from r where rnk <= 100"""
 
 SQL["cloud_doc_counts"] = f"""
-select sentiment, least(count(*), 5000) as n_docs from {WORK} where sentiment is not null group by sentiment"""
+select sentiment, count(*) as n_docs from {WORK} where sentiment is not null group by sentiment"""
 
 SQL["vocab_stats"] = f"""
 with w as {WORK}, t as (select unnest({S.ws_tokens('lower(clean_text)')}) as tok from w)
@@ -472,5 +471,5 @@ union all select 'duplicates', 'n_duplicates', cast(count(*) - count(distinct re
   - max(case when review_text is null then 1 else 0 end) as double) from {V1}
 union all select 'vocab', 'vocab_size', cast(count(distinct tok) as double)
   from (select unnest({S.ws_tokens('lower(clean_text)')}) as tok from w)
-union all select 'cloud_docs', sentiment, cast(least(count(*), 5000) as double) from w
+union all select 'cloud_docs', sentiment, cast(count(*) as double) from w
   where sentiment is not null group by sentiment"""
