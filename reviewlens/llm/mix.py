@@ -32,6 +32,8 @@ SHARDS = 64
 SEED = 20240605
 #: Slots that one row of the plan unrolls to at a time.
 _RUN = 4096
+#: Runs a task unrolls, and the most tasks.  Runs are tiny until unrolled, so their bytes say nothing about the work.
+_RUNS_A_TASK, _MOST_TASKS = 32, 20_000
 
 
 def word_counts(texts) -> np.ndarray:
@@ -144,7 +146,8 @@ def mix(df: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLOCK, sh
             for s in range(counts.shape[0]) for i in range(counts.shape[1]) if counts[s, i]]
     plan = spark.createDataFrame(runs, "source_no int, shard int, first bigint, k bigint, blocks bigint")
     plan = plan.select("*", F.explode(F.expr(f"sequence(0L, (k - 1L) div {_RUN}L)")).alias("run"))
-    plan = plan.repartition("source_no", "shard", "run")
+    tasks = min(_MOST_TASKS, 1 + sum(-(-r[3] // _RUN) for r in runs) // _RUNS_A_TASK)
+    plan = plan.repartition(tasks, "source_no", "shard", "run")
     slots = plan.select("source_no", "shard", "blocks", F.explode(F.expr(
         f"sequence(first + run * {_RUN}L, first + least(k, (run + 1L) * {_RUN}L) - 1L)")).alias("slot"))
     slots = slots.withColumn("pass", F.expr("slot div blocks"))
