@@ -9,8 +9,10 @@ Equal sets are one *node* from the start.  Then, without emitting the pairs with
 
 1. *Star.*  In every bucket (band, key) one member, another in each band, is the hub.  Each node is compared with the
    hub of its buckets that the registers say is most alike, exactly; links give components.
-2. *Rest, small buckets.*  Members of different components in a bucket of at most ``SMALL`` are compared in pairs.
-3. *Rest, large buckets.*  Members outside the bucket's largest component meet the others by an exact prefix join:
+2. *Further hubs.*  In a bucket of more than ``SMALL``, members outside its largest component meet a hub chosen anew within
+   that component, for ``ROUNDS`` rounds or until one finds no link; this leaves few outside before the exact passes.
+3. *Rest, small buckets.*  Members of different components in a bucket of at most ``SMALL`` are compared in pairs.
+4. *Rest, large buckets.*  Members outside the bucket's largest component meet the others by an exact prefix join:
    similar sets share one of their rarest shingles, at a place that the bound on sizes allows.
 
 Pairs pass the collision-corrected estimate (less five standard errors) before they are confirmed on full sets.
@@ -37,6 +39,8 @@ EMPTY = 0xFFFF
 SIMILAR = 80  # per cent
 #: Buckets up to this size compare members of different components in pairs; larger ones use the prefix join.
 SMALL = 40
+#: Rounds of further hubs; what they leave goes through the exact passes.
+ROUNDS = 3
 
 #: Odd multipliers that keep the four words of a shingle apart.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -184,6 +188,32 @@ def with_root(df: DataFrame, label: DataFrame, node: str, root: str) -> DataFram
     return df.join(named, node, "left").withColumn(root, F.coalesce("_r", node)).drop("_r")
 
 
+def joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after ``links`` (a, b) too.  A link counts once a pair of components, however many members it joins."""
+    merged = with_root(with_root(links, label, "a", "ra"), label, "b", "rb").where("ra <> rb").select(
+        F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    parts = label.select("node", F.col("root").alias("part"))
+    return stage(with_root(parts, components(merged), "part", "root").select("node", "root"), "labels")
+
+
+def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``label`` after members outside a large bucket's main component met hubs of it, one a bucket and round."""
+    large = members.where(F.col("size") > SMALL).select("node", "band", "key")
+    for turn in range(1, ROUNDS + 1):
+        m = with_root(large, label, "node", "root")
+        parts = m.groupBy("band", "key", "root").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "band", F.lit(turn)).alias("h"), "node")).alias("hub"))
+        main = parts.groupBy("band", "key").agg(
+            F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root", "hub")).alias("main")).where("parts > 1")
+        pairs = m.join(main, ["band", "key"]).where(F.col("root") != F.col("main.root")).select(
+            F.col("node").alias("a"), F.col("main.hub.node").alias("b")).distinct()
+        found = stage(verified(likely(pairs, nodes), sets), "links")
+        if found.isEmpty():
+            break
+        label = joined(label, found)
+    return label
+
+
 def rest_pairs(members: DataFrame, label: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs between components: (from small buckets, from large buckets)."""
     m = with_root(members.select("node", "band", "key", "size"), label, "node", "root")
@@ -251,14 +281,11 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     best = likely(stars, chosen).groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(
         "a", F.col("best.b").alias("b"))
     links = stage(verified(best, sets), "links")
-    label = components(links)
+    label = stage(with_root(nodes.select("node"), components(links), "node", "root").select("node", "root"), "labels")
+    label = further_hubs(members, label, chosen, sets)
     in_small, in_large = rest_pairs(members, label, sets)
     more = stage(verified(likely(in_small.union(in_large).distinct(), chosen), sets), "links")
-    # What joins components is counted once a pair of components, however many members it links.
-    merged = with_root(with_root(more, label, "a", "ra"), label, "b", "rb").select(
-        F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
-    rooted = with_root(with_root(nodes.select("node", "first_doc"), label, "node", "part"), components(merged), "part", "root")
-    rooted = stage(rooted, "rooted")
+    rooted = stage(joined(label, more).join(nodes.select("node", "first_doc"), "node"), "rooted")
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
     names = rooted.join(named, "root").select("node", "component")
     d = signed.select("doc_id", "n_shingles", "node").join(names, "node", "left")
