@@ -30,6 +30,8 @@ MAX_REPEAT_PERCENT = 20
 BANDS = {"chars_per_token": (5.0, 0.02), "byte_share": (5.0, 0.02), "entropy": (2.0, 0.05)}
 #: Groups of fewer documents have no band; nothing in them is rejected by it.
 MIN_GROUP = 30
+#: Up to so many bands are broadcast (a few numbers each); more meet the documents in a shuffled join.
+BROADCAST_BANDS = 10_000
 
 _CACHE = 600_000
 _ASCII_WS = " \t\n\x0b\x0c\r"
@@ -172,7 +174,9 @@ def judged(d: DataFrame, lang: Column, limits: dict = BANDS) -> DataFrame:
                        "_class": size_class})
     quart = [F.percentile_approx(m, [0.25, 0.75], 10_000).alias(f"_{m}") for m in limits]
     bands = d.where(~F.col("base_failed")).groupBy("_lang", "_class").agg(F.count(F.lit(1)).alias("_n"), *quart)
-    d = d.join(bands, ["_lang", "_class"], "left")
+    bands = stage(bands, "bands")
+    few = bands.count() <= BROADCAST_BANDS
+    d = d.join(F.broadcast(bands) if few else bands, ["_lang", "_class"], "left")
     inside = F.lit(True)
     for m, (reach, least) in limits.items():
         lo, hi = F.col(f"_{m}")[0], F.col(f"_{m}")[1]
