@@ -2,8 +2,9 @@
 
 A public sentencepiece vocabulary measures each text: characters per token, share of byte-fallback tokens, and entropy of
 its tokens.  For each language and size class (a power of two of tokens) the middle half of the corpus sets a band
-for each measure; texts outside a band are rejected.  The base rules (too few words, too many repeated 5-word
-windows) reject on their own.
+for each measure; texts outside a band are rejected.  A class with too few documents takes the band of ever wider classes
+of its language, at last of all of them; a language with too few documents takes the corpus' band of entropy and fixed
+limits.  The base rules (too few words, too many repeated 5-word windows) reject on their own.
 """
 
 from __future__ import annotations
@@ -28,8 +29,16 @@ MAX_REPEAT_PERCENT = 20
 #: A band ends so many interquartile ranges (of at least that width) beyond the quartile on its bad side: few characters
 #: a token, many bytes, little variety.
 BANDS = {"chars_per_token": (5.0, 0.02), "byte_share": (5.0, 0.02), "entropy": (2.0, 0.05)}
-#: Groups of fewer documents have no band; nothing in them is rejected by it.
+#: Groups of fewer documents take the band of the next wider group in ``LEVELS``; the last serves at any size.
 MIN_GROUP = 30
+#: (of one language, size classes that are one group as a power of two), from the narrowest; 2^5 is all of them.
+LEVELS = [(True, 0), (True, 1), (True, 2), (True, 5), (False, 0), (False, 1), (False, 2), (False, 5)]
+#: Limits of these measures in place of a band over several languages: how well the vocabulary knows a script says nothing
+#: of quality.  Four-byte characters, each a word, have 0.2 characters a token; three-byte ones 0.25.  Any script may be
+#: all bytes.
+FIXED = {"chars_per_token": 0.22, "byte_share": 1.0}
+#: Measures enter bands in steps of one by so many.
+STEPS = 1_000
 #: Up to so many bands are broadcast (a few numbers each); more meet the documents in a shuffled join.
 BROADCAST_BANDS = 10_000
 
@@ -164,28 +173,64 @@ def base_failed() -> Column:
     return (words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words)
 
 
+def grouped(d: DataFrame) -> DataFrame:
+    """Every row of ``d`` (columns _lang, _class) once for each of ``LEVELS``, with the group it has there."""
+    at = [F.struct(F.lit(i).alias("_level"), (F.col("_lang") if own else F.lit("")).alias("_group"),
+                   F.shiftright("_class", width).alias("_classes")) for i, (own, width) in enumerate(LEVELS)]
+    return d.select("*", F.inline(F.array(*at)))
+
+
+def bands_of(d: DataFrame, limits: dict) -> DataFrame:
+    """``_lang, _class, _level`` and by measure its limit, for every language and size class of ``d``.
+
+    A histogram of each measure is all that is read of the documents, so a large group is aggregated before it is
+    shuffled.
+    """
+    group = ["_level", "_group", "_classes"]
+    melted = F.inline(F.array(*[F.struct(F.lit(m).alias("_measure"), F.round(F.col(m) * STEPS).cast("long").alias("_at"))
+                                for m in limits]))
+    bins = d.select("_lang", "_class", F.log2(F.greatest("n_tokens", F.lit(1))).alias("_size"), melted).groupBy(
+        "_lang", "_class", "_measure", "_at").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size"))
+    bins = stage(bins, "bins")
+    quart = F.percentile("_at", F.array(F.lit(0.25), F.lit(0.75)), F.col("_n"))
+    wide = grouped(bins).groupBy(*group, "_measure").agg(
+        F.sum("_n").alias("_texts"), (F.sum("_size") / F.sum("_n")).alias("_size"), quart.alias("_q"))
+    reach = F.create_map(*[F.lit(x) for m, (r, _) in limits.items() for x in (m, r)])[F.col("_measure")]
+    least = F.create_map(*[F.lit(x) for m, (_, w) in limits.items() for x in (m, w)])[F.col("_measure")]
+    lo, hi = F.col("_q")[0] / STEPS, F.col("_q")[1] / STEPS
+    slack = reach * F.greatest(hi - lo, least)
+    wide = wide.withColumn("_limit", F.when(F.col("_measure") == "byte_share", hi + slack).otherwise(lo - slack))
+    wide = wide.groupBy(*group).agg(F.max("_texts").alias("_texts"), F.max("_size").alias("_size"), *[
+        F.max(F.when(F.col("_measure") == m, F.col("_limit"))).alias(f"_{m}") for m in limits])
+    wide = wide.where((F.col("_texts") >= MIN_GROUP) | (F.col("_level") == len(LEVELS) - 1))
+    first = F.min_by(F.struct("_level", "_size", *[f"_{m}" for m in limits]), "_level")
+    pairs = grouped(bins.select("_lang", "_class").distinct())
+    return pairs.join(wide, group).groupBy("_lang", "_class").agg(first.alias("_b")).select("_lang", "_class", "_b.*")
+
+
 def judged(d: DataFrame, lang: Column, limits: dict = BANDS) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a written table of measures.
 
-    The bands come from all documents that the base rules leave, by language (null: one group) and size class.
+    The bands come from all documents that the base rules leave, by language (null: one group) and size class, or the first
+    wider group that has ``MIN_GROUP`` documents.  Every document is held against a limit of each measure.  In a wider
+    group a text shorter than its mean has a limit of entropy that is lower in proportion to log2 of its tokens, which
+    entropy cannot exceed.
     """
-    size_class = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+    size = F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))
     d = d.withColumns({"base_failed": base_failed(), "_lang": F.coalesce(lang.cast("string"), F.lit("")),
-                       "_class": size_class})
-    quart = [F.percentile_approx(m, [0.25, 0.75], 10_000).alias(f"_{m}") for m in limits]
-    bands = d.where(~F.col("base_failed")).groupBy("_lang", "_class").agg(F.count(F.lit(1)).alias("_n"), *quart)
-    bands = stage(bands, "bands")
+                       "_class": F.floor(size).cast("int")})
+    bands = stage(bands_of(d.where(~F.col("base_failed")), limits), "bands")
     few = bands.count() <= BROADCAST_BANDS
     d = d.join(F.broadcast(bands) if few else bands, ["_lang", "_class"], "left")
+    own = sum(of_one for of_one, _ in LEVELS)
     inside = F.lit(True)
-    for m, (reach, least) in limits.items():
-        lo, hi = F.col(f"_{m}")[0], F.col(f"_{m}")[1]
-        slack = reach * F.greatest(hi - lo, F.lit(least))
-        value = F.col(m)
-        ok = value <= hi + slack if m == "byte_share" else value >= lo - slack
-        inside = inside & (ok | (F.coalesce("_n", F.lit(0)) < MIN_GROUP))
-    return d.withColumn("kept", ~F.col("base_failed") & inside).drop(
-        "_lang", "_class", "_n", *[f"_{m}" for m in limits])
+    for m in limits:
+        limit = F.when(F.col("_level") < own, F.col(f"_{m}")).otherwise(FIXED[m]) if m in FIXED else F.col(f"_{m}")
+        if m == "entropy":
+            limit = limit * F.when(F.col("_level") == 0, 1.0).otherwise(F.least(F.lit(1.0), size / F.col("_size")))
+        inside = inside & (F.col(m) <= limit if m == "byte_share" else F.col(m) >= limit)
+    return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop(
+        "_lang", "_class", "_level", "_size", *[f"_{m}" for m in limits])
 
 
 def quality(df: DataFrame) -> DataFrame:

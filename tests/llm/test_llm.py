@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import math
+import random
 import re
 import zlib
 
@@ -223,6 +224,25 @@ def test_quality_measures():
     assert odd[7][0] > 0.5
 
 
+TWO_WORDS = "a a a a a b a a a b b a a b a b a a b b b a b a b b a b b b b b a a a a"
+
+
+def prose(seed, n=60):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices(["ther", "on", "er", "nd", "ha", "st", "ing", "ou"], k=draw.randint(1, 3))) for _ in range(n))
+
+
+@pytest.mark.parametrize("n_rare", [1, 29])
+def test_quality_holds_small_groups_against_a_band(spark, n_rare):
+    rows = [(i, prose(i), "en", f"s{i % 5}") for i in range(60)]
+    rows += [(100 + i, prose(100 + i), "xx", f"s{i % 5}") for i in range(1, n_rare)]
+    rows += [(100, TWO_WORDS, "xx", "s0"), (200, TWO_WORDS, "en", "s0"), (201, prose(201, 4000), "en", "s1"),
+             (202, prose(202, 12), "en", "s1"), (203, " ".join(prose(203, 12)), "yy", "s2")]
+    got = by_id(quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")))
+    assert not any(r.base_failed for r in got.values())
+    assert sorted(d for d, r in got.items() if not r.kept) == [100, 200]
+
+
 # ------------------------------------------------------------------ 7, personal data
 def brute_spans(text):
     text = text or ""
