@@ -1,9 +1,10 @@
 """Quality rules: tokeniser fertility.
 
 A public sentencepiece vocabulary measures each text: characters per token, share of byte-fallback tokens, and entropy of
-its tokens.  For each language and size class (a power of two of tokens) the middle half of the corpus sets a band
-for each measure; texts outside a band are rejected.  A class with too few documents takes the band of ever wider classes
-of its language, at last of all of them; a language with too few documents takes the corpus' band of entropy and fixed
+its tokens.  For each language and size class (a power of two of tokens) the median and median deviation of the distinct
+texts, with no source counted for more than the median source, set a band for each measure; texts outside a band are
+rejected.  A class with too few texts takes the band of ever wider classes
+of its language, at last of all of them; a language with too few texts takes the corpus' band of entropy and fixed
 limits.  The base rules (too few words, too many repeated 5-word windows) reject on their own.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.session import stage
 
-from .common import arrow_ready, numbered, parts_of, ragged_take, renamed, split_words
+from .common import arrow_ready, numbered, parts_of, ragged_take, renamed, split_words, text_key
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = r"[#*$%&|<>]"
@@ -27,9 +28,10 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: A band ends so many interquartile ranges (of at least that width) beyond the quartile on its bad side: few characters
-#: a token, many bytes, little variety.
+#: a token, many bytes, little variety.  Quartile and range are those of an even spread with the group's median and median
+#: deviation: one deviation from the median, and two wide.
 BANDS = {"chars_per_token": (5.0, 0.02), "byte_share": (5.0, 0.02), "entropy": (2.0, 0.05)}
-#: Groups of fewer documents take the band of the next wider group in ``LEVELS``; the last serves at any size.
+#: Groups of fewer distinct texts take the band of the next wider group in ``LEVELS``; the last serves at any size.
 MIN_GROUP = 30
 #: (of one language, size classes that are one group as a power of two), from the narrowest; 2^5 is all of them.
 LEVELS = [(True, 0), (True, 1), (True, 2), (True, 5), (False, 0), (False, 1), (False, 2), (False, 5)]
@@ -38,7 +40,9 @@ LEVELS = [(True, 0), (True, 1), (True, 2), (True, 5), (False, 0), (False, 1), (F
 #: all bytes.
 FIXED = {"chars_per_token": 0.22, "byte_share": 1.0}
 #: Measures enter bands in steps of one by so many.
-STEPS = 1_000
+STEPS = 200
+#: Weights of texts are whole numbers, this for one.
+WEIGHT = 1_000
 #: Up to so many bands are broadcast (a few numbers each); more meet the documents in a shuffled join.
 BROADCAST_BANDS = 10_000
 
@@ -183,23 +187,43 @@ def grouped(d: DataFrame) -> DataFrame:
 def bands_of(d: DataFrame, limits: dict) -> DataFrame:
     """``_lang, _class, _level`` and by measure its limit, for every language and size class of ``d``.
 
-    A histogram of each measure is all that is read of the documents, so a large group is aggregated before it is
+    Equal texts of a language count once, with the least of their sources.  In each group the median source (by its
+    number of texts) is the most that a source weighs, so up to half of the weight may be junk before a band gives way.
+    A histogram of each measure by source is all that is read of the texts, so a large group is aggregated before it is
     shuffled.
     """
     group = ["_level", "_group", "_classes"]
+    texts = d.groupBy("_lang", "_class", "_hash", "n_tokens").agg(
+        F.min("_source").alias("_source"), *[F.max(m).alias(m) for m in limits])
     melted = F.inline(F.array(*[F.struct(F.lit(m).alias("_measure"), F.round(F.col(m) * STEPS).cast("long").alias("_at"))
                                 for m in limits]))
-    bins = d.select("_lang", "_class", F.log2(F.greatest("n_tokens", F.lit(1))).alias("_size"), melted).groupBy(
-        "_lang", "_class", "_measure", "_at").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size"))
-    bins = stage(bins, "bins")
-    quart = F.percentile("_at", F.array(F.lit(0.25), F.lit(0.75)), F.col("_n"))
-    wide = grouped(bins).groupBy(*group, "_measure").agg(
-        F.sum("_n").alias("_texts"), (F.sum("_size") / F.sum("_n")).alias("_size"), quart.alias("_q"))
+    bins = texts.select("_lang", "_class", "_source", F.log2(F.greatest("n_tokens", F.lit(1))).alias("_size"), melted)
+    bins = stage(bins.groupBy("_lang", "_class", "_source", "_measure", "_at").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size")), "bins")
+    one = bins.where(F.col("_measure") == next(iter(limits))).groupBy("_lang", "_class", "_source").agg(
+        F.sum("_n").alias("_n"), F.sum("_size").alias("_size"))
+    sources = grouped(one).groupBy(*group, "_source").agg(F.sum("_n").alias("_of_source"), F.sum("_size").alias("_size"))
+    most = sources.groupBy(*group).agg(
+        F.percentile("_of_source", F.lit(0.5)).alias("_most"), F.sum("_of_source").alias("_texts"),
+        (F.sum("_size") / F.sum("_of_source")).alias("_size"))
+    most = stage(most, "sources")
+    few = most.count() <= BROADCAST_BANDS
+    weights = sources.drop("_size").join(F.broadcast(most) if few else most, group)
+    weights = weights.withColumn("_share", F.least(F.lit(1.0), F.col("_most") / F.col("_of_source")))
+    heavy = grouped(bins.drop("_size")).groupBy(*group, "_source", "_measure", "_at").agg(F.sum("_n").alias("_n")).join(
+        weights.select(*group, "_source", "_share"), [*group, "_source"])
+    heavy = heavy.groupBy(*group, "_measure", "_at").agg(
+        F.ceil(F.sum(F.col("_n") * F.col("_share")) * WEIGHT).cast("long").alias("_w"))
+    middle = heavy.groupBy(*group, "_measure").agg(
+        F.percentile("_at", F.lit(0.5), F.col("_w")).alias("_median"), F.collect_list(F.struct("_at", "_w")).alias("_all"))
+    wide = middle.select(*group, "_measure", "_median", F.inline("_all")).groupBy(*group, "_measure", "_median").agg(
+        F.percentile(F.abs(F.col("_at") - F.col("_median")), F.lit(0.5), F.col("_w")).alias("_deviation"))
+    wide = wide.join(F.broadcast(most) if few else most, group)
     reach = F.create_map(*[F.lit(x) for m, (r, _) in limits.items() for x in (m, r)])[F.col("_measure")]
     least = F.create_map(*[F.lit(x) for m, (_, w) in limits.items() for x in (m, w)])[F.col("_measure")]
-    lo, hi = F.col("_q")[0] / STEPS, F.col("_q")[1] / STEPS
-    slack = reach * F.greatest(hi - lo, least)
-    wide = wide.withColumn("_limit", F.when(F.col("_measure") == "byte_share", hi + slack).otherwise(lo - slack))
+    middle, deviation = F.col("_median") / STEPS, F.greatest(F.col("_deviation") / STEPS, least / 2)
+    slack = deviation + reach * 2 * deviation
+    wide = wide.withColumn("_limit", F.when(F.col("_measure") == "byte_share", middle + slack).otherwise(middle - slack))
     wide = wide.groupBy(*group).agg(F.max("_texts").alias("_texts"), F.max("_size").alias("_size"), *[
         F.max(F.when(F.col("_measure") == m, F.col("_limit"))).alias(f"_{m}") for m in limits])
     wide = wide.where((F.col("_texts") >= MIN_GROUP) | (F.col("_level") == len(LEVELS) - 1))
@@ -208,17 +232,17 @@ def bands_of(d: DataFrame, limits: dict) -> DataFrame:
     return pairs.join(wide, group).groupBy("_lang", "_class").agg(first.alias("_b")).select("_lang", "_class", "_b.*")
 
 
-def judged(d: DataFrame, lang: Column, limits: dict = BANDS) -> DataFrame:
-    """Add ``base_failed`` and ``kept`` to a written table of measures.
+def judged(d: DataFrame, lang: Column, source: Column, limits: dict = BANDS) -> DataFrame:
+    """Add ``base_failed`` and ``kept`` to a written table of measures with the texts' hash in ``_hash``.
 
-    The bands come from all documents that the base rules leave, by language (null: one group) and size class, or the first
-    wider group that has ``MIN_GROUP`` documents.  Every document is held against a limit of each measure.  In a wider
+    The bands come from all distinct texts that the base rules leave, by language (null: one group) and size class, or the
+    first wider group that has ``MIN_GROUP`` texts.  A null source is a source.  Every document is held against a limit of each measure.  In a wider
     group a text shorter than its mean has a limit of entropy that is lower in proportion to log2 of its tokens, which
     entropy cannot exceed.
     """
     size = F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))
     d = d.withColumns({"base_failed": base_failed(), "_lang": F.coalesce(lang.cast("string"), F.lit("")),
-                       "_class": F.floor(size).cast("int")})
+                       "_source": F.coalesce(source.cast("string"), F.lit("")), "_class": F.floor(size).cast("int")})
     bands = stage(bands_of(d.where(~F.col("base_failed")), limits), "bands")
     few = bands.count() <= BROADCAST_BANDS
     d = d.join(F.broadcast(bands) if few else bands, ["_lang", "_class"], "left")
@@ -230,7 +254,7 @@ def judged(d: DataFrame, lang: Column, limits: dict = BANDS) -> DataFrame:
             limit = limit * F.when(F.col("_level") == 0, 1.0).otherwise(F.least(F.lit(1.0), size / F.col("_size")))
         inside = inside & (F.col(m) <= limit if m == "byte_share" else F.col(m) >= limit)
     return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop(
-        "_lang", "_class", "_level", "_size", *[f"_{m}" for m in limits])
+        "_lang", "_class", "_source", "_hash", "_level", "_size", *[f"_{m}" for m in limits])
 
 
 def quality(df: DataFrame) -> DataFrame:
@@ -239,13 +263,15 @@ def quality(df: DataFrame) -> DataFrame:
     Null, empty and wordless texts have zeros and fail the base rules.  A null language is a group of its own.  Repeated
     rows are judged each, alike.  An empty table gives no rows.
     """
-    return judged(stage(measured(df, ["doc_id", "lang"]), "quality"), F.col("lang"))
+    rows = df.select("doc_id", "lang", "text", F.col("source").alias("_s"), text_key().alias("_hash"))
+    return judged(stage(measured(rows, ["doc_id", "lang", "_s", "_hash"]), "quality"), F.col("lang"), F.col("_s")).drop("_s")
 
 
 def kept_documents(df: DataFrame) -> DataFrame:
     """The rows of ``df`` that the rules keep, with their columns as they are.  Texts are written once, with their measures."""
-    rows = df.select(*numbered(df, "text"), df["lang"].alias("_l"), df["text"].alias("text"))
-    d = judged(stage(measured(rows, rows.columns), "quality"), F.col("_l"))
+    rows = df.select(*numbered(df, "text"), df["lang"].alias("_l"), df["source"].alias("_s"), df["text"].alias("text"),
+                     text_key().alias("_hash"))
+    d = judged(stage(measured(rows, rows.columns), "quality"), F.col("_l"), F.col("_s"))
     return d.where("kept").select(*renamed(df.columns, text=F.col("text")))
 
 

@@ -243,6 +243,22 @@ def test_quality_holds_small_groups_against_a_band(spark, n_rare):
     assert sorted(d for d, r in got.items() if not r.kept) == [100, 200]
 
 
+def spam(seed, n=60):
+    draw = random.Random(seed)
+    return " ".join(draw.choice("abcd") + draw.choice(["###", "$$$", "&&&"]) + draw.choice("xyz") for _ in range(n))
+
+
+@pytest.mark.parametrize("copies", [1, 8])
+def test_quality_bands_stand_against_a_source_of_junk(spark, copies):
+    rows = [(i, prose(i), "en", f"s{i % 10}") for i in range(130)]
+    rows += [(1000 + i, spam(i // copies), "en", "hot") for i in range(70)]
+    got = by_id(quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")))
+    junk = [d for d, r in got.items() if d >= 1000 and not r.base_failed]
+    assert len(junk) >= 35
+    assert not any(got[d].kept for d in junk)
+    assert all(r.kept for d, r in got.items() if d < 1000)
+
+
 # ------------------------------------------------------------------ 7, personal data
 def brute_spans(text):
     text = text or ""
