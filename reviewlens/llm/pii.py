@@ -1,15 +1,18 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction of what they miss.
 
 The four fixed patterns (e-mail, IP, card, phone) give the base spans; these are the seed entities.  Every word with a
-digit or an at sign is an occurrence: an instance (its text) in a pattern (the word before it and its shape).  Patterns
-and instances form a graph, scored in rounds:
+digit or an at sign, without the punctuation at its edges, is an occurrence: an instance (its text) in up to six patterns
+(the one to three words before it or after it, and its coarse type).  Pieces side by side ("555 0100") share the words
+around all of them.  Patterns and instances form a graph, scored in rounds:
 
-* a pattern's confidence is the share of its distinct instances that are known, times log2 of their number;
+* a pattern's known instances are those that a base span overlaps there and the distinctive ones (an at sign, or five
+  digits or more) that are known from anywhere; others of the same type are against it;
 * a pattern is trusted when it has at least ``min_known`` known instances and their share is at least ``min_share``;
-* an instance becomes known when a trusted pattern holds it.
+* a distinctive instance becomes known when a trusted pattern holds it.
 
-After the last round every occurrence of a known instance that overlaps no base span is a discovered span, kind
-``context``.  Everything runs as DataFrame operations.
+After the last round every occurrence in a trusted pattern, and of a known distinctive instance, that overlaps no base
+span is a discovered span, kind ``context``.  Everything runs as DataFrame operations.  Words without a digit or at sign
+("name at host") are never occurrences.
 """
 
 from __future__ import annotations
@@ -32,12 +35,19 @@ KINDS = ("email", "ip", "card", "phone", "context")
 #: A word with a digit or an at sign, without the white space around it.
 OCCURRENCE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
+#: Punctuation that is no part of an instance at its edges.
+EDGES = ".,;:!?()[]{}<>\"'`"
+#: Words before or after an instance that are a pattern, at most.
+CONTEXT = 3
+#: Instances with so many digits, or an at sign, mean the same wherever they are.
+DISTINCT_DIGITS = 5
+
 ROUNDS = 3
 MIN_KNOWN = 3
 MIN_SHARE = 0.8
 
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
-_WORD = "struct<gap:bigint,value:string,before:string>"
+_WORD = "struct<gap:bigint,value:string,before:array<string>,after:array<string>>"
 
 
 def matches(text: Column, pattern: str, valid) -> Column:
@@ -102,13 +112,23 @@ def base_spans(df: DataFrame) -> DataFrame:
                          phone=when(F.contains("text", F.lit("+")), PHONE, valid_phone))
 
 
+def context_words(gap: Column, last: bool) -> Column:
+    """Up to ``CONTEXT`` words at the end (or start) of ``gap``, the nearest first; null if it is white space alone."""
+    near = F.substring_index(F.trim(F.regexp_replace(gap, " +", " ")), " ", -CONTEXT if last else CONTEXT)
+    words = F.filter(F.transform(F.split(F.lower(near), " "), lambda w: F.btrim(w, F.lit(EDGES))), lambda w: w != "")
+    return F.when(F.size(words) > 0, F.reverse(words) if last else words)
+
+
 def occurrences(text: Column) -> Column:
-    """Every word with a digit or at sign, in turn: (characters between it and the one before, value, word before it)."""
+    """Every word with a digit or at sign, in turn: (characters between it and the one before, value, words before and after)."""
     flat = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+    gaps = F.transform(F.split(flat, OCCURRENCE, -1), lambda g: F.struct(
+        F.length(g).cast("bigint").alias("gap"), context_words(g, True).alias("before"), context_words(g, False).alias("after")))
     zipped = F.zip_with(
-        F.split(flat, OCCURRENCE, -1), F.regexp_extract_all(flat, F.lit(OCCURRENCE), F.lit(0)),
-        lambda gap, m: F.struct(F.length(gap).cast("bigint").alias("gap"), m.alias("value"),
-                                F.lower(F.substring_index(F.rtrim(gap), " ", -1)).alias("before")))
+        F.arrays_zip(gaps.alias("g"), F.slice(gaps, 2, F.length(text) + 1).alias("next")),
+        F.regexp_extract_all(flat, F.lit(OCCURRENCE), F.lit(0)),
+        lambda x, m: F.struct(x["g"]["gap"].alias("gap"), m.alias("value"), x["g"]["before"].alias("before"),
+                              x["next"]["after"].alias("after")))
     return F.filter(zipped, lambda x: x["value"].isNotNull())
 
 
@@ -121,45 +141,64 @@ def with_seeds(d: DataFrame) -> DataFrame:
     one = d.where(F.size("occ") > 0).dropDuplicates(["doc_id", "h"])
     none = F.lit(None).cast("bigint")
     in_turn = Window.partitionBy("doc_id", "h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    words = one.select("doc_id", "h", F.posexplode("occ").alias("i", "o")).withColumn(
-        "end", F.sum(F.col("o.gap") + F.length("o.value")).over(in_turn)).select(
-        "doc_id", "h", (F.col("end") - F.length("o.value")).alias("start"), "end", "o.value", "o.before",
-        F.col("end").alias("at"), F.lit(0).alias("kind"), none.alias("reach"))
+    back = Window.partitionBy("doc_id", "h").orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    # Lead and trail: punctuation at the edges.  Pieces side by side take the words before the first and after the last.
+    lead = F.length("o.value") - F.length(F.ltrim("o.value", F.lit(EDGES)))
+    bare = F.btrim("o.value", F.lit(EDGES))
+    words = one.select("doc_id", "h", F.posexplode("occ").alias("i", "o")).withColumns({
+        "stop": F.sum(F.col("o.gap") + F.length("o.value")).over(in_turn),
+        "before": F.last("o.before", ignorenulls=True).over(in_turn), "run": F.count("o.before").over(in_turn),
+        "after": F.last("o.after", ignorenulls=True).over(back)})
+    words = words.withColumns({
+        "start": F.col("stop") - F.length("o.value") + lead,
+        "digits": F.sum(n_digits(F.col("o.value"))).over(Window.partitionBy("doc_id", "h", "run"))}).select(
+        "doc_id", "h", "start", (F.col("start") + F.length(bare)).alias("end"), bare.alias("value"), "before", "after", "digits",
+        (F.col("start") + F.length(bare)).alias("at"), F.lit(0).alias("kind"), none.alias("reach"))
     spans = one.select("doc_id", "h", F.inline(F.concat("email", "ip", "card", "phone"))).select(
-        "*", F.lit("").alias("before"), F.col("start").alias("at"), F.lit(1).alias("kind"), F.col("end").alias("reach"))
+        "*", F.lit(None).cast("array<string>").alias("before"), F.lit(None).cast("array<string>").alias("after"),
+        none.alias("digits"), F.col("start").alias("at"), F.lit(1).alias("kind"), F.col("end").alias("reach"))
     so_far = Window.partitionBy("doc_id", "h").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     both = words.unionByName(spans).withColumn(
         "seed", F.coalesce(F.max("reach").over(so_far) > F.col("start"), F.lit(False)))
-    return both.where("kind = 0").select("doc_id", "h", "start", "end", "value", "before", "seed",
-                                         shape(F.col("value")).alias("shape"))
+    return both.where("kind = 0").select("doc_id", "h", "start", "end", "value", "seed",
+                                         patterns(F.col("value"), F.col("digits"), F.col("before"), F.col("after")).alias("patterns"))
+
+
+def n_digits(value: Column) -> Column:
+    return F.length(F.regexp_replace(value, "[^0-9]", ""))
+
+
+def distinctive(value: Column) -> Column:
+    return F.contains(value, F.lit("@")) | (n_digits(value) >= DISTINCT_DIGITS)
 
 
-def shape(value: Column) -> Column:
-    """Runs of capitals, small letters and digits as A, a and 9, and the number of digits in fours."""
-    runs = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), "[0-9]+", "9")
-    digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
-    return F.concat(runs, F.lit("/"), F.floor(digits / 4).cast("string"))
+def patterns(value: Column, digits: Column, before: Column, after: Column) -> Column:
+    """Coarse type (at sign, many digits, few; ``digits`` are those of all pieces side by side), side and words of each pattern."""
+    kind = F.when(F.contains(value, F.lit("@")), "@").when(digits >= DISTINCT_DIGITS, "9").otherwise("1")
+    one = [F.when(F.size(side) >= n, F.concat(kind, F.lit(mark), F.array_join(F.slice(side, 1, n), " ")))
+           for mark, side in (("<", before), (">", after)) for n in range(1, CONTEXT + 1)]
+    return F.array_compact(F.array(*one))
 
 
-def bootstrap(occ: DataFrame, rounds: int = ROUNDS, min_known: int = MIN_KNOWN, min_share: float = MIN_SHARE) -> DataFrame:
-    """Instances (column ``value``) that trusted patterns hold and no seed names.
+def bootstrap(occ: DataFrame, rounds: int = ROUNDS, min_known: int = MIN_KNOWN, min_share: float = MIN_SHARE):
+    """(trusted patterns, distinctive instances that they hold and no seed names): columns ``pattern`` and ``value``.
 
-    ``occ`` has one row an occurrence: ``before, shape, value, seed`` (true where a base span overlaps it).  Patterns
-    without a word before are none.  The graph's edges are distinct (pattern, instance) pairs, so a frequent pair or
-    pattern is aggregated before it is shuffled.
+    ``occ`` has one row an occurrence: ``patterns, value, seed`` (true where a base span overlaps it).  The graph's edges
+    are distinct (pattern, instance) pairs, so a frequent pair or pattern is aggregated before it is shuffled.
     """
-    edges = stage(occ.where("before <> ''").groupBy("before", "shape", "value").agg(F.max("seed").alias("seed")), "edges")
-    known = edges.groupBy("value").agg(F.max("seed").alias("seed")).where("seed").select("value", F.lit(True).alias("known"))
-    seeds = known
+    edges = occ.select(F.explode("patterns").alias("pattern"), "value", "seed")
+    edges = stage(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
+    seeds = occ.where(F.col("seed") & distinctive(F.col("value"))).select("value").distinct()
+    seeds = known = stage(seeds.withColumn("known", F.lit(True)), "seeds")
+    trusted = edges.select("pattern").limit(0)
     for _ in range(rounds):
-        scored = edges.join(known, "value", "left").groupBy("before", "shape").agg(
-            F.count(F.lit(1)).alias("n"), F.count("known").alias("n_known"))
-        trusted = scored.where((F.col("n_known") >= min_known) & (F.col("n_known") >= min_share * F.col("n")))
-        trusted = trusted.select("before", "shape",
-                                 (F.col("n_known") / F.col("n") * F.log2("n_known")).alias("confidence"))
-        held = edges.join(trusted, ["before", "shape"]).groupBy("value").agg(F.max("confidence").alias("confidence"))
-        known = stage(seeds.join(held, "value", "full").select("value", F.lit(True).alias("known")), "known")
-    return known.join(seeds.select("value"), "value", "left_anti").select("value")
+        scored = edges.join(known, "value", "left").groupBy("pattern").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("seed") | F.col("known").isNotNull()).alias("n_known"))
+        trusted = stage(scored.where((F.col("n_known") >= min_known) & (F.col("n_known") >= min_share * F.col("n")))
+                        .select("pattern"), "trusted")
+        held = edges.where(distinctive(F.col("value"))).join(trusted, "pattern").select("value")
+        known = stage(seeds.select("value").union(held).distinct().withColumn("known", F.lit(True)), "known")
+    return trusted, known.join(seeds.select("value"), "value", "left_anti").select("value")
 
 
 def find(df: DataFrame, **limits) -> DataFrame:
@@ -175,8 +214,10 @@ def find(df: DataFrame, **limits) -> DataFrame:
     base = stage(d.select("doc_id", "h", "email", "ip", "card", "phone", "occ"), "pii")
     occ = stage(with_seeds(base), "occurrences")
     base = base.drop("occ")
-    new = bootstrap(occ, **limits)
-    found = (occ.where("not seed").join(new, "value").groupBy("doc_id", "h")
+    trusted, new = bootstrap(occ, **limits)
+    rest, place = occ.where("not seed"), ["doc_id", "h", "start", "end", "value"]
+    held = rest.select(*place, F.explode("patterns").alias("pattern")).join(trusted, "pattern").select(*place)
+    found = (held.union(rest.join(new, "value").select(*place)).groupBy("doc_id", "h")
              .agg(F.array_sort(F.collect_set(F.struct("start", "end", "value"))).cast(_SPANS).alias("context")))
     f = found.withColumnsRenamed({"doc_id": "fd", "h": "fh"})
     out = base.join(f, F.col("doc_id").eqNullSafe(F.col("fd")) & (F.col("h") == F.col("fh")), "left")

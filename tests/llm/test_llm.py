@@ -302,6 +302,22 @@ def test_context_finds_what_patterns_miss(spark):
     assert not d[51].context and not d[0].context and len(d[0].ip) == 1
 
 
+PLANTED = [("mail me at {}, thanks", "joe{}@ex.org", "joe@localhost"), ("my phone number: {} in case", "+1 (9{}) 555-2485", "988 555 2485"),
+           ("the account is {}. Bye now", None, "AB-77-1234567"), ("logged from host {} again", "10.0.{}.7", "123-45-6789")]
+
+
+def test_context_finds_other_ways_of_writing(spark):
+    cards = [c for c in (f"4111 1111 1111 {n}" for n in range(1000, 2000)) if brute_spans(c)[2]]
+    rows = [(100 * k + i, frame.format(known.format(10 + i) if known else cards[i]))
+            for k, (frame, known, _) in enumerate(PLANTED) for i in range(90)]
+    rows += [(1000 + k, frame.format(other)) for k, (frame, _, other) in enumerate(PLANTED)]
+    rows += [(2000, "we met 3 times in 1999, and 555 people came"), (2001, "see (123-45-6789)!")]
+    found = {r.doc_id: "+".join(s.value for s in r.context)
+             for r in pii.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [found[1000 + k].replace("+", " ") for k in range(4)] == [other for _, _, other in PLANTED]
+    assert found[2000] == "" and found[2001] == "123-45-6789"
+
+
 def test_redaction(spark, edge):
     df = spark.createDataFrame([(1, "é joe@ex.org, 10.0.0.1!", "k"), (2, None, "k"), (2, "plain", "k")], "doc_id int, text string, _h string")
     got = sorted((r.doc_id, r.text or "", r._h) for r in pii.redact(df).collect())
