@@ -93,13 +93,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+
+
+def drop(*staged) -> None:
+    """Delete the tables that ``stage`` wrote for these DataFrames.
+
+    Call it when the last job that reads them has ended: a plan that still scans one would fail.
+    """
+    for df in staged:
+        path = getattr(df, "_stage_path", None)
+        if path in _STAGES:
+            _STAGES.remove(path)
+            _delete(df.sparkSession, path)
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete every stage this process wrote; call when their readers are done.  Returns how many were there."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     found = 0
     while _STAGES:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        found += bool(path.getFileSystem(conf).delete(path, True))
+        found += _delete(spark, _STAGES.pop())
     return found
 
 
@@ -113,4 +128,6 @@ def stage(df, name: str):
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._stage_path = path
+    return out
