@@ -23,14 +23,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions.columns import with_computed
-from reviewlens.session import stage
+from reviewlens.session import drop, stage
 
-from .common import arrow_ready, parts_of, split_words
+from .common import arrow_ready, numbered, parts_of, renamed
+from .links import components, confirmed, joined, with_root
+from .shingles import set_name, shingle_sets
 
 SHINGLE = 4
 REGISTERS, BUCKET_BITS, MANTISSA = 128, 7, 10
@@ -42,47 +43,6 @@ SMALL = 40
 #: Rounds of further hubs; what they leave goes through the exact passes.
 ROUNDS = 3
 
-#: Odd multipliers that keep the four words of a shingle apart.
-_PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit numbers (xor-shift and multiply)."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of every text; texts of fewer words than a shingle have the whole as one."""
-    words, index, offsets = split_words(texts)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in words.to_pylist()), np.uint64, len(words))
-    w = hashes[index] if len(index) else np.zeros(0, np.uint64)
-    n = len(w)
-    rolled = np.zeros(max(n - SHINGLE + 1, 0), np.uint64)
-    for k in range(SHINGLE):
-        rolled += w[k:n - SHINGLE + 1 + k] * _PLACES[k]
-    rolled = mixed(rolled)
-    out = []
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        if b - a >= SHINGLE:
-            out.append(np.unique(rolled[a:b - SHINGLE + 1]))
-        elif b > a:
-            whole = (w[a:b] * _PLACES[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            out.append(mixed(np.array([whole], np.uint64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
-
-
-def set_name(s: np.ndarray) -> bytes:
-    """128 bits that stand for a set."""
-    a = mixed(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)
-    b = np.bitwise_xor.reduce(mixed(s + np.uint64(0xE7037ED1A0B428DB))) if len(s) else np.uint64(0)
-    return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
-
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """(texts x 32) band keys: four 16-bit registers each, register j of a text in band j % 32."""
@@ -105,27 +65,35 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sign(batches):
-    for batch in batches:
-        for part in parts_of(batch):
-            sets = shingle_sets(part.column("text"))
-            flat = pa.array(sketches(sets).reshape(-1))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_name(s) for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)],
-                ["doc_id", "n_shingles", "node", "bands"])
+def _sign(shingle: int):
+    def run(batches):
+        for batch in batches:
+            for part in parts_of(batch):
+                sets = shingle_sets(part.column("text"), shingle)
+                flat = pa.array(sketches(sets).reshape(-1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("h"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([set_name(s) for s in sets], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)],
+                    ["doc_id", "h", "n_shingles", "node", "bands"])
+
+    return run
 
 
-def _sets(batches):
-    for batch in batches:
-        for part in parts_of(batch):
-            sets = shingle_sets(part.column("text"))
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["node", "shingles"])
+def _tokens(shingle: int):
+    """A row for each shingle ``s`` of a text, with the other columns and the size ``n`` of its set."""
+    def run(batches):
+        for batch in batches:
+            for part in parts_of(batch, max_bytes=1 << 20):
+                sets = shingle_sets(part.column("text"), shingle)
+                sizes = np.array([len(s) for s in sets], np.int64)
+                at = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(at) for c in ("node", "root", "outside")],
+                     pa.array(np.repeat(sizes, sizes)), pa.array(flat)], ["node", "root", "outside", "n", "s"])
+
+    return run
 
 
 def estimate(x: Column, y: Column) -> tuple[Column, Column]:
@@ -147,14 +115,6 @@ def estimate(x: Column, y: Column) -> tuple[Column, Column]:
     return (share - by_chance) / (1 - by_chance), F.sqrt(F.lit(0.16) / used)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    d = with_computed(pairs.select("a", "b").join(left, "a").join(right, "b"), both=F.size(F.array_intersect("sa", "sb")))
-    return d.where(100 * F.col("both") >= SIMILAR * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct()
-
-
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b, est) whose registers do not rule the similarity out."""
     left = nodes.select(F.col("node").alias("a"), F.col("bands").alias("ba"))
@@ -164,39 +124,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return d.where(F.col("est") >= SIMILAR / 100 - 5 * F.col("error")).select("a", "b", "est")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, root`` for every node of the links (a, b): root is the least node of its component."""
-    both = stage(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                 .union(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "edges")
-    label = stage(both.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("node"), F.least("u", "m").alias("root")), "labels")
-    while True:
-        near = both.join(label.select(F.col("node").alias("v"), "root"), "v").groupBy("u").agg(F.min("root").alias("m"))
-        step = label.join(near, F.col("node") == F.col("u")).select("node", F.col("root").alias("old"),
-                                                                    F.least("root", "m").alias("root"))
-        jump = label.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        new = stage(step.join(jump, "root", "left").select(
-            "node", "old", F.least("root", F.coalesce("far", "root")).alias("root")), "labels")
-        label = new.select("node", "root")
-        if new.where("old <> root").isEmpty():
-            return label
-
-
-def with_root(df: DataFrame, label: DataFrame, node: str, root: str) -> DataFrame:
-    """Add ``root`` of ``node``: its component, or itself where it has no link."""
-    named = label.select(F.col("node").alias(node), F.col("root").alias("_r"))
-    return df.join(named, node, "left").withColumn(root, F.coalesce("_r", node)).drop("_r")
-
-
-def joined(label: DataFrame, links: DataFrame) -> DataFrame:
-    """``label`` after ``links`` (a, b) too.  A link counts once a pair of components, however many members it joins."""
-    merged = with_root(with_root(links, label, "a", "ra"), label, "b", "rb").where("ra <> rb").select(
-        F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
-    parts = label.select("node", F.col("root").alias("part"))
-    return stage(with_root(parts, components(merged), "part", "root").select("node", "root"), "labels")
-
-
-def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """``label`` after members outside a large bucket's main component met hubs of it, one a bucket and round."""
     large = members.where(F.col("size") > SMALL).select("node", "band", "key")
     for turn in range(1, ROUNDS + 1):
@@ -207,15 +135,17 @@ def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, sets: D
             F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root", "hub")).alias("main")).where("parts > 1")
         pairs = m.join(main, ["band", "key"]).where(F.col("root") != F.col("main.root")).select(
             F.col("node").alias("a"), F.col("main.hub.node").alias("b")).distinct()
-        found = stage(verified(likely(pairs, nodes), sets), "links")
+        found = stage(confirmed(likely(pairs, nodes), texts, shingle, SIMILAR), "links")
         if found.isEmpty():
+            drop(found)
             break
         label = joined(label, found)
+        drop(found)
     return label
 
 
-def rest_pairs(members: DataFrame, label: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs between components: (from small buckets, from large buckets)."""
+def rest_pairs(members: DataFrame, label: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """Written candidate pairs between components, from small and from large buckets."""
     m = with_root(members.select("node", "band", "key", "size"), label, "node", "root")
     mixed_buckets = m.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     m = stage(m.join(mixed_buckets.select("band", "key"), ["band", "key"]), "mixed")
@@ -229,8 +159,8 @@ def rest_pairs(members: DataFrame, label: DataFrame, sets: DataFrame) -> tuple[D
     main = parts.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("main"))
     outside = (large.join(main, ["band", "key"]).groupBy("node").agg(
         F.max(F.col("root") != F.col("main.root")).alias("outside"), F.min("root").alias("root")))
-    tokens = outside.join(sets.select("node", "shingles"), "node").dropDuplicates(["node"]).select(
-        "node", "root", "outside", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    tokens = outside.join(texts.withColumnRenamed("id", "node"), "node").mapInArrow(
+        _tokens(shingle), "node binary, root binary, outside boolean, n bigint, s bigint")
     tokens = stage(tokens, "tokens")
     counts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     ranked = tokens.join(counts, "s").withColumn(
@@ -245,54 +175,95 @@ def rest_pairs(members: DataFrame, label: DataFrame, sets: DataFrame) -> tuple[D
     need = F.ceil((F.col("na") + F.col("nb")) * SIMILAR / (100.0 + SIMILAR) - 1e-9)
     fits = (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need) & (F.col("ra") != F.col("rb"))
     in_large = x.join(y, "s").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return in_small, in_large
+    pairs = stage(in_small.union(in_large).distinct(), "pairs")
+    drop(m, tokens, head)
+    return pairs
 
 
-def near_duplicates(df: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``df`` (columns doc_id, text).
+def grouped(df: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """Written tables: every row of ``df`` as ``doc_id, h, n_shingles, node``, and its nodes' components.
 
-    Null, empty and wordless texts have no shingles and stay alone.  Rows with equal sets are linked, repeated rows too;
-    ``component_id`` is the least non-null doc_id of the component, ``kept`` whether it is the row's own.  Rows with a
-    null doc_id take part; alone, they have a null ``component_id`` and are kept.  Rows without words are their own
-    component by doc_id.
+    ``h`` is the text's hash; nodes (texts with words) have ``node, root, component`` and the doc_id ``first`` and hash of
+    the row that stands for the component.
     """
-    spark = df.sparkSession
-    arrow_ready(spark)
-    docs = df.select("doc_id", "text")
+    arrow_ready(df.sparkSession)
+    docs = df.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = stage(docs.mapInArrow(_sign, f"doc_id {kind}, n_shingles bigint, node binary, bands array<bigint>"), "signed")
-    first = signed.where("n_shingles > 0").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "bands")).alias("f"))
-    nodes = stage(first.select("node", F.col("f.doc_id").alias("first_doc"), F.col("f.bands").alias("bands")), "nodes")
+    signed = stage(docs.mapInArrow(
+        _sign(shingle), f"doc_id {kind}, h bigint, n_shingles bigint, node binary, bands array<bigint>"), "signed")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    first = signed.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
+    nodes = stage(first.select("node", F.col("f.o.doc_id").alias("first_doc"), F.col("f.o.h").alias("h"),
+                               F.col("f.bands").alias("bands")), "nodes")
 
     bands = nodes.select("node", F.posexplode("bands").alias("band", "key")).where("key <> -1")
     buckets = bands.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("hub"))
     members = stage(bands.join(buckets.where("size > 1").select("band", "key", "size", F.col("hub.node").alias("hub")),
                                ["band", "key"]), "members")
-    wanted = members.select("node").distinct()
-    chosen = stage(nodes.join(wanted, "node"), "chosen")
-    texts = docs.join(chosen.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    alone = docs.where("doc_id is null")  # a node may have only rows without a doc_id
-    sets = stage(texts.union(alone).select("text").mapInArrow(_sets, "node binary, shingles array<bigint>")
-                 .join(wanted, "node", "left_semi"), "sets").dropDuplicates(["node"])
+    chosen = stage(nodes.join(members.select("node").distinct(), "node"), "chosen")
+    keys = chosen.select(F.col("node").alias("id"), F.col("first_doc"), F.col("h").alias("first_h"))
+    texts = docs.join(keys, F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("h") == F.col("first_h")))
+    texts = stage(texts.select("id", "text").dropDuplicates(["id"]), "texts")
 
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     best = likely(stars, chosen).groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(
         "a", F.col("best.b").alias("b"))
-    links = stage(verified(best, sets), "links")
-    label = stage(with_root(nodes.select("node"), components(links), "node", "root").select("node", "root"), "labels")
-    label = further_hubs(members, label, chosen, sets)
-    in_small, in_large = rest_pairs(members, label, sets)
-    more = stage(verified(likely(in_small.union(in_large).distinct(), chosen), sets), "links")
-    rooted = stage(joined(label, more).join(nodes.select("node", "first_doc"), "node"), "rooted")
-    named = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
-    names = rooted.join(named, "root").select("node", "component")
-    d = signed.select("doc_id", "n_shingles", "node").join(names, "node", "left")
+    links = stage(confirmed(best, texts, shingle, SIMILAR), "links")
+    roots = components(links)
+    label = stage(with_root(chosen.select("node"), roots, "node", "root").select("node", "root"), "labels")
+    drop(links, roots)
+    label = further_hubs(members, label, chosen, texts, shingle)
+    pairs = rest_pairs(members, label, texts, shingle)
+    more = stage(confirmed(likely(pairs, chosen), texts, shingle, SIMILAR), "links")
+    label = joined(label, more)
+    drop(pairs, more, members, chosen, texts)
+    rooted = with_root(nodes.select("node", "first_doc", "h"), label, "node", "root")
+    named = rooted.groupBy("root").agg(F.min(F.struct(
+        F.col("first_doc").isNull().alias("none"), F.col("first_doc").alias("doc_id"), "h")).alias("f"))
+    names = stage(rooted.join(named, "root").select(
+        "node", "root", F.col("f.doc_id").alias("component"), F.col("f.doc_id").alias("first"), F.col("f.h").alias("first_h")),
+        "names")
+    drop(label, nodes)
+    return signed, names
+
+
+def near_duplicates(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``df`` (columns doc_id, text).
+
+    Null, empty and wordless texts have no shingles and stay alone.  Rows with equal sets are linked, repeated rows too;
+    ``component_id`` is the least non-null doc_id of the component, ``kept`` whether it is the row's own.  Rows with a
+    null doc_id take part; alone, they have a null ``component_id`` and are kept.  Rows without words are their own
+    component by doc_id.  An empty table gives no rows.
+    """
+    signed, names = grouped(df, shingle)
+    d = signed.select("doc_id", "n_shingles", "node").join(names.select("node", "component"), "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return d.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
+def one_of_each(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``df``, one of each component of near duplicates, with their columns as they are.
+
+    The row that stays has the least doc_id of the component (null last), then the least text hash; of repeated rows with
+    both equal, one.  Rows without words stay, each.  Rows go by (doc_id, text hash), so a doc_id with several texts
+    loses none that stands for a component of its own.  Texts move only where the lists of rows to drop are too large to be broadcast
+    by Spark's own size check.  An empty table gives no rows.
+    """
+    signed, names = grouped(df, shingle)
+    keys = signed.where("n_shingles > 0").groupBy("doc_id", "h", "node").agg(F.count(F.lit(1)).alias("_rows"))
+    keys = keys.join(names, "node").select(
+        F.col("doc_id").alias("_doc"), F.col("h").alias("_hash"), "_rows",
+        (F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("h") == F.col("first_h"))).alias("_stays"))
+    lists = stage(keys.where(~F.col("_stays") | (F.col("_rows") > 1)), "dropped")
+    d = df.select(*numbered(df), df["doc_id"].alias("_id"), F.xxhash64(df["text"]).alias("_h"))
+    same = d["_id"].eqNullSafe(lists["_doc"]) & (d["_h"] == lists["_hash"])
+    single = d.join(lists, same, "left_anti")
+    several = d.join(lists.where("_stays"), same, "left_semi")
+    one = several.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_h").orderBy("_h"))).where("_n = 1")
+    return single.unionByName(one.drop("_n")).select(*renamed(df.columns))
+
+
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
