@@ -5,9 +5,10 @@ paragraphs' vectors, lane by lane, modulo a power of two.  Sums do not depend on
 or taken out by adding or subtracting its vector.  A vector has two parts:
 
 * 8 equality lanes of 32 bits: four 64-bit hashes of the paragraph, halved;
-* 64 likeness lanes of 15 bits: for each piece of the paragraph (a sentence, or what stands between symbols), the bits
-  of a 64-bit hash, one bit a lane.  Four lanes share one 64-bit number: 15 bits and a guard bit each, so one masked
-  addition adds four lanes modulo 2**15.
+* 64 likeness lanes of 30 bits: for each piece of the paragraph (a sentence, or what stands between symbols), the bits
+  of a 64-bit hash, one bit a lane.  Two lanes share one 64-bit number, 30 bits and guard bits each, so one masked
+  addition adds both modulo 2**30 and never reaches the sign.  A text (below 2**31 bytes) has fewer than 2**30 pieces,
+  so a text's own lanes do not wrap.
 
 With n pieces, twice a likeness lane less n is a sum of n random signs; the cosine of two texts' lanes estimates their
 shared pieces, |A and B| / sqrt(|A| |B|), with a standard error of about 1/8.
@@ -23,8 +24,9 @@ from reviewlens.session import stage
 
 #: Between the pieces of a paragraph: sentence ends, and runs of symbols.
 PIECE_BREAK = r"[.!?|#%&*$\n]+ *"
-_ONE_EACH = 0x0001000100010001
-_FIELDS = 0x7FFF7FFF7FFF7FFF
+_ONE_EACH = 0x0000000100000001
+_FIELDS = 0x3FFFFFFF3FFFFFFF
+_NUMBERS = 32
 _LOW32 = 0xFFFFFFFF
 #: Stands for a null doc_id in keys: such rows come last in descending order, as one document.
 _NULL_ID = -(2**63)
@@ -52,22 +54,22 @@ def equality_lanes(paragraphs: Column) -> Column:
 
 
 def likeness_lanes(pieces: Column) -> Column:
-    """16 numbers of four 15-bit lanes each: the sums of the pieces' hash bits modulo 2**15."""
+    """32 numbers of two 30-bit lanes each: the sums of the pieces' hash bits modulo 2**30."""
     def step(s, h):
         return F.struct(*[
             (s[f"s{k}"] + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONE_EACH))).bitwiseAND(F.lit(_FIELDS)).alias(f"s{k}")
-            for k in range(16)])
+            for k in range(_NUMBERS)])
 
-    zero = F.struct(*[F.lit(0).cast("bigint").alias(f"s{k}") for k in range(16)])
-    return F.aggregate(pieces, zero, step, lambda s: F.array(*[s[f"s{k}"] for k in range(16)]))
+    zero = F.struct(*[F.lit(0).cast("bigint").alias(f"s{k}") for k in range(_NUMBERS)])
+    return F.aggregate(pieces, zero, step, lambda s: F.array(*[s[f"s{k}"] for k in range(_NUMBERS)]))
 
 
 def signed_lanes(lanes: Column, n: Column) -> Column:
-    """64 sums of signs: twice the lane less n, as the residue modulo 2**15 that is nearest to 0."""
+    """64 sums of signs: twice the lane less n, as the residue modulo 2**31 that is nearest to 0."""
     def unpack(x):
         return F.array(*[
-            F.pmod(F.shiftrightunsigned(x, 16 * q).bitwiseAND(F.lit(0x7FFF)) * 2 - n + F.lit(1 << 14), F.lit(1 << 15))
-            - F.lit(1 << 14) for q in range(4)])
+            F.pmod(F.shiftrightunsigned(x, 32 * q).bitwiseAND(F.lit((1 << 30) - 1)) * 2 - n + F.lit(1 << 30), F.lit(1 << 31))
+            - F.lit(1 << 30) for q in range(2)])
 
     return F.flatten(F.transform(lanes, unpack))
 
