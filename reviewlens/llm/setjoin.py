@@ -5,10 +5,12 @@ fall there, with B about the set's size.  The bits in which two signatures diffe
 sets differ, so they bound the overlap from above.
 
 1. *Postings.*  Two similar sets share one of their first ``n - ceil(t n) + 1`` shingles in any common order; the order
-   puts shingles that are frequent in a sample of texts last (the sample decides no result).  Only shingles that
-   two nodes of comparable size have there are kept.
+   puts shingles that are frequent in a sample of texts last (the sample decides no result).  Where at most ``SMALL``
+   nodes have a shingle there, their pairs are candidates if sizes and places allow; most pairs share many
+   shingles and count once.  Larger groups go on to 2 and 3.
 2. *Hubs.*  For ``ROUNDS`` rounds, in each shingle's nodes of one size band, members outside the largest component
-   meet one hub of it: at most one confirmation a member and round, never all pairs of a group.
+   meet one hub of it: at most one confirmation a member and round, never all pairs of a group.  Groups that are
+   within one component drop out.
 3. *Tiles.*  What is left between components.  A shingle's nodes, in order of size, are cut into tiles of at most
    ``TILE`` by ``TILE``; tiles whose size bands are too far apart are not made.  In a tile, bit counts rule pairs out.
    What passes says only which node must visit which stretch of another component's members, again in order of size.
@@ -36,11 +38,13 @@ from .shingles import mixed, set_name, shared, shingle_sets
 SHINGLE, PERCENT = 5, 80
 #: About so many texts are looked at for frequent shingles: those in ``FREQUENT`` of them, at most ``MOST`` shingles.
 SAMPLE, FREQUENT, MOST = 4_096, 3, 1 << 17
+#: Groups of at most so many nodes with one shingle give their pairs at once.
+SMALL = 8
 ROUNDS = 4
 TILE = 512
 STRETCH = 1 << 19
 #: Visitors that one task holds against one stretch.
-VISITORS = 2_000
+VISITORS = 500
 
 
 def bit_places(n: int) -> int:
@@ -144,9 +148,14 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return d.where(both * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select(*pairs.columns)
 
 
-def hub_round(rows: DataFrame, label: DataFrame, nodes: DataFrame, turn: int, percent: int) -> DataFrame:
+def size_band(n: Column, turn: int, percent: int) -> Column:
+    """Number of the size band, bands being as wide as comparable sizes; odd turns have bands shifted by a half."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + 0.5 * (turn % 2) + 1e-9).cast("int")
+
+
+def hub_round(m: DataFrame, nodes: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (member, hub): every member outside its groups' main components with its likeliest hub."""
-    m = with_root(rows, label, "id", "root")
+    m = m.withColumn("band", size_band(F.col("n"), turn, percent))
     parts = m.groupBy("t", "band", "root").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
     main = parts.groupBy("t", "band").agg(
@@ -157,6 +166,14 @@ def hub_round(rows: DataFrame, label: DataFrame, nodes: DataFrame, turn: int, pe
     return best.select("a", F.col("best.b").alias("b"))
 
 
+def mixed_groups(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Written rows of the groups that hold several components, with their ``root``."""
+    m = with_root(rows.drop("root"), label, "id", "root")
+    group = Window.partitionBy("t")
+    m = m.withColumns({"_lo": F.min("root").over(group), "_hi": F.max("root").over(group)})
+    return stage(m.where("_lo <> _hi").drop("_lo", "_hi"), "mixed")
+
+
 def _tiles(percent: int):
     """Visits (x, root, stretch) that a tile's bit counts do not rule out."""
     def run(batches):
@@ -238,11 +255,8 @@ def _visits(shingle: int, percent: int):
     return run
 
 
-def rest(rows: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def rest(m: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between components, from all pairs that share a posting and that no bound rules out."""
-    m = with_root(rows, label, "id", "root")
-    apart = m.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("t")
-    m = stage(m.join(apart, "t").select("t", "id", "n", "i", "root"), "mixed")
     # Members of a component in order of size, cut into stretches of bounded shingles.
     by_size = Window.partitionBy("root").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     members = m.select("id", "n", "root").distinct()
@@ -271,7 +285,7 @@ def rest(rows: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame,
     met = waiting.unionByName(coming).join(texts, "id").repartition("root", "stretch", "part").sortWithinPartitions(
         "root", "stretch", "part", "turn", "id")
     links = stage(met.mapInArrow(_visits(shingle, percent), "a bigint, b bigint"), "links")
-    drop(m, members, ranked, visits)
+    drop(members, ranked, visits)
     return links
 
 
@@ -295,33 +309,60 @@ def linked(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "id")).alias("f")
     names = stage(signed.where("n > 0").groupBy("node").agg(least).select(
         "node", F.col("f.id").alias("id"), F.col("f.doc_id").alias("first_doc"), F.col("f.h").alias("h")), "names")
-    nodes = signed.select("id", "n", "bits", "prefix").join(names.select("id"), "id", "left_semi")
-
-    postings = nodes.select("id", "n", F.posexplode("prefix").alias("i", "t"))
-    in_size = Window.partitionBy("t").orderBy("n", "id")
-    near = lambda x, y: 100 * x >= percent * y
-    postings = postings.withColumns({"_l": F.lag("n").over(in_size), "_r": F.lead("n").over(in_size)}).where(
-        near(F.col("_l"), F.col("n")) | near(F.col("n"), F.col("_r")))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    rows = stage(postings.select("t", "id", "n", "i", band.alias("band")), "postings")
-    involved = stage(rows.select("id", "n").distinct(), "involved")
-    keys = involved.join(names, "id").select("id", "first_doc", "h")
+    copies = signed.where("n > 0").select("node", "id").join(
+        names.select("node", F.col("id").alias("first_id")), "node").where("id <> first_id")
+    copies = stage(copies.select("id"), "copies")
+    nodes = signed.where("n > 0").select("id", "n", "bits", "prefix").join(copies, "id", "left_anti")
+
+    # In one exchange by shingle: how many have it, and those just before a node in order of size.
+    group, in_size = Window.partitionBy("t"), Window.partitionBy("t").orderBy("n", "id")
+    postings = nodes.select("id", "n", F.posexplode("prefix").alias("i", "t")).withColumns({
+        "_r": F.lead("id").over(in_size), "_at": F.row_number().over(in_size)}).where("_at > 1 or _r is not null")
+    postings = postings.withColumn("_of", F.count(F.lit(1)).over(group)).withColumn("_earlier", F.when(
+        F.col("_of") <= SMALL, F.collect_list(F.struct("id", "n", "i")).over(in_size.rowsBetween(1 - SMALL, -1))))
+    postings = stage(postings.select("t", "id", "n", "i", F.when(F.col("_of") <= SMALL, F.col("_earlier")).alias("e")), "postings")
+    met = postings.where("e is not null").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"),
+                                                 F.explode("e").alias("x"))
+    least = F.ceil((F.col("x.n") + F.col("nb")) * percent / (100.0 + percent) - 1e-9)
+    fits = (F.col("x.n") - F.col("x.i") >= least) & (F.col("nb") - F.col("ib") >= least) & (
+        100 * F.col("x.n") >= percent * F.col("nb"))
+    pairs = stage(met.where(fits).select(F.col("x.id").alias("a"), "b").distinct(), "pairs")
+    rows = stage(postings.where("e is null").select("t", "id", "n", "i"), "rows")
+    drop(postings)
+    involved = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(rows.select("id")).distinct(),
+                     "involved")
+    signs = stage(signed.select("id", "n", "bits").join(involved, "id", "left_semi"), "signs")
+    close = stage(possible(pairs, signs, percent), "pairs")
+    drop(pairs)
+    wanted = stage(close.select(F.col("a").alias("id")).union(close.select("b")).union(rows.select("id")).distinct(), "wanted")
+    keys = wanted.join(names, "id").select("id", "first_doc", "h")
     texts = docs.withColumn("_h", F.xxhash64("text")).join(
         keys, F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("_h") == F.col("h"))).select("id", "text")
     texts = stage(texts.dropDuplicates(["id"]), "texts")
-    signs = stage(nodes.select("id", "n", "bits").join(involved.select("id"), "id", "left_semi"), "signs")
 
-    label = stage(involved.select(F.col("id").alias("node"), F.col("id").alias("root")), "labels")
+    label = stage(wanted.select(F.col("id").alias("node"), F.col("id").alias("root")), "labels")
+    links = stage(confirmed(close, texts, shingle, percent), "links")
+    label = joined(label, links)
+    drop(links, close, wanted, involved)
+    m = mixed_groups(rows, label)
+    drop(rows)
     for turn in range(ROUNDS):
-        links = stage(confirmed(hub_round(rows, label, signs, turn, percent), texts, shingle, percent), "links")
-        if links.isEmpty():
-            drop(links)
+        if m.isEmpty():
+            break
+        links = stage(confirmed(hub_round(m, signs, turn, percent), texts, shingle, percent), "links")
+        none = links.isEmpty()
+        if not none:
+            label = joined(label, links)
+            before, m = m, mixed_groups(m, label)
+            drop(before)
+        drop(links)
+        if none and turn % 2:
             break
+    if not m.isEmpty():
+        links = rest(m, signs, texts, shingle, percent)
         label = joined(label, links)
         drop(links)
-    links = rest(rows, label, signs, texts, shingle, percent)
-    label = joined(label, links)
-    drop(links, rows, texts, signs, involved)
+    drop(m, texts, signs, copies)
 
     rooted = with_root(names.select("node", "id", "first_doc"), label, "id", "root")
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component"))
