@@ -112,10 +112,11 @@ def draw(quota: np.ndarray, shards: int = SHARDS, seed: int = SEED) -> np.ndarra
 def mix(df: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED):
     """The mix of ``df`` (columns doc_id, text, source): (documents, slots).
 
-    documents: ``doc_id, h, size, source_size, target, start, n, source_no`` by row: ``h`` the text's hash, ``start`` where
+    documents: ``doc_id, h, source, size, source_size, target, start, n, source_no`` by row: ``h`` the text's hash, ``start`` where
     it begins in its source's stream, ``n`` the row's number there.  slots: ``source_no, block, pass, shard, slot`` by
     slot of the mix.  Null and empty texts have size 0 and are in no block; a null source is a source, the last one;
-    repeated rows are rows of their own.  A corpus without words has no slots.
+    repeated rows are rows of their own.  A corpus without words has no slots.  The driver holds a number for each source and
+    shard: sources are names, not a column as wide as URLs.
     """
     spark = df.sparkSession
     arrow_ready(spark)
@@ -137,7 +138,7 @@ def mix(df: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLOCK, sh
     placed = prefix_sums(named, F.pmod(F.xxhash64("doc_id", "h", F.lit(seed)), F.lit(1024)),
                          [F.col("doc_id"), F.col("h")], {"_end": F.col("size"), "n": F.lit(1).cast("bigint")},
                          partition_by=["source_no"])
-    documents = stage(placed.select("doc_id", "h", "size", "source_size", "target", "source_no", "blocks", "n",
+    documents = stage(placed.select("doc_id", "h", "source", "size", "source_size", "target", "source_no", "blocks", "n",
                                     (F.col("_end") - F.col("size")).alias("start")), "placed")
 
     counts = draw(quotas(target, sizes, blocks, most), shards, seed)
@@ -179,18 +180,21 @@ def mixed_documents(df: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     """The mix as documents: for every pass that takes words of a row, the row with the taken words as its text.
 
     A pass that takes all words keeps the text as it is; else the taken words are joined by single spaces.  ``n_chars`` is
-    counted anew; the other columns stay.  Rows that no slot takes are left out, as the targets say.
+    counted anew; the other columns stay.  Rows that no slot takes are left out, as the targets say.  Rows of equal doc_id, text
+    and source are joined as one with the choices of all of them; an empty table gives no rows.
     """
     documents, slots = mix(df, block=block, **options)
     parts = in_blocks(documents, block).join(slots.select("source_no", "block", "pass"), ["source_no", "block"])
     own = parts.groupBy("source_no", "n", "pass").agg(
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_parts"), F.sum(F.col("hi") - F.col("lo")).alias("_words"))
-    chosen = own.join(documents.select("source_no", "n", "doc_id", "h", "size"), ["source_no", "n"])
-    # Repeated rows: one of each (doc_id, text) is joined with the choices of all its copies.
-    repeated = documents.groupBy("doc_id", "h").count().where("count > 1")
-    one = df if repeated.isEmpty() else df.dropDuplicates(["doc_id", "text"])
-    rows = one.select(*numbered(df, "text"), df["doc_id"].alias("_id"), text_key().alias("_key"), df["text"].alias("_t"))
-    d = rows.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("h")))
+    chosen = own.join(documents.select("source_no", "n", "doc_id", "h", "source", "size"), ["source_no", "n"])
+    # Repeated rows: one of each (doc_id, text, source) is joined with the choices of all its copies.
+    repeated = documents.groupBy("doc_id", "h", "source").count().where("count > 1")
+    one = df if repeated.isEmpty() else df.dropDuplicates(["doc_id", "text", "source"])
+    rows = one.select(*numbered(df, "text"), df["doc_id"].alias("_id"), df["source"].cast("string").alias("_from"),
+                      text_key().alias("_key"), df["text"].alias("_t"))
+    d = rows.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("h")) &
+                  F.col("_from").eqNullSafe(F.col("source")))
     words = F.regexp_extract_all(F.coalesce("_t", F.lit("")), F.lit(WORD), F.lit(0))
     whole = F.col("_words") == F.col("size")
     d = with_computed(d, _w=F.when(whole, F.lit(None)).otherwise(words))

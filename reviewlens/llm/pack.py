@@ -32,8 +32,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: Chunks without other characters are cut into the tokenizer's words by ``_SPLIT``: there the pattern is surely equal.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9]|[^\sa-zªµºß-öø-ÿ0-9]+")
-#: Entries of a task's caches; a full cache is emptied and filled again, results do not depend on it.
-_CACHE = 700_000
+#: Bytes of a task's caches; a full cache is emptied and filled again, results do not depend on it.
+_CACHE = 48 << 20
 
 
 class Encoder:
@@ -82,10 +82,12 @@ class Encoder:
     def reset(self) -> None:
         self.chunks.clear()
         self.words.clear()
+        self.bytes = 0
         self.flat, self.starts, self.lens = array("I"), array("q"), array("q")
 
     def word(self, word: str) -> list[int]:
         ids = self.words[word] = self.merge.encode_single_piece(word.encode() + b"\xff")
+        self.bytes += 250 + 4 * len(word) + 32 * len(ids)
         return ids
 
     def ids_of(self, chunk: str) -> list[int]:
@@ -100,7 +102,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in turn, and the end of each text's ids."""
-        if len(self.chunks) > _CACHE:
+        if self.bytes > _CACHE:
             self.reset()
         # Cut at ASCII white space alone: other white space stays inside a chunk, where the tokenizer drops it.
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -111,6 +113,7 @@ class Encoder:
             k = chunks.get(chunk)
             if k is None:
                 ids = self.ids_of(chunk)
+                self.bytes += 150 + 4 * len(chunk) + 4 * len(ids)
                 k = chunks[chunk] = len(starts)
                 starts.append(len(flat))
                 lens.append(len(ids))

@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.session import stage
+from reviewlens.session import drop, stage
 
-from .common import arrow_ready, numbered, parts_of, ragged_take, renamed, split_words, text_key
+from .common import arrow_ready, parts_of, ragged_take, split_words, text_key
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = r"[#*$%&|<>]"
@@ -46,7 +46,8 @@ WEIGHT = 1_000
 #: Up to so many bands are broadcast (a few numbers each); more meet the documents in a shuffled join.
 BROADCAST_BANDS = 10_000
 
-_CACHE = 600_000
+#: Bytes that the cache of word tokens may take before it is emptied.
+_CACHE = 32 << 20
 _ASCII_WS = " \t\n\x0b\x0c\r"
 MEASURES = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
             ("n_repeat_words", "long"), ("n_tokens", "long"), ("chars_per_token", "double"), ("byte_share", "double"),
@@ -54,7 +55,7 @@ MEASURES = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"),
 
 
 class Pieces:
-    """Token ids of single words, cached; a full cache is emptied and filled again."""
+    """Token ids of single words, cached; a cache of more than ``_CACHE`` bytes is emptied before the next texts."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -65,15 +66,17 @@ class Pieces:
 
     def reset(self) -> None:
         self.words: dict[str, int] = {}
+        self.bytes = 0
         self.flat, self.starts, self.lens = array("I"), array("q"), array("q")
 
     def entries(self, words: list[str]) -> np.ndarray:
-        if len(self.words) > _CACHE:
+        if self.bytes > _CACHE:
             self.reset()
         known, out = self.words, []
         new = [w for w in words if w not in known]
         for w, ids in zip(new, self.model.encode(new, num_threads=1) if new else []):
             known[w] = len(self.starts)
+            self.bytes += 150 + 4 * len(w) + 4 * len(ids)
             self.starts.append(len(self.flat))
             self.lens.append(len(ids))
             self.flat.extend(ids)
@@ -268,11 +271,21 @@ def quality(df: DataFrame) -> DataFrame:
 
 
 def kept_documents(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` that the rules keep, with their columns as they are.  Texts are written once, with their measures."""
-    rows = df.select(*numbered(df, "text"), df["lang"].alias("_l"), df["source"].alias("_s"), df["text"].alias("text"),
-                     text_key().alias("_hash"))
-    d = judged(stage(measured(rows, rows.columns), "quality"), F.col("_l"), F.col("_s"))
-    return d.where("kept").select(*renamed(df.columns, text=F.col("text")))
+    """The rows of ``df`` that the rules keep, with their columns as they are.
+
+    Texts go to Python once and do not come back: the verdict depends on the text and its language alone, so the rejected
+    (doc_id, text hash, language) are dropped from ``df`` by an anti-join, broadcast where Spark finds the list small.
+    Edge rows as in ``quality``; an empty table gives no rows.
+    """
+    rows = df.select("doc_id", df["lang"].alias("_l"), df["source"].alias("_s"), "text", text_key().alias("_hash"))
+    d = stage(measured(rows.withColumn("_key", F.col("_hash")), ["doc_id", "_l", "_s", "_hash", "_key"]), "quality")
+    gone = judged(d, F.col("_l"), F.col("_s")).where("not kept").select(
+        F.col("doc_id").alias("_id"), F.col("_l").alias("_lang"), "_key").distinct()
+    gone = stage(gone, "rejected")
+    drop(d)
+    same = df["doc_id"].eqNullSafe(gone["_id"]) & df["lang"].eqNullSafe(gone["_lang"]) & (
+        F.xxhash64(F.coalesce(df["text"], F.lit(""))) == gone["_key"])
+    return df.join(gone, same, "left_anti")
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

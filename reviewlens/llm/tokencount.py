@@ -25,7 +25,8 @@ from .common import arrow_ready, parts_of
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-_CACHE = 600_000
+#: Bytes that the cache of chunks may take before it is emptied.
+_CACHE = 64 << 20
 _RUNS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -40,6 +41,7 @@ class Counter:
         self.single = {p for p in pieces if len(p) == 1}
         self.unknown = min(pieces.values()) - UNKNOWN_PENALTY
         self.cache: dict[str, tuple[float, int]] = {}
+        self.cached = 0
 
     def viterbi(self, chunk: str) -> tuple[float, int]:
         n = len(chunk)
@@ -72,9 +74,13 @@ class Counter:
     def chunk(self, chunk: str) -> tuple[float, int]:
         got = self.cache.get(chunk)
         if got is None:
-            if len(self.cache) > _CACHE:
-                self.cache.clear()
-            got = self.cache[chunk] = self.viterbi(chunk)
+            got = self.viterbi(chunk)
+            if len(chunk) < 256:
+                self.cached += 250 + 4 * len(chunk)
+                if self.cached > _CACHE:
+                    self.cache.clear()
+                    self.cached = 250 + 4 * len(chunk)
+                self.cache[chunk] = got
         return got
 
     def text(self, text: str) -> tuple[float, int]:

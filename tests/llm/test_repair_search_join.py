@@ -299,3 +299,17 @@ def test_kept_documents_are_the_rows_that_quality_keeps(spark, edge, small):
         kept = quality.kept_documents(df)
         assert kept.columns == df.columns
         assert collections.Counter((r.doc_id, len(WORD.findall(r.text or ""))) for r in kept.collect()) == verdicts
+
+
+def test_mixed_documents_keep_sources_of_equal_rows_apart(spark):
+    from reviewlens.llm import mix
+
+    text = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, text, "A"), (1, text, "B"), (2, text + " x", "A"), (3, text, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    plan = mix.taken(*mix.mix(df.withColumn("lang", mix.F.lit("en"))))
+    want = {r["source"]: r["words"] for r in plan.groupBy("source").agg(mix.F.sum("taken").alias("words")).collect()}
+    got = collections.Counter()
+    for r in mix.mixed_documents(df.withColumn("n_chars", mix.F.lit(0))).collect():
+        got[r.source] += len(WORD.findall(r.text))
+    assert got == collections.Counter({k: v for k, v in want.items() if v})
