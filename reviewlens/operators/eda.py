@@ -151,33 +151,27 @@ def length_histogram(work: DataFrame, col: str = "char_len", n_bins: int = N_BIN
     return _histogram(length_counts(work, col), n_bins)[0]
 
 
-def length_kde(work: DataFrame, col: str = "char_len", n_bins: int = N_BINS, n_grid: int = 100) -> DataFrame:
-    """A-10: Gaussian KDE (Scott bandwidth) on a 100-point grid, from the binned counts.
+def length_kde(work: DataFrame, col: str = "char_len", n_grid: int = 100) -> DataFrame:
+    """A-10: Gaussian KDE (Scott bandwidth) over all lengths, on a grid of ``n_grid`` points from least to greatest.
 
-    Each non-empty bin (at most 50) emits its contribution to every grid point
-    as an array it explodes; a group-by sums them.  Cost is bins x grid after
-    one pass over the rows; sd comes from the length counts' moments.
+    Equal lengths count together: each distinct length adds its kernel, times its count, to every grid point, and a
+    group-by on the grid point sums them map-side.  Two lengths or more are needed; one has no spread.
     """
     lens = length_counts(work, col)
-    hist, lo, hi = _histogram(lens, n_bins)
     x = F.col("len").cast("double")
     mom = lens.agg(F.struct(F.sum("n").alias("n"), F.sum(F.col("n") * x).alias("s1"),
-                            F.sum(F.col("n") * x * x).alias("s2"))).scalar()
-    n, s1, s2 = mom.getField("n"), mom.getField("s1"), mom.getField("s2")
-    sd = F.sqrt((s2 - s1 * s1 / n) / (n - 1))
-    bw = sd * F.pow(n.cast("double"), F.lit(-0.2))
+                            F.sum(F.col("n") * x * x).alias("s2"), F.min("len").alias("lo"), F.max("len").alias("hi"))).scalar()
+    n, s1, s2, lo, hi = (mom.getField(f) for f in ("n", "s1", "s2", "lo", "hi"))
+    bw = F.sqrt((s2 - s1 * s1 / n) / (n - 1)) * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo).cast("double") / (n_grid - 1)
-    h = (hist.where(F.col("cnt") > 0)
-         .select("cnt", ((F.col("bin_start") + F.col("bin_end")) / 2).alias("_c"), lo.alias("_lo"),
-                 step.alias("_step"), bw.alias("_bw"), n.alias("_n")))
-    dens = F.transform(F.sequence(F.lit(0), F.lit(n_grid - 1)),
-                       lambda g: F.col("cnt") * F.exp(F.lit(-0.5) * F.pow(
-                           (F.col("_lo") + g * F.col("_step") - F.col("_c")) / F.col("_bw"), 2))
-                       / (F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))))
-    contrib = h.select(F.posexplode(dens).alias("grid", "d"))
-    return (contrib.groupBy("grid").agg(F.sum("d").alias("_d"))
-            .select(F.col("grid").cast("int").alias("grid"), F.round(lo + F.col("grid") * step, 6).alias("x"),
-                    F.round(F.col("_d"), 9).alias("density")))
+    d = lens.select("n", x.alias("_x"), lo.cast("double").alias("_lo"), step.alias("_step"), bw.alias("_bw"),
+                    n.cast("double").alias("_all"))
+    at = F.col("_lo") + F.col("grid") * F.col("_step")
+    kernel = F.exp(F.lit(-0.5) * F.pow((at - F.col("_x")) / F.col("_bw"), 2)) / (F.col("_bw") * math.sqrt(2 * math.pi))
+    each = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("grid"))
+    return each.groupBy("grid").agg(F.sum(F.col("n") * kernel / F.col("_all")).alias("_d")).select(
+        F.col("grid").cast("int").alias("grid"), F.round(lo + F.col("grid") * step, 6).alias("x"),
+        F.round(F.col("_d"), 9).alias("density"))
 
 
 # A-08 / A-14 -----------------------------------------------------------------------

@@ -1,9 +1,11 @@
 """Feature operators (X-01, X-02, X-06, X-09, X-11, X-12, F-20, F-21, A-13, A-14).
 
-Sparse features stay in long form ``(doc_id, term, value)`` for SQL work and
-are vectorised into MLlib ``SparseVector`` columns in the JVM (``vectorize``).  The
-capped vocabularies (<= max_features rows) are the only broadcast sides;
-uncapped vocabularies are joined normally and AQE decides at run time.
+Sparse features stay in long form ``(doc_id, term, value)`` for SQL work, over
+all terms unless the caller asks for a cap.  A vocabulary grows with the
+data, so only its head is broadcast: at most ``HEAD_TERMS`` of the most
+frequent terms, counted before (``lookup``); the tail meets its terms in a
+hash join.  Learners read all terms through a fixed number of hashed slots
+(``vectorize_hashed``), built in the JVM.
 """
 
 from __future__ import annotations
@@ -18,11 +20,15 @@ from reviewlens.operators import rank as R
 
 # Vectoriser defaults (CountVectorizer / TfidfVectorizer).
 MIN_TOKEN = r"([\p{L}\p{N}_]{2,})"  # tokens of at least two word characters
-MAX_FEATURES = 50_000
 MAX_LEN = 256
 MIN_FREQ = 2
 PAD, UNK = 0, 1
 
+#: Rows of a vocabulary's head that may be broadcast, each term at most so many characters.
+HEAD_TERMS, HEAD_CHARS = 50_000, 128
+#: Slots that learners see.
+SLOTS = 1 << 18
+
 
 def vec_tokens(c) -> Column:
     """Vectoriser tokens: lowercased runs of >= 2 word characters."""
@@ -39,84 +45,123 @@ def doc_grams(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "do
     return d.select(key, *carry, F.concat(*[X.ngrams("_t", n) for n in range(lo, hi + 1)]).alias("_g"))
 
 
-def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id",
-              vocab: DataFrame | None = None) -> DataFrame:
-    """(key, term, tf): per-document counts, restricted to ``vocab`` terms when given.
+def doc_terms(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id") -> DataFrame:
+    """(key, term, tf): how often each document has each of its terms.
 
-    The vocabulary (<= max_features rows) is a broadcast semi-join applied
-    before the per-document count, so out-of-vocabulary grams never reach
-    the aggregation.
+    Documents are dealt out by key before their terms are unrolled, so the count
+    needs no exchange of (key, term) rows: text moves once, narrow.
     """
-    g = doc_grams(docs, text_col, ngram_range, key).select(key, F.explode("_g").alias("term"))
-    if vocab is not None:
-        g = g.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    d = docs.select(key, text_col).repartition(key)
+    g = doc_grams(d, text_col, ngram_range, key).select(key, F.explode("_g").alias("term"))
     return g.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
 
 
 def term_stats(docs: DataFrame, text_col: str, ngram_range=(1, 1), key: str = "doc_id") -> DataFrame:
-    """(term, freq, df): corpus frequency and document frequency, each a term-keyed aggregation.
-
-    ``freq`` counts every gram and ``df`` every distinct gram of a document;
-    both combine map-side, so a very common term costs one partial row per
-    task, and no (document, term) table is built.
-    """
-    g = doc_grams(docs, text_col, ngram_range, key)
-    both = g.select(F.inline(F.concat(
-        F.transform("_g", lambda x: F.struct(x.alias("term"), F.lit(1).alias("f"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct("_g"), lambda x: F.struct(x.alias("term"), F.lit(0).alias("f"), F.lit(1).alias("d"))))))
-    return both.groupBy("term").agg(F.sum("f").cast("double").alias("freq"), F.sum("d").alias("df"))
+    """(term, freq, df): corpus frequency and document frequency of every term, combined map-side."""
+    return doc_terms(docs, text_col, ngram_range, key).groupBy("term").agg(
+        F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
 
 
-def top_vocabulary(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """Capped vocabulary: top terms by corpus frequency (ties: term ascending) with df and a 0-based index.
+def top_vocabulary(stats: DataFrame, max_features: int | None = None) -> DataFrame:
+    """Vocabulary with freq, df and a 0-based ``index`` in ascending order of the terms; written.
 
-    The cut is an exact distributed rank (buckets of (-freq, first two
-    characters), ``rank.prefix_sums``) on the written term statistics, not a
-    top-k merged in one task.  The result has at most ``max_features`` rows:
-    the bound that makes it a safe broadcast side and lets the final index
-    (terms in ascending order) be numbered in one task.
+    ``max_features`` keeps the most frequent terms (ties: term ascending) by an exact
+    distributed rank over buckets of (-freq, first two characters); None keeps all.
     """
     from reviewlens.session import stage
-    st = stage(stats.select("term", "freq", "df"), "term-stats")
-    bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
-    r = R.prefix_sums(st, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")},
-                      coarse=lambda b: b.getField("f"))
-    top = r.where(F.col("_r") <= max_features).drop("_r")
-    return top.withColumn("index", (F.row_number().over(Window.orderBy(F.col("term"))) - 1).cast("int"))
+    st = stats.select("term", "freq", "df")
+    if max_features is not None:
+        st = stage(st, "term-stats")
+        bucket = F.struct((-F.col("freq")).alias("f"), F.substring("term", 1, 2).alias("p"))
+        r = R.prefix_sums(st, bucket, [F.col("freq").desc(), F.col("term")], {"_r": F.lit(1).cast("bigint")},
+                          coarse=lambda b: b.getField("f"))
+        st = r.where(F.col("_r") <= max_features).drop("_r")
+    return stage(R.sorted_index(st, "term", "index"), "vocabulary")
+
+
+def lookup(rows: DataFrame, vocab: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` (with ``term``) joined with ``cols`` of a written vocabulary (term, freq, ...).
+
+    The head of the vocabulary, found by counting terms of at least 2**k occurrences, holds most of the rows and
+    is broadcast: at most ``HEAD_TERMS`` rows.  What it does not know meets the rest in a hash join, where no term is
+    frequent enough to be a hot key.  ``how`` is inner or left.
+    """
+    short = F.length("term") <= HEAD_CHARS
+    sizes = vocab.agg(F.count(F.lit(1)), *[F.count_if(short & (F.col("freq") >= 2 ** k)) for k in range(48)]).first()
+    if sizes[0] <= HEAD_TERMS and sizes[1] == sizes[0]:
+        return rows.join(F.broadcast(vocab.select("term", *cols)), "term", how)
+    k = next((i for i, n in enumerate(sizes[1:]) if n <= HEAD_TERMS), 48)
+    is_head = short & (F.col("freq") >= 2 ** k)
+    head = vocab.where(is_head).select("term", *cols, F.lit(True).alias("_head"))
+    j = rows.join(F.broadcast(head), "term", "left")
+    rest = j.where(F.col("_head").isNull()).select(*rows.columns).join(
+        vocab.where(~is_head).select("term", *cols), "term", how)
+    return j.where(F.col("_head")).drop("_head").unionByName(rest)
 
 
 def _fit(docs: DataFrame, fit: Column | None) -> DataFrame:
     return docs if fit is None else docs.where(fit)
 
 
-def bow(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int = MAX_FEATURES,
+def bow(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int | None = None,
         key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """X-01: counts over a vocabulary fitted on the ``fit`` documents (train only). Returns (long, vocabulary)."""
-    from reviewlens.session import stage
-    vocab = stage(top_vocabulary(term_stats(_fit(docs, fit), text_col, (1, 1), key), max_features), "bow-vocab")
-    out = doc_terms(docs, text_col, (1, 1), key, vocab).join(F.broadcast(vocab.select("term", "index")), "term")
+    """X-01: counts over the vocabulary of the ``fit`` documents (train only). Returns (long, vocabulary)."""
+    vocab = top_vocabulary(term_stats(_fit(docs, fit), text_col, (1, 1), key), max_features)
+    out = lookup(doc_terms(docs, text_col, (1, 1), key), vocab, ["index"])
     return out.select(key, "term", "index", "tf"), vocab
 
 
-def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int = MAX_FEATURES,
+def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_features: int | None = None,
           ngram_range=(1, 2), key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """X-02: smooth idf = ln((1+n)/(1+df)) + 1 from the fit documents; rows L2-normalised.
 
     Spark's ``IDF`` omits the ``+1`` (a term in every document weighs 0), so
-    the weights are computed here from the vocabulary table (written once,
-    <= max_features rows).
+    the weights are computed here from the vocabulary table.
     """
-    from reviewlens.session import stage
     fit_docs = _fit(docs, fit)
     n = fit_docs.agg(F.count(F.lit(1))).scalar()
-    vocab = stage(top_vocabulary(term_stats(fit_docs, text_col, ngram_range, key), max_features)
-                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1), "tfidf-vocab")
-    terms = doc_terms(docs, text_col, ngram_range, key, vocab)
-    w = terms.join(F.broadcast(vocab.select("term", "index", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    vocab = top_vocabulary(term_stats(fit_docs, text_col, ngram_range, key), max_features).withColumn(
+        "idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
+    w = lookup(doc_terms(docs, text_col, ngram_range, key), vocab, ["index", "idf"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # one document per window group
     return w.select(key, "term", "index", (F.col("w") / norm).alias("weight")), vocab
 
 
+def slot_of(term) -> Column:
+    """Hashed slot of a term."""
+    return F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
+
+
+def vectorize_hashed(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Column | None = None, idf: bool = True,
+                     out_col: str = "features") -> DataFrame:
+    """MLlib SparseVector per document over all its terms, in ``SLOTS`` hashed slots, built in the JVM.
+
+    No term is left out and no vocabulary is taken to the driver; terms that share a slot (one in ``SLOTS`` for any two) are
+    counted together.  With ``idf``: smooth idf by slot from the ``fit`` documents (one number a slot on the driver), rows
+    L2-normalised; else plain counts.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+
+    key = next(c for c in docs.columns if c != text_col)
+    grams = doc_grams(docs, text_col, ngram_range, key, carry=[c for c in docs.columns if c not in (key, text_col)])
+    d = with_computed(grams, _s=F.transform("_g", lambda g: slot_of(g).cast("string"))).drop("_g")
+    d = d.join(docs.select(key, text_col), key)
+    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(SLOTS)], inputCol="_s",
+                                              outputCol="_tf" if idf else out_col)
+    out = cv.transform(d).drop("_s")
+    if not idf:
+        return out
+    train = _fit(d, fit)
+    n = train.count()
+    df = dict(train.select(F.explode(F.array_distinct("_s")).alias("s")).groupBy("s").count().collect())
+    import math
+
+    weights = [math.log((n + 1) / (df.get(str(i), 0) + 1)) + 1 for i in range(SLOTS)]
+    out = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_tf", outputCol="_w").transform(out)
+    return Normalizer(p=2.0, inputCol="_w", outputCol=out_col).transform(out).drop("_tf", "_w")
+
+
 def vectorize(docs: DataFrame, text_col: str, vocab: DataFrame, ngram_range=(1, 2), idf: bool = True,
               out_col: str = "features") -> DataFrame:
     """MLlib SparseVector per document over a fitted capped vocabulary, built in the JVM.
@@ -143,6 +188,21 @@ def vectorize(docs: DataFrame, text_col: str, vocab: DataFrame, ngram_range=(1,
     return Normalizer(p=2.0, inputCol="_w", outputCol=out_col).transform(out).drop("_tf", "_w")
 
 
+def hashed_tfidf(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Column | None = None,
+                 key: str = "doc_id") -> DataFrame:
+    """(key, index, value): the entries of ``vectorize_hashed``'s vectors in long form."""
+    counts = doc_terms(docs, text_col, ngram_range, key).groupBy(key, slot_of(F.col("term")).alias("index")).agg(
+        F.sum("tf").alias("tf"))
+    fit_docs = _fit(docs, fit)
+    n = fit_docs.agg(F.count(F.lit(1))).scalar()
+    df = doc_terms(fit_docs, text_col, ngram_range, key).select(key, slot_of(F.col("term")).alias("index")).distinct().groupBy(
+        "index").agg(F.count(F.lit(1)).alias("df"))  # at most SLOTS rows
+    w = counts.join(F.broadcast(df), "index", "left").withColumn(
+        "w", F.col("tf") * (F.log((n + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "index", (F.col("w") / norm).alias("value"))
+
+
 # X-06 ----------------------------------------------------------------------------------
 def text_stats(df: DataFrame, text_col: str, key: str = "doc_id") -> DataFrame:
     """Char count, whitespace word count, mean word length, punctuation count, capital ratio (raw text)."""
@@ -213,24 +273,31 @@ def vocab_first_seen(df: DataFrame, text_col: str, key: str = "doc_id", min_freq
     return r.select("term", "freq", "first_doc", "first_pos", (F.col("_r") + 1).cast("int").alias("id"))
 
 
-def encode_sequences(df: DataFrame, vocab: DataFrame, text_col: str, key: str = "doc_id",
-                     max_len: int = MAX_LEN) -> DataFrame:
-    """F-20 / F-21 / J-03: first max_len token ids (unknown -> 1), right-padded with 0, and true length.
+def encode_windows(df: DataFrame, vocab: DataFrame, text_col: str, key: str = "doc_id",
+                   max_len: int = MAX_LEN) -> DataFrame:
+    """F-20 / F-21 / J-03: ``key, window, length, ids``: all token ids of a text, ``max_len`` to a window.
 
-    Tokens are truncated to max_len *before* exploding; the vocabulary join is
-    a left join on the term (hot terms: AQE skew join or runtime broadcast).
+    Unknown tokens are 1; the last window is padded on the right with 0, ``length`` counts its tokens.  A text
+    without tokens has one window of padding.  Ids come from ``lookup``; a group is one window, so a text of any length is
+    gathered in bounded pieces.
     """
     toks = with_computed(df.select(key, text_col), _t=X.word_tokens(F.col(text_col)))
-    d = toks.select(key, F.size("_t").alias("_n"), F.slice("_t", 1, max_len).alias("_t"))
-    ex = d.select(key, "_n", F.posexplode("_t").alias("pos", "term"))
-    j = ex.join(vocab.select("term", "id"), "term", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"), F.first("_n").alias("_n"))
+    ex = toks.select(key, F.posexplode_outer("_t").alias("pos", "term"))
+    empty = ex.where(F.col("pos").isNull()).select(
+        key, F.lit(0).alias("window"), F.lit(0).alias("length"), F.array_repeat(F.lit(PAD), max_len).alias("ids"))
+    j = lookup(ex.where(F.col("pos").isNotNull()), vocab, ["id"], "left")
+    g = j.groupBy(key, F.floor(F.col("pos") / max_len).cast("int").alias("window")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))).alias("_p"))
     ids = F.transform("_p", lambda s: s.getField("id"))
     padded = F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(ids)))
-    empty = df.select(key).join(g.select(key), key, "left_anti").select(
-        key, F.lit(0).alias("length"), F.array_repeat(F.lit(PAD), max_len).alias("ids"))
-    return g.select(key, F.least(F.col("_n"), F.lit(max_len)).cast("int").alias("length"), padded.alias("ids")
-                    ).unionByName(empty)
+    return g.select(key, "window", F.size("_p").alias("length"), padded.alias("ids")).unionByName(empty)
+
+
+def encode_sequences(df: DataFrame, vocab: DataFrame, text_col: str, key: str = "doc_id",
+                     max_len: int = MAX_LEN) -> DataFrame:
+    """The first window alone: ``key, length, ids`` with at most ``max_len`` tokens, for models of one fixed length."""
+    w = encode_windows(df, vocab.withColumn("freq", F.lit(1)) if "freq" not in vocab.columns else vocab, text_col, key, max_len)
+    return w.where("window = 0").drop("window")
 
 
 def token_stats(df: DataFrame, text_col: str, min_freq: int = MIN_FREQ) -> DataFrame:

@@ -436,9 +436,11 @@ def vocab_first_seen(spark, sf):
 
 @query
 def encode_sequences(spark, sf):
+    """F-20 / F-21: every token of every text, 256 to a window."""
+    from reviewlens.session import stage
     w = work_staged(spark, sf)
-    enc = FT.encode_sequences(w, FT.vocab_by_freq(w, "clean_text"), "clean_text")
-    return enc.select("doc_id", "length", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
+    enc = FT.encode_windows(w, stage(FT.vocab_by_freq(w, "clean_text"), "vocab"), "clean_text")
+    return enc.select("doc_id", "window", "length", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
 
 
 @query
@@ -524,11 +526,9 @@ def represent(sp, rep: str = "tfidf"):
     if rep in ("tfidf", "bow", "tfidf_stats"):
         fit = F.col("split") == "train"
         if rep == "bow":
-            _, vocab = FT.bow(sp, "clean_text", fit=fit)
-            out = FT.vectorize(sp, "clean_text", vocab, (1, 1), idf=False)
+            out = FT.vectorize_hashed(sp, "clean_text", (1, 1), idf=False)
         else:
-            _, vocab = FT.tfidf(sp, "clean_text", fit=fit)
-            out = FT.vectorize(sp, "clean_text", vocab, (1, 2), idf=True)
+            out = FT.vectorize_hashed(sp, "clean_text", (1, 2), fit)
         if rep == "tfidf_stats":  # J-01: equi-join on doc_id + assembler, stays sparse
             st = FT.text_stats(sp, "text")
             z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
@@ -747,15 +747,26 @@ from reviewlens.operators import explain as XP  # noqa: E402
 
 @query
 def linear_attribution(spark, sf):
-    """E-15: exact linear attribution for class 0 over all rows, top 20 features (T-06 order)."""
-    model, _, data = _fit_one(spark, sf, "logistic")
+    """E-15: exact linear attribution over all rows for every class, top 20 features each (T-06 order).
+
+    A feature is a hashed slot; it is named by its most frequent term in train.
+    """
+    from reviewlens.session import stage
+    model = _fit_one(spark, sf, "logistic")[0]
     sp = learn_split(spark, sf)
-    long, vocab = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
-    coef = model.stages[-1].coefficientMatrix.toArray()[0]  # one row per class, <= max_features columns
-    weights = spark.createDataFrame([(int(i), float(w)) for i, w in enumerate(coef)], "index int, weight double")
+    terms = FT.term_stats(sp.where(F.col("split") == "train"), "clean_text", (1, 2))
+    names = stage(terms.groupBy(FT.slot_of(F.col("term")).alias("index")).agg(
+        F.min(F.struct((-F.col("freq")).alias("f"), "term")).alias("m")).select("index", F.col("m.term").alias("term")), "names")
+    coef = model.stages[-1].coefficientMatrix.toArray()  # classes x slots
+    long = stage(FT.hashed_tfidf(sp, "clean_text", (1, 2), F.col("split") == "train"), "hashed")
     n = sp.agg(F.count(F.lit(1))).first()[0]
-    attr = XP.linear_attribution(long.select("doc_id", "index", F.col("weight").alias("value")), weights, n)
-    return attr.join(vocab.select("index", "term"), "index").select("term", "weight", "mean_abs_phi")
+    out = None
+    for c, row in enumerate(coef):
+        weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(row) if w], "index int, weight double")
+        one = XP.linear_attribution(long, weights, n).join(names, "index").select(
+            F.lit(c).alias("class"), "term", "weight", "mean_abs_phi")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query

@@ -136,14 +136,12 @@ from g cross join b left join h on g.bin = h.bin"""
 SQL["length_histogram"] = _HIST.format(work=WORK)
 
 SQL["length_kde"] = f"""
-with hist as ({_HIST.format(work=WORK)}),
-w as {WORK},
-s as (select min(char_len) as lo, max(char_len) as hi, count(*) as n, stddev_samp(char_len) as sd from w),
-p as (select lo, cast(hi - lo as double) / 99 as step, n, sd * pow(cast(n as double), -0.2) as bw from s),
+with w as {WORK},
+p as (select min(char_len) as lo, cast(max(char_len) - min(char_len) as double) / 99 as step, count(*) as n,
+             stddev_samp(char_len) * pow(cast(count(*) as double), -0.2) as bw from w),
 g as (select cast(range as integer) as grid from range(0, 100)),
-c as (select g.grid, sum(h.cnt * exp(-0.5 * pow((p.lo + g.grid * p.step - (h.bin_start + h.bin_end) / 2) / p.bw, 2))
-                         / (p.n * p.bw * sqrt(2 * pi()))) as d
-      from hist h, g, p where h.cnt > 0 group by g.grid)
+c as (select grid, sum(exp(-0.5 * pow((lo + grid * step - char_len) / bw, 2)) / (n * bw * sqrt(2 * pi()))) as d
+      from w, g, p group by grid)
 select c.grid, round(p.lo + c.grid * p.step, 6) as x, round(c.d, 9) as density from c, p"""
 
 SQL["duplicates"] = f"""
@@ -371,19 +369,20 @@ from (select doc_id, case y when 0 then 'negative' when 1 then 'neutral' when 2
 # ---------------------------------------------------------------------------- features
 from reviewlens.operators import features as _FT  # noqa: E402
 
-_WSPLIT = _SPLIT.format(rank=rank_sql('doc_id'), src=f"(select doc_id, clean_text from {WORK})")
+_WSPLIT = _SPLIT.format(rank=rank_sql('doc_id'), src="wk")
 _VT = f"regexp_extract_all(lower(clean_text), {S.lit(_FT.MIN_TOKEN)}, 1)"
 
 
 def _vectorise(ngram_hi: int) -> str:
     grams = " union all ".join(f"select doc_id, unnest({S.ngrams('toks', n)}) as term from t"
                                for n in range(1, ngram_hi + 1))
-    return f"""sp as {_WSPLIT},
-t as (select doc_id, split, {_VT} as toks from sp),
+    return f"""wk as materialized (select doc_id, clean_text from {WORK}),
+sp as materialized {_WSPLIT},
+t as materialized (select doc_id, split, {_VT} as toks from sp),
 g as ({grams}),
-tf as (select doc_id, term, count(*) as tf from g group by all),
+tf as materialized (select doc_id, term, count(*) as tf from g group by all),
 fit as (select tf.* from tf join sp on tf.doc_id = sp.doc_id where sp.split = 'train'),
-voc as (select term, sum(tf) as freq, count(*) as df from fit group by term order by freq desc, term limit 50000),
+voc as materialized (select term, sum(tf) as freq, count(*) as df from fit group by term),
 n as (select count(*) as n from sp where split = 'train')"""
 
 
@@ -429,15 +428,17 @@ select term, freq, fp[1] as first_doc, cast(fp[2] as integer) as first_pos,
   cast(row_number() over (order by fp[1], fp[2]) + 1 as integer) as id from f"""
 
 SQL["encode_sequences"] = f"""
-with {_TF}, voc as (select term, cast(row_number() over (order by freq desc, term) + 1 as integer) as id from tf),
-t as (select doc_id, {S.word_tokens('clean_text')} as toks from {WORK}),
-e as (select doc_id, unnest(toks[1:256]) as term, generate_subscripts(toks[1:256], 1) as pos from t),
+with wk as materialized (select doc_id, clean_text from {WORK}),
+t as materialized (select doc_id, {S.word_tokens('clean_text')} as toks from wk),
+e as materialized (select doc_id, unnest(toks) as term, generate_subscripts(toks, 1) - 1 as pos from t),
+tf as (select term, count(*) as freq from e group by term having count(*) >= 2),
+voc as (select term, cast(row_number() over (order by freq desc, term) + 1 as integer) as id from tf),
 j as (select e.doc_id, e.pos, coalesce(voc.id, 1) as id from e left join voc on e.term = voc.term),
-s as (select doc_id, string_agg(cast(id as varchar), ',' order by pos) as ids, count(*) as n from j group by doc_id)
-select t.doc_id, cast(least(len(t.toks), 256) as integer) as length,
-  case when s.n is null then array_to_string(list_transform(range(256), lambda x: '0'), ',')
-       else s.ids || repeat(',0', 256 - s.n) end as ids
-from t left join s on t.doc_id = s.doc_id"""
+s as (select doc_id, cast(pos // 256 as integer) as win, string_agg(cast(id as varchar), ',' order by pos) as ids,
+        cast(count(*) as integer) as n from j group by all)
+select doc_id, win as window, n as length, ids || repeat(',0', 256 - n) as ids from s
+union all
+select doc_id, 0, 0, array_to_string(list_transform(range(256), lambda x: '0'), ',') from t where len(toks) = 0"""
 
 SQL["token_stats"] = f"""
 with {_TF}

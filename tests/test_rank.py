@@ -66,3 +66,37 @@ def test_prefix_sums_coarse_offsets_equal(spark):
     ra = {r.t: r.r for r in a.collect()}
     assert ra == {r.t: r.r for r in b.collect()}
     assert sorted(ra.values()) == list(range(1, 3001))
+
+
+def test_cut_points_equal_the_sorted_order(spark, monkeypatch):
+    rows = [(k, "ab"[k % 2] if k % 5 else None) for k in range(2000)] + [(None, "a")]
+    df = spark.createDataFrame(rows, "k long, g string")
+
+    def order(keys):
+        return sorted(keys, key=lambda k: ("", -1) if k is None else (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+
+    for limit in (4096, 3, 1):
+        monkeypatch.setattr(R, "CUT_ROWS", limit)
+        for by, groups in ((None, {None: [k for k, _ in rows]}),
+                           ("g", {g: [k for k, x in rows if x == g] for g in ("a", "b", None)})):
+            ranks = {g: [0, 1, 2, len(ks) // 3, len(ks) - 1, len(ks), len(ks) + 5] for g, ks in groups.items()}
+            cuts = R.cut_points(df, "k", ranks, by=by)
+            for g, ks in groups.items():
+                part = df if by is None else df.where(F.col("g").eqNullSafe(F.lit(g)))
+                for r in ranks[g]:
+                    if limit == 3 or r % 7 == 0:
+                        got = {x.k for x in part.where(R.at_or_before("k", cuts[g, r])).collect()}
+                        assert got == set(order(ks)[:r])
+
+
+def test_splits_do_not_move_other_columns(spark):
+    df = spark.createDataFrame([(i, "x" * 50) for i in range(100)], "k long, text string")
+    plan = R.split_exact(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_split_shares_are_checked():
+    import pytest
+    for shares in ((-0.1, 0.2), (0.5, 0.5), (0.2, -1)):
+        with pytest.raises(ValueError):
+            R.split_sizes(10, *shares)
