@@ -109,12 +109,12 @@ def cut_points(df: DataFrame, key: str, ranks: dict, seed: int = DEFAULT_SEED, b
     ``ranks`` maps each group of ``by`` (``None`` alone without ``by``) to the ranks wanted.  A pass counts the rows by
     ``CUT_DIGITS`` further digits of the hash within the buckets that hold a wanted rank (4,096 counts a rank reach
     the driver); a bucket of at most ``CUT_ROWS`` rows is read and its value taken.  Gives {(group, rank): (hash, key)}:
-    exactly ``rank`` rows of the group are at or before it.  Ranks beyond a group's size give the end.  ``key`` is unique; a
-    null key comes first.
+    exactly ``rank`` rows of the group are at or before it.  Ranks beyond a group's size give the end, those below 1 None.
+    ``key`` is unique; a null key comes first.
     """
     group = F.col(by) if by else F.lit(None).cast("string")
     keys = df.select(group.alias("_g"), F.col(key).alias("_k"), F.coalesce(seeded_hash(key, seed), F.lit("")).alias("_h"))
-    out = {(g, r): ("", None) for g, rs in ranks.items() for r in rs if r <= 0}
+    out = {(g, r): None for g, rs in ranks.items() for r in rs if r <= 0}
     open_ = {(g, r): ("", 0) for g, rs in ranks.items() for r in rs if r > 0}  # bucket prefix, rows before it
     digits = 0
     while open_:
@@ -138,7 +138,7 @@ def cut_points(df: DataFrame, key: str, ranks: dict, seed: int = DEFAULT_SEED, b
                 continue
             open_[g, rank] = (p, done)
             if done + n == rank:
-                out[g, rank] = (p + _AFTER, None)
+                out[g, rank] = (p + _AFTER if p else "", None)
                 del open_[g, rank]
             elif n <= CUT_ROWS or digits >= 32:
                 small.setdefault((g, p), []).append((rank, rank - done))
@@ -157,11 +157,14 @@ def cut_points(df: DataFrame, key: str, ranks: dict, seed: int = DEFAULT_SEED, b
     return out
 
 
-def at_or_before(key: str, cut: tuple, seed: int = DEFAULT_SEED) -> Column:
-    """Whether a row is at or before a cut point."""
+def at_or_before(key: str, cut: tuple | None, seed: int = DEFAULT_SEED) -> Column:
+    """Whether a row is at or before a cut point; for None no row is."""
+    if cut is None:
+        return F.lit(False)
     h, k = F.coalesce(seeded_hash(key, seed), F.lit("")), F.col(key)
-    same = F.coalesce(k <= F.lit(cut[1]), k.isNull()) if cut[1] is not None else k.isNull() if cut[0] == "" else F.lit(False)
-    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & same) if cut != ("", None) else F.lit(False)
+    if cut[1] is None:  # the end of a bucket, or the null key alone
+        return h <= F.lit(cut[0])
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & F.coalesce(k <= F.lit(cut[1]), F.lit(True)))
 
 
 def sample_exact(df: DataFrame, n: int, key: str, seed: int = DEFAULT_SEED) -> DataFrame:
