@@ -5,19 +5,21 @@
   contribute ``|w_j| mean_j`` each), never densified, over **all** rows.
 * Any model: permutation importance, each feature column permuted by a
   seeded exact rank (a one-to-one join on rank), then re-scored.
-* Text models: local explanations from md5-seeded word masks, scored by the
-  fitted pipeline, with a weighted ridge fit per document in ``applyInPandas``
-  (each group is the fixed number of perturbations of one document).
+* Text models: local explanations from seeded sets of removed words, scored by any
+  model, with a weighted ridge fit per document (a group is one number a
+  perturbation, and the text once; masks are drawn again from the seed).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.functions import text as X
 from reviewlens.operators import metrics as M
 from reviewlens.operators import rank as R
 
@@ -58,50 +60,151 @@ def permutation_importance(model, data: DataFrame, feature_cols: list[str], asse
 
 
 # E-16 ---------------------------------------------------------------------------------
+#: Samples of a document that one task makes.
+SAMPLES_A_TASK = 25
+KERNEL_WIDTH = 25.0
+#: Up to so many features are chosen one after the other; more by the weights of a fit on all.
+FORWARD = 6
+
+
+def _words(text: str) -> tuple[list[str], np.ndarray]:
+    """Distinct words in order of first occurrence, and the number of each place's word."""
+    places = text.split()
+    number: dict[str, int] = {}
+    at = np.array([number.setdefault(w, len(number)) for w in places], np.int64)
+    return list(number), at
+
+
+def keep_mask(n_words: int, sample: int, key, seed: int) -> np.ndarray:
+    """Which distinct words sample ``sample`` of a document keeps: all for sample 0, else all but a uniformly drawn number."""
+    if sample == 0 or n_words == 0:
+        return np.ones(n_words, bool)
+    draw = int.from_bytes(hashlib.md5(f"{seed}:{key}:{sample}".encode()).digest()[:8], "big")
+    rng = np.random.default_rng(draw)
+    keep = np.ones(n_words, bool)
+    keep[rng.choice(n_words, rng.integers(1, n_words + 1), replace=False)] = False
+    return keep
+
+
 def perturb(docs: DataFrame, text_col: str, n_samples: int = 500, key: str = "doc_id", seed: int = R.DEFAULT_SEED):
-    """doc x sample rows: each word kept or dropped by an md5-seeded bit; sample 0 keeps all words."""
-    toks = docs.select(key, F.split(F.trim(F.regexp_replace(F.col(text_col), X.WS_RUN, " ")), " ").alias("_w"))
-    s = toks.select(key, "_w", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("sample"))
-    bits = F.transform("_w", lambda w, i: F.when(F.col("sample") == 0, F.lit(1)).otherwise(
-        (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(key), F.col("sample"), i)), 1, 2), 16, 10)
-         .cast("int") % 2)))
-    s = s.withColumn("mask", bits)
-    kept = F.filter(F.arrays_zip("_w", "mask"), lambda z: z.getField("mask") == 1)
-    return s.select(key, "sample", "mask", "_w", F.array_join(F.transform(kept, lambda z: z.getField("_w")), " ")
-                    .alias(text_col))
-
-
-def _ridge_fit(num_features: int, alpha: float = 1.0, width: float = 25.0):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = list(pdf["_w"].iloc[0])
-        Z = np.array([list(m) for m in pdf["mask"]], dtype=float)
-        y = pdf["p"].to_numpy(dtype=float)
-        d = 1.0 - Z.sum(axis=1) / max(len(words), 1)  # cosine distance to the full text
-        w = np.sqrt(np.exp(-(d * 100) ** 2 / width ** 2))
-        Zc = np.hstack([Z, np.ones((len(Z), 1))])
-        A = (Zc * w[:, None] ** 2).T @ Zc + alpha * np.eye(Zc.shape[1])
-        coef = np.linalg.solve(A, (Zc * w[:, None] ** 2).T @ y)[:-1]
-        agg = {}
-        for word, c in zip(words, coef):
-            agg[word] = agg.get(word, 0.0) + c
-        top = sorted(agg.items(), key=lambda kv: (-abs(kv[1]), kv[0]))[:num_features]
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "rank": range(1, len(top) + 1),
-                             "word": [t[0] for t in top], "weight": [float(t[1]) for t in top]})
-    return fit
-
-
-def local_explanations(model, docs: DataFrame, text_col: str, n_samples: int = 500, num_features: int = 10,
-                       key: str = "doc_id") -> DataFrame:
-    """Top words by |weight| per document for the class the model predicts on the full text."""
-    pert = perturb(docs, text_col, n_samples, key)
-    scored = model.transform(pert)
-    full = scored.where(F.col("sample") == 0).select(key, F.col("prediction").cast("int").alias("_c"))
-    prob = F.element_at(F.col("_pv"), F.col("_c") + 1)
-    from pyspark.ml.functions import vector_to_array
-    s = (scored.withColumn("_pv", vector_to_array("probability")).join(full, key)
-         .select(key, "_w", "mask", prob.alias("p")))
-    return s.groupBy(key).applyInPandas(_ridge_fit(num_features),
-                                         f"{key} long, rank int, word string, weight double")
+    """(key, sample, text): ``n_samples`` copies of every document, each without a random set of its distinct words.
+
+    A removed word goes from all its places; sample 0 is the whole text.  Null texts count as empty.  A document's samples are
+    made in several tasks, a row at a time.
+    """
+    from reviewlens.session import ship_package
+    ship_package(docs.sparkSession)
+    step = SAMPLES_A_TASK
+    d = docs.select(key, F.coalesce(text_col, F.lit("")).alias("_t"), F.explode(
+        F.sequence(F.lit(0), F.lit(n_samples - 1), F.lit(step))).alias("_from")).repartition(key, "_from")
+
+    def run(batches):
+        for batch in batches:
+            for name, text, first in zip(*[c.to_pylist() for c in batch.columns]):
+                words, at = _words(text)
+                places = np.array(text.split(), dtype=object)
+                for sample in range(first, min(first + step, n_samples)):
+                    kept = places[keep_mask(len(words), sample, name, seed)[at]] if len(at) else places
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name], batch.schema.field(0).type), pa.array([sample], pa.int32()),
+                         pa.array([" ".join(kept)], pa.string())], [key, "sample", text_col])
+
+    kind = d.schema[key].dataType.simpleString()
+    return d.mapInArrow(run, f"{key} {kind}, sample int, {text_col} string")
+
+
+def ridge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, alpha: float) -> np.ndarray:
+    """Coefficients of a weighted ridge whose intercept is free: in the smaller of both dimensions."""
+    total = weight.sum()
+    root = np.sqrt(weight).astype(x.dtype)
+    a = x - (weight @ x / total).astype(x.dtype)
+    a *= root[:, None]
+    b = (y - weight @ y / total) * root
+    if a.shape[1] <= a.shape[0]:
+        return np.linalg.lstsq(a.T @ a + alpha * np.eye(a.shape[1]), a.T @ b, rcond=None)[0]
+    return a.T @ np.linalg.lstsq((a @ a.T).astype(float) + alpha * np.eye(a.shape[0]), b, rcond=None)[0]
+
+
+def forward_choice(x: np.ndarray, y: np.ndarray, weight: np.ndarray, k: int) -> list[int]:
+    """``k`` columns, each the one that leaves the least weighted error beside those before it."""
+    total = weight.sum()
+    root = np.sqrt(weight).astype(x.dtype)
+    a = x - (weight @ x / total).astype(x.dtype)
+    a *= root[:, None]
+    rest = ((y - weight @ y / total) * root).astype(x.dtype)
+    size = np.einsum("ij,ij->j", a, a)
+    open_ = size > 1e-6 * max(float(size.max(initial=0)), 1e-12)
+    chosen: list[int] = []
+    basis: list[np.ndarray] = []
+    for _ in range(min(k, int(open_.sum()))):
+        gain = np.where(open_, (rest @ a) ** 2 / np.maximum(size, 1e-12), -1.0)
+        j = int(gain.argmax())
+        if gain[j] < 0:
+            break
+        q = a[:, j].astype(float)
+        for p in basis:
+            q -= (p @ q) * p
+        q /= max(np.linalg.norm(q), 1e-12)
+        chosen.append(j)
+        basis.append(q)
+        rest = rest - ((q @ rest) * q).astype(x.dtype)
+        size = size - (q.astype(x.dtype) @ a) ** 2
+        open_ &= size > 1e-5
+        open_[j] = False
+    return chosen
+
+
+def explain_one(text: str, key, samples: np.ndarray, p: np.ndarray, k: int, alpha: float = 1.0,
+                seed: int = R.DEFAULT_SEED) -> list[tuple[str, float]]:
+    """(word, weight) of the ``k`` words that explain a document's scores ``p`` of its ``samples``, greatest weight first.
+
+    Sample weights fall with the cosine distance to the whole text over its distinct words.  The masks are drawn
+    again from the seed, one bit of information a word and sample, four bytes while they are fitted.
+    """
+    words, _ = _words(text)
+    if not words:
+        return []
+    x = np.empty((len(samples), len(words)), np.float32)
+    for row, sample in enumerate(samples):
+        x[row] = keep_mask(len(words), int(sample), key, seed)
+    distance = 1.0 - np.sqrt(x.sum(axis=1, dtype=float) / len(words))
+    weight = np.sqrt(np.exp(-((distance * 100) ** 2) / KERNEL_WIDTH ** 2))
+    if k <= FORWARD:
+        chosen = forward_choice(x, p, weight, k)
+    else:
+        first = ridge(x, p, weight, 0.01)
+        chosen = np.lexsort((np.arange(len(words)), -np.abs(first)))[:k].tolist()
+    if not chosen:
+        return []
+    coef = ridge(x[:, chosen].astype(float), p, weight, alpha)
+    return sorted(((words[j], float(c)) for j, c in zip(chosen, coef)), key=lambda wc: (-abs(wc[1]), wc[0]))
+
+
+def local_explanations(score, docs: DataFrame, text_col: str, n_samples: int = 500, num_features: int = 10,
+                       key: str = "doc_id", alpha: float = 1.0, seed: int = R.DEFAULT_SEED) -> DataFrame:
+    """(key, predicted, rank, word, weight): the words that carry each document's predicted class.
+
+    ``score`` takes (key, sample, text) rows and adds ``probability``, an array by class; any model will do.  The class is the
+    one with the greatest probability on the whole text.  A document's group holds one number a sample and its text once.
+    ``key`` is unique.  Documents without words have no rows.
+    """
+    scored = score(perturb(docs, text_col, n_samples, key, seed)).select(key, "sample", "probability")
+    kind = docs.schema[key].dataType.simpleString()
+
+    def fit(scores: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        columns = [key, "predicted", "rank", "word", "weight"]
+        if not len(texts) or not len(scores):
+            return pd.DataFrame(columns=columns)
+        scores = scores.sort_values("sample")
+        p = np.array(scores["probability"].tolist(), float)
+        c = int(p[0].argmax())
+        name = texts[key].iloc[0]
+        found = explain_one(texts["_t"].iloc[0], name, scores["sample"].to_numpy(), p[:, c], num_features, alpha, seed)
+        return pd.DataFrame([(name, c, i + 1, w, v) for i, (w, v) in enumerate(found)], columns=columns)
+
+    texts = docs.select(key, F.coalesce(text_col, F.lit("")).alias("_t"))
+    return scored.groupBy(key).cogroup(texts.groupBy(key)).applyInPandas(
+        fit, f"{key} {kind}, predicted int, rank int, word string, weight double")
 
 
 def explain_sample(spark: SparkSession, docs: DataFrame, n: int, key: str = "doc_id") -> DataFrame:

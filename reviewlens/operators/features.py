@@ -127,13 +127,13 @@ def tfidf(docs: DataFrame, text_col: str, fit: Column | None = None, max_feature
     return w.select(key, "term", "index", (F.col("w") / norm).alias("weight")), vocab
 
 
-def slot_of(term) -> Column:
+def slot_of(term, slots: int | None = None) -> Column:
     """Hashed slot of a term."""
-    return F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
+    return F.pmod(F.xxhash64(term), F.lit(slots or SLOTS)).cast("int")
 
 
 def vectorize_hashed(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Column | None = None, idf: bool = True,
-                     out_col: str = "features") -> DataFrame:
+                     out_col: str = "features", slots: int | None = None) -> DataFrame:
     """MLlib SparseVector per document over all its terms, in ``SLOTS`` hashed slots, built in the JVM.
 
     No term is left out and no vocabulary is taken to the driver; terms that share a slot (one in ``SLOTS`` for any two) are
@@ -143,11 +143,12 @@ def vectorize_hashed(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Co
     from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors
 
+    slots = slots or SLOTS
     key = next(c for c in docs.columns if c != text_col)
     grams = doc_grams(docs, text_col, ngram_range, key, carry=[c for c in docs.columns if c not in (key, text_col)])
-    d = with_computed(grams, _s=F.transform("_g", lambda g: slot_of(g).cast("string"))).drop("_g")
+    d = with_computed(grams, _s=F.transform("_g", lambda g: slot_of(g, slots).cast("string"))).drop("_g")
     d = d.join(docs.select(key, text_col), key)
-    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(SLOTS)], inputCol="_s",
+    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(slots)], inputCol="_s",
                                               outputCol="_tf" if idf else out_col)
     out = cv.transform(d).drop("_s")
     if not idf:
@@ -157,7 +158,7 @@ def vectorize_hashed(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Co
     df = dict(train.select(F.explode(F.array_distinct("_s")).alias("s")).groupBy("s").count().collect())
     import math
 
-    weights = [math.log((n + 1) / (df.get(str(i), 0) + 1)) + 1 for i in range(SLOTS)]
+    weights = [math.log((n + 1) / (df.get(str(i), 0) + 1)) + 1 for i in range(slots)]
     out = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_tf", outputCol="_w").transform(out)
     return Normalizer(p=2.0, inputCol="_w", outputCol=out_col).transform(out).drop("_tf", "_w")
 

@@ -7,16 +7,15 @@ scalar metrics and bounded model summaries reach the driver.
 
 from __future__ import annotations
 
-import itertools
 import random
-import re
 import time
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        NaiveBayes, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -33,49 +32,94 @@ def build_pipeline(estimator, vectorizer_stages: list | None = None) -> Pipeline
     return Pipeline(stages=list(vectorizer_stages or []) + [estimator])
 
 
-# M-02..M-09, R-07 --------------------------------------------------------------------
-def classifier(name: str, n_train: int, n_features: int | None = None, **over):
-    """Estimator by name, with the reference's defaults mapped to MLlib."""
-    n = name.lower().replace(" ", "")
-    if "logistic" in n or n == "lr":
-        c = over.pop("C", 1.0)
-        # tol 1e-4 as scikit-learn's lbfgs default (MLlib's default is 1e-6)
-        return LogisticRegression(family="multinomial", maxIter=over.pop("maxIter", 1000), regParam=1.0 / (c * n_train),
-                                  elasticNetParam=0.0, standardization=False, tol=over.pop("tol", 1e-4), **over)
-    if "complement" in n or n == "nb":
-        return NaiveBayes(modelType="complement", smoothing=over.pop("smoothing", 1.0), **over)
-    if "forest" in n or n == "rf":
-        return RandomForestClassifier(numTrees=over.pop("numTrees", 100), seed=SEED, **over)
-    if "gbt" in n or "boost" in n:
-        # GBTClassifier is binary only: one-vs-rest over it (rawPrediction, no probability)
-        return OneVsRest(classifier=GBTClassifier(maxIter=over.pop("maxIter", 100), seed=SEED, **over), parallelism=3)
-    if "mlp" in n or "perceptron" in n:
-        return MultilayerPerceptronClassifier(layers=[n_features, 256, over.pop("n_classes", 3)], seed=SEED,
-                                              maxIter=over.pop("maxIter", 100), **over)
-    if "svm" in n or "svc" in n:
-        return OneVsRest(classifier=LinearSVC(maxIter=over.pop("maxIter", 100), **over), parallelism=3)
-    raise ValueError(f"Unknown classifier: {name}")
-
-
-def regressor(name: str, n_train: int, **over):
-    n = name.lower().replace(" ", "")
-    if "ridge" in n:
-        alpha = over.pop("alpha", 1.0)
-        return LinearRegression(regParam=alpha / n_train, elasticNetParam=0.0, standardization=False, **over)
-    if "linear" in n:
-        return LinearRegression(regParam=0.0, **over)
-    if "forest" in n or n == "rf":
-        return RandomForestRegressor(numTrees=over.pop("numTrees", 100), seed=SEED, **over)
-    if "gbt" in n or "boost" in n:
-        return GBTRegressor(maxIter=over.pop("maxIter", 100), seed=SEED, **over)
-    raise ValueError(f"Unknown regressor: {name}")
-
-
-def select_features(k: int = 1024) -> UnivariateFeatureSelector:
-    """Reduce a wide sparse input before the perceptron (ANOVA F, top k)."""
-    return (UnivariateFeatureSelector(featuresCol="features", outputCol="selected", labelCol="label",
-                                      selectionMode="numTopFeatures")
-            .setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k))
+# M-02..M-09, M-15, R-07, S-10 ----------------------------------------------------------
+@dataclass(frozen=True)
+class Learner:
+    """One entry of the registry: how to build the estimator, its short name in paths, its tuning grid.
+
+    ``make(size, over)`` builds it; ``size`` has the training rows (penalties per row are MLlib's form of C and alpha), the
+    width of the input and the classes.  ``grid(estimator, size)`` gives parameter -> candidate values.
+    """
+
+    title: str
+    slug: str
+    make: Callable
+    grid: Callable = lambda est, size: {}
+
+
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    features: int | None = None
+    classes: int = 3
+
+
+def _forest_grid(est, size):
+    return {est.numTrees: FOREST_TREES, est.maxDepth: FOREST_DEPTH, est.minInstancesPerNode: FOREST_LEAF}
+
+
+def _boost_grid(est, size):
+    inner = est.getClassifier() if isinstance(est, OneVsRest) else est
+    return {inner.maxIter: BOOST_ROUNDS, inner.maxDepth: BOOST_DEPTH, inner.stepSize: BOOST_RATE}
+
+
+# Candidate values of the tuning grids.
+LOGISTIC_C, LOGISTIC_ITERATIONS = [0.1, 1.0, 10.0], [500, 1000]
+NB_SMOOTHING = [0.1, 0.5, 1.0]
+RIDGE_ALPHA = [0.1, 1.0, 10.0]
+FOREST_TREES, FOREST_DEPTH, FOREST_LEAF = [50, 100], [10, 20], [2, 5]
+BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = [50, 100], [5, 10], [0.05, 0.1]
+#: Penalties that a random search draws from.
+RIDGE_RANGE = [10.0 ** (e / 2) for e in range(-6, 9)]
+
+LEARNERS = {
+    "classification": {
+        # tol as scikit-learn's lbfgs has it (MLlib's default is 1e-6)
+        "logistic": Learner("Logistic Regression", "lr", lambda size, over: LogisticRegression(**{
+            "family": "multinomial", "maxIter": 1000, "regParam": 1.0 / size.rows, "elasticNetParam": 0.0,
+            "standardization": False, "tol": 1e-4, **over}),
+            lambda est, size: {est.regParam: [1.0 / (c * size.rows) for c in LOGISTIC_C], est.maxIter: LOGISTIC_ITERATIONS}),
+        "complement_nb": Learner("Complement NB", "complement_nb", lambda size, over: NaiveBayes(**{
+            "modelType": "complement", "smoothing": 1.0, **over}), lambda est, size: {est.smoothing: NB_SMOOTHING}),
+        "random_forest": Learner("Random Forest", "rf", lambda size, over: RandomForestClassifier(**{
+            "numTrees": 100, "seed": SEED, **over}), _forest_grid),
+        # GBTClassifier is binary only: one against the rest (raw predictions, no probability)
+        "gbt": Learner("GBT", "gbt", lambda size, over: OneVsRest(
+            classifier=GBTClassifier(**{"maxIter": 100, "seed": SEED, **over}), parallelism=3), _boost_grid),
+        "mlp": Learner("MLP", "mlp", lambda size, over: MultilayerPerceptronClassifier(**{
+            "layers": [size.features, 256, size.classes], "seed": SEED, "maxIter": 100, **over})),
+        "linear_svm": Learner("Linear SVM", "svm", lambda size, over: OneVsRest(
+            classifier=LinearSVC(**{"maxIter": 100, **over}), parallelism=3)),
+    },
+    "regression": {
+        "linear": Learner("Linear Regression", "linear", lambda size, over: LinearRegression(**{"regParam": 0.0, **over})),
+        "ridge": Learner("Ridge", "ridge", lambda size, over: LinearRegression(**{
+            "regParam": 1.0 / size.rows, "elasticNetParam": 0.0, "standardization": False, **over}),
+            lambda est, size: {est.regParam: [alpha / size.rows for alpha in RIDGE_ALPHA]}),
+        "random_forest": Learner("Random Forest", "rf", lambda size, over: RandomForestRegressor(**{
+            "numTrees": 100, "seed": SEED, **over}), _forest_grid),
+        "gbt": Learner("GBT", "gbt", lambda size, over: GBTRegressor(**{"maxIter": 100, "seed": SEED, **over}), _boost_grid),
+    },
+}
+
+
+def learner(name: str, task: str = "classification") -> Learner:
+    """Registry entry by its exact name or title."""
+    found = LEARNERS[task]
+    by_title = {one.title: one for one in found.values()}
+    if name not in found and name not in by_title:
+        raise ValueError(f"no {task} learner {name!r}; there are {sorted(found)}")
+    return found.get(name) or by_title[name]
+
+
+def build(name: str, task: str, n_train: int, n_features: int | None = None, **over):
+    """Estimator by name; ``over`` replaces parameters by their MLlib names."""
+    return learner(name, task).make(Size(n_train, n_features), over)
+
+
+def param_grid(name: str, est, task: str = "classification", n_train: int = 1) -> dict:
+    """M-15: parameter -> candidate values of an estimator that ``build`` made."""
+    return learner(name, task).grid(est, Size(n_train))
 
 
 # M-14 --------------------------------------------------------------------------------
@@ -134,29 +178,7 @@ class RmseEvaluator(Evaluator):
         return False
 
 
-# M-15 ----------------------------------------------------------------------------------
-def param_grid(name: str, est, task: str = "classification", n_train: int = 1) -> dict:
-    """Per-model grid values (the reference's options in MLlib terms: C and alpha become regParam)."""
-    n = name.lower()
-    if task == "regression":
-        if "ridge" in n:
-            return {est.regParam: [a / n_train for a in (0.1, 1.0, 10.0)]}  # alpha
-        if "linear" in n:
-            return {}
-        if "forest" in n:
-            return {est.numTrees: [50, 100], est.maxDepth: [10, 20], est.minInstancesPerNode: [2, 5]}
-        if "gbt" in n:
-            return {est.maxIter: [50, 100], est.maxDepth: [5, 10], est.stepSize: [0.05, 0.1]}
-        return {}
-    if "logistic" in n or n == "lr":
-        return {est.regParam: [1.0 / (c * n_train) for c in (0.1, 1.0, 10.0)], est.maxIter: [500, 1000]}  # C
-    if "complement" in n or n == "nb":
-        return {est.smoothing: [0.1, 0.5, 1.0]}
-    if "forest" in n:
-        return {est.numTrees: [50, 100], est.maxDepth: [10, 20], est.minInstancesPerNode: [2, 5]}
-    return {}
-
-
+# M-16 / M-17 ---------------------------------------------------------------------------
 def expand_grid(grid: dict) -> list[dict]:
     b = ParamGridBuilder()
     for p, vals in grid.items():
@@ -164,11 +186,14 @@ def expand_grid(grid: dict) -> list[dict]:
     return b.build()
 
 
+def drawn(options: list, n: int, seed: int = SEED) -> list:
+    """``n`` of the options without repeats, seeded; all of them if there are no more."""
+    return random.Random(seed).sample(options, min(n, len(options)))
+
+
 def random_candidates(grid: dict, n_iter: int = 10, seed: int = SEED) -> list[dict]:
     """M-17: seeded sample of the expanded grid, min(n_iter, 1 + sum of option counts), never more than the grid."""
-    full = expand_grid(grid)
-    k = min(n_iter, 1 + sum(len(v) for v in grid.values()), len(full))
-    return random.Random(seed).sample(full, k) if full else full
+    return drawn(expand_grid(grid), min(n_iter, 1 + sum(len(v) for v in grid.values())), seed)
 
 
 def cross_validate(pipeline_est, maps: list[dict], train: DataFrame, evaluator: Evaluator, fold_col: str = "fold",
@@ -189,22 +214,17 @@ def cv_results(spark: SparkSession, cvm, maps: list[dict]) -> DataFrame:
 
 
 # S-10 / S-11 ------------------------------------------------------------------------------
-SLUGS = [("logistic", "lr"), ("complement", "complement_nb"), ("forest", "rf"), ("random", "rf"), ("gbt", "gbt"),
-         ("ridge", "ridge"), ("svm", "svm"), ("linear", "linear"), ("mlp", "mlp")]
-
-
 def model_path(base: str, task: str, model_name: str, representation: str) -> str:
-    """``{base}/{task}/{slug}_{representation}``."""
-    n = model_name.lower().replace(" ", "_")
-    slug = next((s for k, s in SLUGS if k in n), n)
-    return f"{base.rstrip('/')}/{task}/{slug}_{representation.lower().replace(' ', '_')}"
+    """``{base}/{task}/{slug}_{representation}``, the slug from the registry."""
+    return f"{base.rstrip('/')}/{task}/{learner(model_name, task).slug}_{representation.lower().replace(' ', '_')}"
 
 
 def representation_of(path: str) -> str:
-    """Inverse of ``model_path`` for the representation part (default tfidf)."""
-    stem = path.rstrip("/").split("/")[-1]
-    m = re.match(r"^(?:complement_nb|[^_]+)_(.+)$", stem)
-    return m.group(1) if m else "tfidf"
+    """Inverse of ``model_path`` for the representation (tfidf where the name has none)."""
+    task, _, stem = path.rstrip("/").rpartition("/")
+    slugs = {one.slug for one in LEARNERS.get(task.rpartition("/")[2], {}).values()}
+    rests = [stem[len(slug) + 1:] for slug in slugs if stem.startswith(slug + "_")]
+    return min(rests, key=len, default="tfidf")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -213,7 +233,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def candidates_product(*lists):
-    return list(itertools.product(*lists))

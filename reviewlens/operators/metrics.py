@@ -51,12 +51,17 @@ def summary(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def metrics_basic(scored: DataFrame, classes=(0, 1, 2), by: list[str] | None = None, digits: int = 6) -> DataFrame:
-    """E-01: accuracy, macro F1 and ``f1_class_k`` (fixed contract), one aggregate over the per-class rows."""
+    """E-01: accuracy, macro F1 and a column ``f1_class_k`` for each of ``classes`` and every further class of the data.
+
+    Classes are few: their codes, found in the confusion counts, become the columns.  A class that a group lacks is null.
+    """
     by = list(by or [])
     pc = per_class(scored, by)
+    found = {r[0] for r in pc.select("cls").distinct().collect() if r[0] is not None}
     return pc.groupBy(*by).agg(
         F.round(F.sum("tp") / F.sum("support"), digits).alias("accuracy"), F.round(F.avg("f1"), digits).alias("macro_f1"),
-        *[F.round(F.max(F.when(F.col("cls") == c, F.col("f1"))), digits).alias(f"f1_class_{c}") for c in classes])
+        *[F.round(F.max(F.when(F.col("cls") == c, F.col("f1"))), digits).alias(f"f1_class_{c}")
+          for c in [*classes, *sorted(found - set(classes))]])
 
 
 def _report_row(label: str, p: str, r: str, f: str):

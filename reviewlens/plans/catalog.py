@@ -504,6 +504,7 @@ def stage_roundtrip(spark, sf):
 from pyspark.ml.feature import VectorAssembler  # noqa: E402
 
 from reviewlens.functions.columns import with_computed  # noqa: E402
+from reviewlens.operators import closed as CF  # noqa: E402
 from reviewlens.operators import learn as ML  # noqa: E402
 
 
@@ -520,15 +521,15 @@ def learn_split(spark, sf, target: str = "class"):
     return stage(R.split_exact(d, "doc_id"), f"learn-{target}-split")
 
 
-def represent(sp, rep: str = "tfidf"):
+def represent(sp, rep: str = "tfidf", slots: int = FT.SLOTS):
     """X-08: features column for a representation; fit on the train split only."""
     train = sp.where(F.col("split") == "train")
     if rep in ("tfidf", "bow", "tfidf_stats"):
         fit = F.col("split") == "train"
         if rep == "bow":
-            out = FT.vectorize_hashed(sp, "clean_text", (1, 1), idf=False)
+            out = FT.vectorize_hashed(sp, "clean_text", (1, 1), idf=False, slots=slots)
         else:
-            out = FT.vectorize_hashed(sp, "clean_text", (1, 2), fit)
+            out = FT.vectorize_hashed(sp, "clean_text", (1, 2), fit, slots=slots)
         if rep == "tfidf_stats":  # J-01: equi-join on doc_id + assembler, stays sparse
             st = FT.text_stats(sp, "text")
             z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
@@ -542,6 +543,15 @@ def represent(sp, rep: str = "tfidf"):
     raise ValueError(rep)
 
 
+def nb_input(spark, sf):
+    """Labelled documents with their split, and (doc_id, term, value) TF-IDF of all terms fitted on train; both written."""
+    from reviewlens.session import stage
+    sp = learn_split(spark, sf)
+    long, _ = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
+    return sp, stage(long.select("doc_id", "term", F.col("weight").alias("value")), "tfidf-long")
+
+
+MLP_SLOTS = 1024
 _FITTED: dict = {}
 
 
@@ -555,18 +565,12 @@ def _fit_one(spark, sf, name: str, rep: str = "tfidf", task: str = "classificati
 
 def _fit_new(spark, sf, name: str, rep: str = "tfidf", task: str = "classification", **over):
     sp = learn_split(spark, sf, "class" if task == "classification" else "rating")
-    data = represent(sp, rep).select("doc_id", "label", "features", "split").cache()  # reused by fit and score
+    # The perceptron's first layer is dense: all terms in MLP_SLOTS slots instead of SLOTS.
+    slots = MLP_SLOTS if name == "mlp" else FT.SLOTS
+    data = represent(sp, rep, slots).select("doc_id", "label", "features", "split").cache()  # reused by fit and score
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     n_train = train.count()
-    if task == "classification":
-        if "mlp" in name:
-            sel = ML.select_features(1024)
-            est = ML.classifier(name, n_train, n_features=1024, featuresCol="selected", **over)
-            pipe = ML.build_pipeline(est, [sel])
-        else:
-            pipe = ML.build_pipeline(ML.classifier(name, n_train, **over))
-    else:
-        pipe = ML.build_pipeline(ML.regressor(name, n_train, **over))
+    pipe = ML.build_pipeline(ML.build(name, task, n_train, n_features=MLP_SLOTS, **over))
     model, m, secs = ML.train_and_evaluate(pipe, train, test, task)
     from reviewlens.session import stage
     return model, stage(ML.result_row(m, name, rep, secs), "result"), data
@@ -579,7 +583,7 @@ def _learner(name, rep="tfidf", task="classification"):
 
 
 for _qname, _m, _rep, _task in [
-        ("train_lr", "logistic", "tfidf", "classification"), ("train_nb", "complement_nb", "tfidf", "classification"),
+        ("train_lr", "logistic", "tfidf", "classification"),
         ("train_rf", "random_forest", "tfidf", "classification"), ("train_gbt", "gbt", "tfidf", "classification"),
         ("train_mlp", "mlp", "tfidf", "classification"), ("train_svm", "linear_svm", "tfidf", "classification"),
         ("baseline_tfidf_lr", "logistic", "tfidf", "classification"),
@@ -603,28 +607,47 @@ def train_history(spark, sf):
     return ML.training_history(spark, model.stages[-1])
 
 
-def _tune(spark, sf, search: str):
-    sp = learn_split(spark, sf)
-    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split")
-    train = R.kfold(data.where(F.col("split") == "train"), "doc_id", "label", 5).cache()
-    n_train = train.count()
-    est = ML.classifier("complement_nb", n_train)
-    grid = ML.param_grid("complement_nb", est)
-    maps = ML.expand_grid(grid) if search == "grid" else ML.random_candidates(grid, 10)
-    cvm = ML.cross_validate(est, maps, train, ML.MacroF1Evaluator())
-    return ML.cv_results(spark, cvm, maps)
+@query
+def nb_predictions(spark, sf):
+    """M-03: complement naive Bayes on TF-IDF of all terms, fitted on train: predictions of the test split."""
+    sp, long = nb_input(spark, sf)
+    w = CF.fit_complement_nb(long, sp.where(F.col("split") == "train"))
+    p = CF.predict_nb(w, long, sp.where(F.col("split") == "test").select("doc_id", "label"))
+    return p.select("doc_id", F.col("label").cast("int").alias("y_true"), F.col("prediction").alias("y_pred"))
+
+
+@query
+def train_nb(spark, sf):
+    """M-03 / M-14: the same model's result row."""
+    import time
+    t0 = time.perf_counter()
+    m = M.metrics_basic(nb_predictions(spark, sf).select("y_true", "y_pred"))
+    from reviewlens.session import stage
+    m = stage(m, "result")
+    return ML.result_row(m, "complement_nb", "tfidf", time.perf_counter() - t0)
+
+
+def _nb_candidates(spark, sf):
+    sp, long = nb_input(spark, sf)
+    from reviewlens.session import stage
+    folds = stage(R.kfold(sp.where(F.col("split") == "train").select("doc_id", "label"), "doc_id", "label", 5), "folds")
+    return sp, long, CF.candidate_table(CF.cross_validate_nb(long, folds, ML.NB_SMOOTHING), "alpha", "macro_f1")
 
 
 @query
 def tune_grid(spark, sf):
-    """M-15 / M-16 / R-08: grid search with 5 stratified folds, macro-F1 scored."""
-    return _tune(spark, sf, "grid")
+    """M-15 / M-16 / R-08: all smoothings of complement NB over 5 stratified folds, by macro F1."""
+    t = _nb_candidates(spark, sf)[2]
+    return t.select("alpha", F.round("mean_metric", 6).alias("mean_metric"), F.round("std_metric", 6).alias("std_metric"), "rank")
 
 
 @query
 def tune_random(spark, sf):
-    """M-17: seeded random candidates from the grid, same folds and scorer."""
-    return _tune(spark, sf, "random")
+    """M-17: seeded draw of ridge penalties from a wide range, 5 folds, by RMSE."""
+    sp, cols = stats_input(spark, sf)
+    train = R.kfold(sp.where(F.col("split") == "train"), "doc_id", None, 5)
+    t = CF.candidate_table(CF.cross_validate_ridge(train, cols, ML.drawn(ML.RIDGE_RANGE, 5)), "alpha", "rmse", True)
+    return t.select("alpha", F.round("mean_metric", 6).alias("mean_metric"), F.round("std_metric", 6).alias("std_metric"), "rank")
 
 
 @query
@@ -641,37 +664,75 @@ def save_load_score(spark, sf):
 
 @query
 def learning_curve(spark, sf):
-    """R-04: refit on nested seeded fractions of train (exact-rank prefixes), score the same test."""
-    sp = learn_split(spark, sf)
-    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split").cache()
-    train = R.exact_rank(data.where(F.col("split") == "train"), "doc_id", seed=7, rank_col="_r").cache()
-    test = data.where(F.col("split") == "test")
+    """R-04: complement NB refitted on nested seeded shares of train, scored on the same test."""
+    sp, long = nb_input(spark, sf)
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test").select("doc_id", "label")
     n = train.count()
+    shares = (0.25, 0.5, 1.0)
+    cuts = R.cut_points(train, "doc_id", {None: [round(f * n) for f in shares]}, seed=7)
     out = None
-    for frac in (0.25, 0.5, 1.0):
-        part = train.where(F.col("_r") <= F.lit(int(round(frac * n))))
-        est = ML.classifier("complement_nb", n)
-        _, m, secs = ML.train_and_evaluate(ML.build_pipeline(est), part, test)
-        row = m.select(F.lit(frac).alias("fraction"), "accuracy", "macro_f1")
+    for f in shares:
+        part = train.where(R.at_or_before("doc_id", cuts[None, round(f * n)], 7))
+        p = CF.predict_nb(CF.fit_complement_nb(long, part), long, test)
+        row = M.metrics_basic(CF.scored(p)).select(F.lit(f).alias("fraction"), "accuracy", "macro_f1")
         out = row if out is None else out.unionByName(row)
     return out
 
 
 @query
 def tuned_delta(spark, sf):
-    """R-05: default vs tuned (best CV smoothing) complement NB on the same split."""
-    sp = learn_split(spark, sf)
-    data = represent(sp, "tfidf").select("doc_id", "label", "features", "split").cache()
-    train = R.kfold(data.where(F.col("split") == "train"), "doc_id", "label", 5)
-    test = data.where(F.col("split") == "test")
-    est = ML.classifier("complement_nb", 1)
-    maps = ML.expand_grid(ML.param_grid("complement_nb", est))
-    cvm = ML.cross_validate(est, maps, train, ML.MacroF1Evaluator())
-    _, base, _ = ML.train_and_evaluate(ML.build_pipeline(est), train, test)
-    tuned = M.metrics_basic(ML.predictions_to_scored(cvm.bestModel.transform(test)))
-    b, t = base.alias("b"), tuned.alias("t")
-    return b.join(t, how="inner").select(F.col("b.macro_f1").alias("default_f1"), F.col("t.macro_f1").alias("tuned_f1"),
-                                         (F.col("t.macro_f1") - F.col("b.macro_f1")).alias("delta"))
+    """R-05: complement NB with the default and with the best cross-validated smoothing, on the same split."""
+    sp, long, table = _nb_candidates(spark, sf)
+    best = table.where("rank = 1").first()["alpha"]
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test").select("doc_id", "label")
+    f1 = [M.metrics_basic(CF.scored(CF.predict_nb(CF.fit_complement_nb(long, train, a), long, test))).select(
+        F.col("macro_f1").alias(name)) for a, name in ((1.0, "default_f1"), (best, "tuned_f1"))]
+    return f1[0].join(f1[1]).select("default_f1", "tuned_f1", F.round(F.col("tuned_f1") - F.col("default_f1"), 6).alias("delta"))
+
+
+def stats_input(spark, sf):
+    """Rated reviews with their split and text statistics, scaled on train; and the statistics' names."""
+    from reviewlens.session import stage
+    sp = learn_split(spark, sf, "rating")
+    st = stage(FT.text_stats(sp, "text").join(sp.select("doc_id", "label", "split"), "doc_id"), "stats")
+    return FT.standard_scale(st, st.where(F.col("split") == "train"), FT.STAT_COLS), FT.STAT_COLS
+
+
+def _closed_regressions(spark, sf):
+    d, cols = stats_input(spark, sf)
+    g = CF.gram(d.where(F.col("split") == "train"), cols)
+    return d, cols, {"linear": CF.solve(g), "ridge": CF.solve(g, 1.0)}
+
+
+@query
+def linear_coefficients(spark, sf):
+    """M-07 / M-08: coefficients on the text statistics by normal equations, without and with a penalty of 1."""
+    _, cols, fits = _closed_regressions(spark, sf)
+    rows = [(n, *[float(b[i]) for b in fits.values()]) for i, n in enumerate(["intercept", *cols])]
+    return spark.createDataFrame(rows, "feature string, linear double, ridge double").select(
+        "feature", F.round("linear", 6).alias("linear"), F.round("ridge", 6).alias("ridge"))
+
+
+@query
+def stats_regressions(spark, sf):
+    """M-07 / M-08 / E-08: RMSE and MAE of both on the test split."""
+    d, cols, fits = _closed_regressions(spark, sf)
+    out = None
+    for name, beta in fits.items():
+        p = CF.predicted(d.where(F.col("split") == "test"), cols, beta)
+        row = M.regression_metrics(p.select(F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))).select(
+            F.lit(name).alias("model"), F.lit("text_stats").alias("representation"), "rmse", "mae")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def fitted_comparison(spark, sf):
+    """U-03 / E-12: results of fitted classifiers and regressions, with different measures, as one sorted table."""
+    nb = M.metrics_basic(nb_predictions(spark, sf).select("y_true", "y_pred")).select(
+        F.lit("complement_nb").alias("model"), F.lit("tfidf").alias("representation"), "accuracy", "macro_f1")
+    major = baseline_majority(spark, sf).select(F.lit("majority").alias("model"), "accuracy", "macro_f1")
+    return CF.comparison(Classical_ML=nb, Baseline=major, Regression=stats_regressions(spark, sf))
 
 
 @query
@@ -776,7 +837,7 @@ def permutation_importance(spark, sf):
     st = FT.text_stats(sp, "text").join(sp.select("doc_id", "label", "split"), "doc_id").cache()
     asm = VectorAssembler(inputCols=FT.STAT_COLS, outputCol="features")
     train, test = st.where(F.col("split") == "train"), st.where(F.col("split") == "test")
-    model = ML.classifier("random_forest", 1).fit(asm.transform(train))
+    model = ML.build("random_forest", "classification", 1).fit(asm.transform(train))
     return XP.permutation_importance(model, test, FT.STAT_COLS, asm.transform)
 
 
@@ -789,10 +850,34 @@ def local_explain(spark, sf):
     tok = RegexTokenizer(inputCol="clean_text", outputCol="tok", gaps=False, pattern=FT.MIN_TOKEN[1:-1])
     pipe = Pipeline(stages=[tok, HashingTF(inputCol="tok", outputCol="tf", numFeatures=1 << 18),
                             IDF(inputCol="tf", outputCol="features"),
-                            ML.classifier("logistic", 1000, maxIter=100)])
+                            ML.build("logistic", "classification", 1000, maxIter=100)])
     model = pipe.fit(sp.where(F.col("split") == "train"))
     docs = XP.explain_sample(spark, sp.where(F.col("split") == "test").select("doc_id", "clean_text"), 5)
-    return XP.local_explanations(model, docs, "clean_text", 500, 10)
+    from pyspark.ml.functions import vector_to_array
+    return XP.local_explanations(lambda d: model.transform(d).withColumn("probability", vector_to_array("probability")),
+                                 docs, "clean_text", 500, 10)
+
+
+@query
+def local_explain_nb(spark, sf):
+    """E-16 of complement naive Bayes, for five documents: perturbed texts are scored by joins, the words chosen one by one."""
+    sp, long = nb_input(spark, sf)
+    from reviewlens.session import stage
+    train = sp.where(F.col("split") == "train")
+    weights = stage(CF.fit_complement_nb(long, train), "nb-weights")
+    docs = XP.explain_sample(spark, sp.where(F.col("split") == "test").select("doc_id", "clean_text"), 5)
+    classes = sorted(c for c in weights.columns if c != "term")
+
+    def score(d):
+        terms = FT.doc_terms(d.withColumn("_k", F.struct("doc_id", "sample")), "clean_text", (1, 2), "_k")
+        s = terms.join(weights, "term").groupBy("_k").agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in classes])
+        out = d.select("doc_id", "sample").join(s.select("_k.*", *classes), ["doc_id", "sample"], "left").fillna(0.0, classes)
+        top = F.greatest(*classes)
+        each = F.array(*[F.exp(F.col(c) - top) for c in classes])
+        total = F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
+        return out.withColumn("probability", F.transform(each, lambda x: x / total))
+
+    return XP.local_explanations(score, docs, "clean_text", 500, 5)
 
 
 # ------------------------------------------------------------------ embeddings (X-03..X-05, X-07, S-09)

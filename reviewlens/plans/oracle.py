@@ -474,3 +474,134 @@ union all select 'vocab', 'vocab_size', cast(count(distinct tok) as double)
   from (select unnest({S.ws_tokens('lower(clean_text)')}) as tok from w)
 union all select 'cloud_docs', sentiment, cast(count(*) as double) from w
   where sentiment is not null group by sentiment"""
+
+# ---------------------------------------------------------------------------- learners with a closed form
+# The learn split: labelled documents, cleaned; TF-IDF of 1- and 2-grams fitted on train.
+_LEARN_SPLIT = _SPLIT.format(rank=rank_sql('doc_id'), src="wk")
+_NB = f"""wk as materialized (select doc_id, y, {S.clean_text('text')} as clean_text from {V2}),
+sp as materialized {_LEARN_SPLIT},
+t as materialized (select doc_id, split, {_VT} as toks from sp),
+g as (select doc_id, unnest({S.ngrams('toks', 1)}) as term from t union all
+      select doc_id, unnest({S.ngrams('toks', 2)}) as term from t),
+tf as materialized (select doc_id, term, count(*) as tf from g group by all),
+voc as materialized (select term, count(*) as df from tf join sp using (doc_id) where split = 'train' group by term),
+n as (select count(*) as n from sp where split = 'train'),
+w as (select doc_id, tf.term, tf * (ln((n.n + 1) / (df + 1)) + 1) as w from tf join voc on tf.term = voc.term, n),
+x as materialized (select doc_id, term, w / sqrt(sum(w * w) over (partition by doc_id)) as v from w),
+nt as (select count(*) as n_terms from voc)"""
+
+
+def _nb_fit(name: str, fit: str, alpha: str = "1.0") -> str:
+    """CTEs: ``<name>`` with doc_id, y_true, y_pred of the test split, fitted on the rows of sp where ``fit`` holds."""
+    return f"""{name}_c as (select distinct y from sp where {fit}),
+{name}_f as materialized (select term, y, sum(v) as f from x join sp using (doc_id) where {fit} group by all),
+{name}_s as materialized (select term, sum(f) as s from {name}_f group by term),
+{name}_d as (select c.y, ln({alpha} * n_terms + (select sum(s) from {name}_s)
+    - coalesce((select sum(f) from {name}_f where y = c.y), 0)) as d from {name}_c c, nt),
+{name}_x as (select doc_id, term, v from x join sp using (doc_id) where split = 'test'),
+{name}_p as (select doc_id, d.y as c, sum(v * (d.d - ln({alpha} + coalesce(s.s, 0) - coalesce(f.f, 0)))) as score
+  from {name}_x cross join {name}_d d left join {name}_s s using (term) left join {name}_f f on f.term = {name}_x.term and f.y = d.y
+  group by all),
+{name}_b as (select doc_id, c from {name}_p qualify row_number() over (partition by doc_id order by score desc, c) = 1),
+{name} as materialized (select sp.doc_id, sp.y as y_true, cast(coalesce(c, (select min(y) from {name}_c)) as integer) as y_pred
+  from sp left join {name}_b using (doc_id) where split = 'test')"""
+
+
+def _f1_of(src: str, by: str = "") -> str:
+    """Accuracy and macro F1 over the union of true and predicted classes, by group."""
+    k = f"{by}, " if by else ""
+    g = f" group by {by}" if by else ""
+    return f"""(select {k}sum(tp) / sum(sup) as accuracy, avg(case when sup + prd > 0 then 2.0 * tp / (sup + prd) else 0.0 end) as macro_f1
+  from (select {k}cls, sum(tp) as tp, sum(sup) as sup, sum(prd) as prd from (
+    select {k}y_true as cls, case when y_true = y_pred then 1 else 0 end as tp, 1 as sup, 0 as prd from {src}
+    union all select {k}y_pred, 0, 0, 1 from {src}) group by {k}cls){g})"""
+
+
+SQL["nb_predictions"] = f"""with {_NB}, {_nb_fit('p', "split = 'train'")} select * from p"""
+
+_CURVE = f"""lr as (select *, row_number() over (order by md5('7:' || doc_id), doc_id) as lrk from sp where split = 'train')"""
+SQL["learning_curve"] = f"""with {_NB}, {_CURVE}, {', '.join(_nb_fit(f'p{i}', f"doc_id in (select doc_id from lr where lrk <= round_even({f} * (select count(*) from lr), 0))") for i, f in enumerate((0.25, 0.5, 1.0)))}
+{' union all '.join(f"select {f}::DOUBLE as fraction, round(accuracy, 6) as accuracy, round(macro_f1, 6) as macro_f1 from {_f1_of(f'p{i}')}" for i, f in enumerate((0.25, 0.5, 1.0)))}"""
+
+# Folds by rank within the label; what lies outside a fold is the total less its own.
+_CV = f"""kf as materialized (select doc_id, y, cast((row_number() over (partition by y order by md5('42:' || doc_id), doc_id) - 1) % 5 as integer)
+  as fold from sp where split = 'train'),
+ff as materialized (select term, y, fold, sum(v) as f from x join kf using (doc_id) group by all),
+ft as materialized (select term, y, sum(f) as f from ff group by all),
+al as (select unnest([0.1, 0.5, 1.0])::DOUBLE as alpha),
+cy as (select distinct y as c from kf),
+fo as (select distinct fold from kf),
+oc as materialized (select fold, c, (select sum(f) from ff where ff.fold <> fo.fold and ff.y = cy.c) as f from fo, cy),
+dd as (select fold, c, alpha, ln(alpha * n_terms + (select sum(f) from oc o where o.fold = oc.fold and o.c <> oc.c)) as d from oc, al, nt),
+xo as materialized (select k.doc_id, k.fold, x.term, x.v, cy.c, coalesce((select 0.0), 0.0) + coalesce(ft.f, 0) - coalesce(ff.f, 0) as o
+  from x join kf k using (doc_id) cross join cy left join ft on ft.term = x.term and ft.y = cy.c
+  left join ff on ff.term = x.term and ff.y = cy.c and ff.fold = k.fold),
+xs as materialized (select *, sum(o) over (partition by doc_id, term) - o as rest from xo),
+sc as (select doc_id, fold, alpha, c, sum(v * (d - ln(alpha + greatest(rest, 0.0)))) as score from xs join dd using (fold, c) group by all),
+cp as materialized (select sc.alpha, sc.fold, kf.y as y_true, sc.c as y_pred from sc join kf using (doc_id)
+  qualify row_number() over (partition by doc_id, alpha order by score desc, c) = 1),
+cv as materialized (select alpha, avg(macro_f1) as m, stddev_pop(macro_f1) as sd from {_f1_of('cp', 'alpha, fold')} group by alpha)"""
+SQL["tune_grid"] = f"""with {_NB}, {_CV}
+select alpha, round(m, 6) as mean_metric, round(sd, 6) as std_metric, cast(row_number() over (order by m desc, alpha) as integer) as rank from cv"""
+
+SQL["tuned_delta"] = f"""with {_NB}, {_CV}, {_nb_fit('p', "split = 'train'")},
+{_nb_fit('q', "split = 'train'", "(select alpha from cv order by m desc, alpha limit 1)")}
+select round(a.macro_f1, 6) as default_f1, round(b.macro_f1, 6) as tuned_f1, round(round(b.macro_f1, 6) - round(a.macro_f1, 6), 6) as delta
+from {_f1_of('p')} a, {_f1_of('q')} b"""
+
+# Text statistics of the rated reviews, scaled on train; normal equations solved by Gauss-Jordan steps over a nested list.
+_RATED = f"(select doc_id, rating, review_text from {V1} where rating is not null and review_text is not null)"
+_ZS = f"""wk as materialized {_RATED},
+sp as materialized {_SPLIT.format(rank=rank_sql('doc_id'), src='wk')},
+st as materialized (select doc_id, split, rating, {_STAT_EXPR} from (select *, length(review_text) as chars, {S.ws_tokens('review_text')} as wt,
+  {S.punct_count('review_text')} as punct, {S.upper_count('review_text')} as upper_n from sp)),
+mo as (select {', '.join(f'avg({c}) as m_{c}, stddev_pop({c}) as s_{c}' for c in _ZCOLS)} from st where split = 'train'),
+z as materialized (select doc_id, split, rating, [1.0, {', '.join(f'({c} - m_{c}) / case when s_{c} = 0 then 1.0 else s_{c} end' for c in _ZCOLS)}, rating] as r
+  from st, mo),
+gm as materialized (select list(m order by i) as m from (select i, list(s order by j) as m from (
+  select i, j, sum(r[i] * r[j]) as s from z, range(1, 8) a(i), range(1, 8) b(j) where split = 'train' group by i, j) group by i))"""
+
+
+def _solved(name: str, src: str, alpha: str) -> str:
+    """CTE ``<name>``: the 6 coefficients from the 7 x 7 products ``src.m``."""
+    a = f"case when i = j and i > 1 then {alpha} else 0.0 end"
+    step = "m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]"
+    return f"""{name}_j as (select 0 as k, list_transform(range(1, 8), lambda i: list_transform(range(1, 8), lambda j: m[i][j] + {a})) as m from {src}
+  union all select k + 1, list_transform(range(1, 8), lambda i: list_transform(range(1, 8),
+    lambda j: case when i = k + 1 then m[i][j] / m[i][i] else {step} end)) from {name}_j where k < 6),
+{name} as materialized (select list_transform(range(1, 7), lambda i: m[i][7]) as b from {name}_j where k = 6)"""
+
+
+SQL["linear_coefficients"] = f"""with recursive {_ZS}, {_solved('l', 'gm', '0.0')}, {_solved('d', 'gm', '1.0')}
+select unnest(['intercept', {', '.join(S.lit(c) for c in _ZCOLS)}]) as feature,
+  unnest(list_transform(l.b, lambda v: round(v, 6))) as linear, unnest(list_transform(d.b, lambda v: round(v, 6))) as ridge from l, d"""
+
+_ERRORS = """select {name} as model, round(sqrt(avg(e * e)), 6) as rmse, round(avg(abs(e)), 6) as mae
+  from (select rating - list_dot_product(r[1:6], b) as e from z, {src} where split = 'test')"""
+_REGS = " union all ".join(_ERRORS.format(name=S.lit(n), src=s) for n, s in (("linear", "l"), ("ridge", "d")))
+SQL["stats_regressions"] = f"""with recursive {_ZS}, {_solved('l', 'gm', '0.0')}, {_solved('d', 'gm', '1.0')}
+select model, 'text_stats' as representation, rmse, mae from ({_REGS})"""
+
+SQL["fitted_comparison"] = f"""with a as ({SQL["nb_predictions"]}), b as ({SQL["baseline_majority"]}), c as ({SQL["stats_regressions"]})
+select 'Classical ML' as model_type, 'complement_nb' as model, 'tfidf' as representation, round(accuracy, 6) as accuracy,
+  round(macro_f1, 6) as macro_f1, NULL::DOUBLE as rmse, NULL::DOUBLE as mae from {_f1_of('a')}
+union all select 'Baseline', 'majority', 'Unknown', accuracy, macro_f1, NULL, NULL from b
+union all select 'Regression', model, representation, NULL, NULL, rmse, mae from c"""
+
+from reviewlens.operators import learn as _ML  # noqa: E402
+
+_DRAWN = _ML.drawn(_ML.RIDGE_RANGE, 5)  # the seeded draw is part of the query's definition
+_FOLD_GRAM = f"""kz as materialized (select r, cast((row_number() over (order by md5('42:' || doc_id), doc_id) - 1) % 5 as integer) as fold
+  from z where split = 'train'),
+fs as materialized (select f.fold, a.alpha, i, j, sum(r[i] * r[j]) + max(case when i = j and i > 1 and i < 7 then a.alpha else 0.0 end) as s
+  from kz, (select distinct fold from kz) f, (select unnest([{', '.join(map(repr, _DRAWN))}])::DOUBLE as alpha) a,
+    range(1, 8) x(i), range(1, 8) y(j) where kz.fold <> f.fold group by all),
+fg as materialized (select fold, alpha, list(m order by i) as m from (select fold, alpha, i, list(s order by j) as m from fs group by all) group by all),
+jj as (select fold, alpha, 0 as k, m from fg
+  union all select fold, alpha, k + 1, list_transform(range(1, 8), lambda i: list_transform(range(1, 8),
+    lambda j: case when i = k + 1 then m[i][j] / m[i][i] else m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] end)) from jj where k < 6),
+bb as (select fold, alpha, list_transform(range(1, 7), lambda i: m[i][7]) as b from jj where k = 6),
+er as (select alpha, fold, sqrt(avg(pow(r[7] - list_dot_product(r[1:6], b), 2))) as e from kz join bb using (fold) group by all)"""
+SQL["tune_random"] = f"""with recursive {_ZS}, {_FOLD_GRAM}
+select alpha, round(avg(e), 6) as mean_metric, round(stddev_pop(e), 6) as std_metric,
+  cast(row_number() over (order by avg(e), alpha) as integer) as rank from er group by alpha"""

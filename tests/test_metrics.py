@@ -72,3 +72,10 @@ def test_regression_metrics(spark):
     r = M.regression_metrics(df).first()
     assert r.mse == pytest.approx(2 / 3, abs=1e-6) and r.mae == pytest.approx(2 / 3, abs=1e-6)
     assert r.r2 == pytest.approx(0.0, abs=1e-9)
+
+
+def test_further_classes_get_their_columns(spark):
+    df = spark.createDataFrame([(0, 0), (3, 3), (3, 7), (1, 0)], "y_true int, y_pred int")
+    m = M.metrics_basic(df).first()
+    assert m.f1_class_3 == pytest.approx(2 / 3, abs=1e-6) and m.f1_class_7 == 0.0 and m.f1_class_2 is None
+    assert m.macro_f1 == pytest.approx((2 / 3 + 0 + 2 / 3 + 0) / 4, abs=1e-6)
