@@ -117,19 +117,19 @@ def ridge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, alpha: float) -> np.
     """Coefficients of a weighted ridge whose intercept is free: in the smaller of both dimensions."""
     total = weight.sum()
     root = np.sqrt(weight).astype(x.dtype)
-    a = x - (weight @ x / total).astype(x.dtype)
+    a = x - (weight.astype(x.dtype) @ x / total).astype(x.dtype)
     a *= root[:, None]
     b = (y - weight @ y / total) * root
     if a.shape[1] <= a.shape[0]:
         return np.linalg.lstsq(a.T @ a + alpha * np.eye(a.shape[1]), a.T @ b, rcond=None)[0]
-    return a.T @ np.linalg.lstsq((a @ a.T).astype(float) + alpha * np.eye(a.shape[0]), b, rcond=None)[0]
+    return a.T @ np.linalg.lstsq((a @ a.T).astype(float) + alpha * np.eye(a.shape[0]), b, rcond=None)[0].astype(a.dtype)
 
 
 def forward_choice(x: np.ndarray, y: np.ndarray, weight: np.ndarray, k: int) -> list[int]:
     """``k`` columns, each the one that leaves the least weighted error beside those before it."""
     total = weight.sum()
     root = np.sqrt(weight).astype(x.dtype)
-    a = x - (weight @ x / total).astype(x.dtype)
+    a = x - (weight.astype(x.dtype) @ x / total).astype(x.dtype)
     a *= root[:, None]
     rest = ((y - weight @ y / total) * root).astype(x.dtype)
     size = np.einsum("ij,ij->j", a, a)
