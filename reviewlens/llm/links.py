@@ -19,17 +19,19 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     """The distinct pairs (a, b) whose shingle sets are ``percent`` alike; ``texts`` has ``id, text``.
 
     Texts travel, not sets.  Pairs meet at ``b``: its text once a task, the partners' texts streamed behind it, so each
-    text moves once a pair it is partner in, and a text with many partners is dealt out by ``PARTNERS``.
+    text moves once a pair it is partner in, and a text with many partners is dealt out by ``PARTNERS``.  Who meets whom
+    is written first: a narrow table of known size, so Spark broadcasts it where it is small and no other text moves.
+    Gives a written table.
     """
     pairs = pairs.select("a", "b").distinct()
     dealt = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).select(
         "b", F.ceil(F.col("n") / PARTNERS).cast("int").alias("parts"))
-    placed = pairs.join(dealt, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    placed = pairs.join(dealt, "b").select(
+        "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.col("a").alias("id"))
     kind = texts.schema["id"].dataType.simpleString()
-    heads = dealt.select(F.col("b").alias("id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    heads = heads.join(texts, "id").select(F.col("id").alias("b"), "part", F.lit(0).alias("turn"), "id", "text")
-    rest = placed.join(texts, placed["a"] == texts["id"]).select("b", "part", F.lit(1).alias("turn"), "id", "text")
-    rows = heads.unionByName(rest).repartition("b", "part").sortWithinPartitions("b", "part", "turn").select(
+    meeting = stage(placed.select("*", F.lit(1).alias("turn")).unionByName(
+        placed.select("b", "part").distinct().select("b", "part", F.col("b").alias("id"), F.lit(0).alias("turn"))), "meeting")
+    rows = meeting.join(texts, "id").repartition("b", "part").sortWithinPartitions("b", "part", "turn").select(
         "turn", "id", "text")
 
     def run(batches):
@@ -46,7 +48,24 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[i] for x in found], part.schema.field("id").type) for i in (0, 1)], ["a", "b"])
 
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+    out = stage(rows.mapInArrow(run, f"a {kind}, b {kind}"), "links")
+    drop(meeting)
+    return out
+
+
+def texts_of(docs: DataFrame, keys: DataFrame, repeated: bool) -> DataFrame:
+    """Written ``id, text`` of the rows of ``docs`` (doc_id, text) that ``keys`` (id, doc, hash) name.
+
+    ``keys`` is written, so Spark broadcasts it where it is small.  Only where rows are ``repeated`` are texts shuffled to keep one of each.
+    """
+    d = docs.withColumn("_h", F.xxhash64("text"))
+    d = d.join(keys, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_h") == F.col("hash"))).select("id", "text")
+    return stage(d.dropDuplicates(["id"]) if repeated else d, "texts")
+
+
+def has_repeats(rows: DataFrame) -> bool:
+    """Whether two rows have equal doc_id and text hash ``h``."""
+    return not rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:

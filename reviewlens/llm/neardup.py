@@ -30,7 +30,7 @@ from reviewlens.functions.columns import with_computed
 from reviewlens.session import drop, stage
 
 from .common import arrow_ready, numbered, parts_of, renamed
-from .links import components, confirmed, joined, with_root
+from .links import components, confirmed, has_repeats, joined, texts_of, with_root
 from .shingles import set_name, shingle_sets
 
 SHINGLE = 4
@@ -135,7 +135,7 @@ def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts:
             F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root", "hub")).alias("main")).where("parts > 1")
         pairs = m.join(main, ["band", "key"]).where(F.col("root") != F.col("main.root")).select(
             F.col("node").alias("a"), F.col("main.hub.node").alias("b")).distinct()
-        found = stage(confirmed(likely(pairs, nodes), texts, shingle, SIMILAR), "links")
+        found = confirmed(likely(pairs, nodes), texts, shingle, SIMILAR)
         if found.isEmpty():
             drop(found)
             break
@@ -187,9 +187,9 @@ def grouped(df: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame
     the row that stands for the component.
     """
     arrow_ready(df.sparkSession)
-    docs = df.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
+    docs = df.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = stage(docs.mapInArrow(
+    signed = stage(docs.withColumn("h", F.xxhash64("text")).mapInArrow(
         _sign(shingle), f"doc_id {kind}, h bigint, n_shingles bigint, node binary, bands array<bigint>"), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     first = signed.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
@@ -202,20 +202,20 @@ def grouped(df: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame
     members = stage(bands.join(buckets.where("size > 1").select("band", "key", "size", F.col("hub.node").alias("hub")),
                                ["band", "key"]), "members")
     chosen = stage(nodes.join(members.select("node").distinct(), "node"), "chosen")
-    keys = chosen.select(F.col("node").alias("id"), F.col("first_doc"), F.col("h").alias("first_h"))
-    texts = docs.join(keys, F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("h") == F.col("first_h")))
-    texts = stage(texts.select("id", "text").dropDuplicates(["id"]), "texts")
+    keys = stage(chosen.select(F.col("node").alias("id"), F.col("first_doc").alias("doc"), F.col("h").alias("hash")), "keys")
+    texts = texts_of(docs, keys, has_repeats(signed))
+    drop(keys)
 
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     best = likely(stars, chosen).groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(
         "a", F.col("best.b").alias("b"))
-    links = stage(confirmed(best, texts, shingle, SIMILAR), "links")
+    links = confirmed(best, texts, shingle, SIMILAR)
     roots = components(links)
     label = stage(with_root(chosen.select("node"), roots, "node", "root").select("node", "root"), "labels")
     drop(links, roots)
     label = further_hubs(members, label, chosen, texts, shingle)
     pairs = rest_pairs(members, label, texts, shingle)
-    more = stage(confirmed(likely(pairs, chosen), texts, shingle, SIMILAR), "links")
+    more = confirmed(likely(pairs, chosen), texts, shingle, SIMILAR)
     label = joined(label, more)
     drop(pairs, more, members, chosen, texts)
     rooted = with_root(nodes.select("node", "first_doc", "h"), label, "node", "root")

@@ -32,7 +32,7 @@ from reviewlens.functions.columns import with_computed
 from reviewlens.session import drop, stage
 
 from .common import arrow_ready, parts_of
-from .links import confirmed, joined, with_root
+from .links import confirmed, has_repeats, joined, texts_of, with_root
 from .shingles import mixed, set_name, shared, shingle_sets
 
 SHINGLE, PERCENT = 5, 80
@@ -282,10 +282,11 @@ def rest(m: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent
         "root", "stretch", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("turn"), "id")
     coming = visits.join(dealt, ["root", "stretch"]).select(
         "root", "stretch", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("turn"), "id")
-    met = waiting.unionByName(coming).join(texts, "id").repartition("root", "stretch", "part").sortWithinPartitions(
+    meeting = stage(waiting.unionByName(coming), "meeting")
+    met = meeting.join(texts, "id").repartition("root", "stretch", "part").sortWithinPartitions(
         "root", "stretch", "part", "turn", "id")
     links = stage(met.mapInArrow(_visits(shingle, percent), "a bigint, b bigint"), "links")
-    drop(members, ranked, visits)
+    drop(members, ranked, visits, meeting)
     return links
 
 
@@ -335,13 +336,13 @@ def linked(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     close = stage(possible(pairs, signs, percent), "pairs")
     drop(pairs)
     wanted = stage(close.select(F.col("a").alias("id")).union(close.select("b")).union(rows.select("id")).distinct(), "wanted")
-    keys = wanted.join(names, "id").select("id", "first_doc", "h")
-    texts = docs.withColumn("_h", F.xxhash64("text")).join(
-        keys, F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("_h") == F.col("h"))).select("id", "text")
-    texts = stage(texts.dropDuplicates(["id"]), "texts")
+    keys = wanted.join(names, "id").select("id", F.col("first_doc").alias("doc"), F.col("h").alias("hash"))
+    keys = stage(keys, "keys")
+    texts = texts_of(docs, keys, has_repeats(signed))
+    drop(keys)
 
     label = stage(wanted.select(F.col("id").alias("node"), F.col("id").alias("root")), "labels")
-    links = stage(confirmed(close, texts, shingle, percent), "links")
+    links = confirmed(close, texts, shingle, percent)
     label = joined(label, links)
     drop(links, close, wanted, involved)
     m = mixed_groups(rows, label)
@@ -349,7 +350,7 @@ def linked(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     for turn in range(ROUNDS):
         if m.isEmpty():
             break
-        links = stage(confirmed(hub_round(m, signs, turn, percent), texts, shingle, percent), "links")
+        links = confirmed(hub_round(m, signs, turn, percent), texts, shingle, percent)
         none = links.isEmpty()
         if not none:
             label = joined(label, links)
