@@ -2,9 +2,14 @@
 
 The standard library's parser streams a page once.  A *line* is the text between two block boundaries; its ratio is
 its characters over its tags.  The ratios, smoothed with a Gaussian over neighbouring lines, are cut at their standard
-deviation: what reaches it is content.  The content lines vote with their length for the elements around them, and the
-innermost element with most of the votes (an article or main element before others) is the region; its lines are the
-text, but for those in boilerplate elements.
+deviation: what reaches it is content.  The content lines vote with their length for the elements around them.  An article or
+main element with most of the votes is the region; its lines are the text, but for those in boilerplate elements.  On a
+page without one, the text is every such line from the first to the last content line within the innermost element around
+all of them, and the lines next to these on either side up to a boilerplate line or the element's end: headings, short
+introductions and closing lines belong to the article though their ratios are low.
+
+Boilerplate elements are those of ``BOILERPLATE`` and those that a class, id or role marks.  A mark does not count on an element
+that wraps the article: one with a heading, article or main inside, beside which next to no unmarked text is left.
 """
 
 from __future__ import annotations
@@ -34,8 +39,15 @@ respond search share sharing sidebar signup skip social sponsor sponsored subscr
 #: Elements that are never boilerplate by their class or id.
 REGIONS = frozenset("html body main article".split())
 
+#: What the head of a page may hold; any other element ends it.
+IN_HEAD = frozenset("title style script noscript template meta link base".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+WRAPS = frozenset("h1 h2 article main".split())
+
 SIGMA = 1.0
 MOST = 0.6
+#: Unmarked text outside a marked element, as a share of the text inside, up to which the element is a wrapper.
+OUTSIDE = 0.1
 
 
 def marked(attrs: list[tuple[str, str | None]]) -> bool:
@@ -51,13 +63,17 @@ def marked(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class Page(HTMLParser):
-    """Lines of a page: (text, tags, boilerplate, elements around it)."""
+    """Lines of a page: (text, tags, boilerplate, elements around it).
+
+    Until ``settle`` boilerplate means the elements' names alone; ``marks`` has the elements that attributes mark.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.stack: list[tuple[str, int, bool, bool]] = []  # name, number, boilerplate, silent
         self.names: list[str] = []
+        self.marks: dict[int, bool] = {}  # marked elements, and whether something of WRAPS is inside
         self.buffer: list[str] = []
         self.tags = 1
 
@@ -86,7 +102,24 @@ class Page(HTMLParser):
                 return None
         return None
 
+    def settle(self) -> None:
+        """Let the marks count, but for those on wrappers of the article."""
+        if not self.marks:
+            return
+        inside = dict.fromkeys(self.marks, 0)
+        unmarked = 0
+        for text, _, boiler, around in self.lines:
+            if not boiler:
+                own = [e for e in around if e in self.marks]
+                unmarked += 0 if own else len(text)
+                for e in own:
+                    inside[e] += len(text)
+        real = {e for e, wraps in self.marks.items() if not (wraps and unmarked <= OUTSIDE * inside[e])}
+        self.lines = [(text, tags, boiler or not real.isdisjoint(around), around) for text, tags, boiler, around in self.lines]
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and tag != "head" and any(e[0] == "head" for e in self.stack):
+            self.close_open("head", frozenset())
         if tag in CLOSES_P:
             self.flush()
             self.close_open("p", CLOSES_P - {"p"})
@@ -105,8 +138,14 @@ class Page(HTMLParser):
         outer = self.stack[-1] if self.stack else ("", 0, False, False)
         # An article's own header holds its title.
         in_article = tag == "header" and any(e[0] == "article" for e in self.stack)
-        boiler = outer[2] or (tag in BOILERPLATE and not in_article) or (tag not in REGIONS and marked(attrs))
+        boiler = outer[2] or (tag in BOILERPLATE and not in_article)
+        if tag in WRAPS:
+            for e in self.stack:
+                if e[1] in self.marks:
+                    self.marks[e[1]] = True
         self.names.append(tag)
+        if tag not in REGIONS and marked(attrs):
+            self.marks[len(self.names) - 1] = False
         self.stack.append((tag, len(self.names) - 1, boiler, outer[3] or tag in SILENT))
         if tag not in BLOCKS:
             self.tags += 1
@@ -145,6 +184,7 @@ def main_text(html: str | None) -> str:
     page.feed(html.replace("<![", "<! [") if "<![" in html else html)
     page.close()
     page.flush()
+    page.settle()
     lines = [x for x in page.lines if not x[2]]
     if not lines:
         return ""
@@ -158,13 +198,31 @@ def main_text(html: str | None) -> str:
             total += len(text)
             for e in around:
                 votes[e] = votes.get(e, 0) + len(text)
-    enough = [e for e, v in votes.items() if v >= MOST * total]
-    if not enough:
+    named = [e for e, v in votes.items() if v >= MOST * total and page.names[e] in ("article", "main")]
+    if named:
+        region = max(named)
+        return "\n".join(text for text, _, _, around in lines if region in around)
+    content = [i for i, (x, v) in enumerate(zip(page.lines, smooth)) if not x[2] and v >= threshold]
+    if not content:
         return "\n".join(x[0] for x in lines)
-    named = [e for e in enough if page.names[e] in ("article", "main")]
-    wide = [e for e in enough if page.names[e] in BLOCKS and page.names[e] not in ("p", "li", "pre", "blockquote", "h1", "h2")]
-    region = max(named or wide or [min(enough)])
-    return "\n".join(text for text, _, _, around in lines if region in around)
+    common = set(page.lines[content[0]][3])
+    for i in content:
+        common &= set(page.lines[i][3])
+    around = max(common, default=None)
+    first, last = content[0], content[-1]
+
+    def goes_on(i: int) -> bool:
+        return 0 <= i < len(page.lines) and not page.lines[i][2] and (around is None or around in page.lines[i][3])
+
+    # A paragraph alone does not hold its article's heading: climb to the block that has more lines.
+    while around is not None and page.names[around] not in ("body", "html") and not (goes_on(first - 1) or goes_on(last + 1)):
+        outer = [e for e in page.lines[first][3] if e < around]
+        around = max(outer, default=None)
+    while goes_on(first - 1):
+        first -= 1
+    while goes_on(last + 1):
+        last += 1
+    return "\n".join(text for text, _, boiler, _ in page.lines[first:last + 1] if not boiler)
 
 
 def extract(df: DataFrame) -> DataFrame:
