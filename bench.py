@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = ["top_ngrams_by_class", "clean_reviews", "length_summary", "length_histogram", "duplicates",
             "cloud_terms", "vocab_stats", "split_exact", "tfidf", "bow", "text_stats_scaled", "vocab_by_freq",
             "encode_sequences", "metrics_basic", "roc_auc", "roc_curve", "class_report", "regression_metrics",
-            "strip_html"]
+            "strip_html", "length_kde", "nb_predictions", "stats_regressions"]
 
 
 def main() -> None:

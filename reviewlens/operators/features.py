@@ -27,7 +27,7 @@ PAD, UNK = 0, 1
 #: Rows of a vocabulary's head that may be broadcast, each term at most so many characters.
 HEAD_TERMS, HEAD_CHARS = 50_000, 128
 #: Slots that learners see.
-SLOTS = 1 << 18
+SLOTS = 1 << 16
 
 
 def vec_tokens(c) -> Column:
@@ -148,8 +148,10 @@ def vectorize_hashed(docs: DataFrame, text_col: str, ngram_range=(1, 2), fit: Co
     grams = doc_grams(docs, text_col, ngram_range, key, carry=[c for c in docs.columns if c not in (key, text_col)])
     d = with_computed(grams, _s=F.transform("_g", lambda g: slot_of(g, slots).cast("string"))).drop("_g")
     d = d.join(docs.select(key, text_col), key)
-    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(slots)], inputCol="_s",
-                                              outputCol="_tf" if idf else out_col)
+    # The slots' names cross to the JVM as one string: from_vocabulary sends them one by one.
+    names = d.sparkSession.sparkContext._jvm.org.apache.commons.lang3.StringUtils.split(",".join(map(str, range(slots))), ",")
+    cv = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", names)
+    cv = cv.setInputCol("_s").setOutputCol("_tf" if idf else out_col)
     out = cv.transform(d).drop("_s")
     if not idf:
         return out
