@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,7 @@ _CONF = {
 
 
 _STAGES: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -118,6 +120,24 @@ def drop_stages(spark: SparkSession) -> int:
     return found
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession):
+    """Delete a query's shuffle files as soon as it has ended.
+
+    Only for queries that write a table and are not run again: otherwise Spark keeps the files until the driver's next
+    garbage collection, and a job of many steps holds the shuffles of all of them at once.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage(df, name: str):
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
@@ -127,7 +147,8 @@ def stage(df, name: str):
     instead of recomputing the text work).
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.parquet(path)
     out._stage_path = path
     return out
