@@ -13,6 +13,8 @@ from .shingles import shingle_sets, similar
 
 #: Partners that one task confirms against one text; a text with more partners is dealt to several tasks.
 PARTNERS = 2_000
+#: So many keys of rows (an id of at most 16 bytes, doc_id, hash) are broadcast to the documents: some ten MB.  More are joined by key.
+NAMED = 1 << 18
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -56,8 +58,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 def texts_of(docs: DataFrame, keys: DataFrame, repeated: bool) -> DataFrame:
     """Written ``id, text`` of the rows of ``docs`` (doc_id, text) that ``keys`` (id, doc, hash) name.
 
-    ``keys`` is written, so Spark broadcasts it where it is small.  Only where rows are ``repeated`` are texts shuffled to keep one of each.
+    ``keys`` is written and counted: up to ``NAMED`` are broadcast, so that documents stay where they are; beyond, both sides
+    are shuffled by key.  Only where rows are ``repeated`` are texts shuffled to keep one of each.
     """
+    if keys.count() <= NAMED and docs.schema["doc_id"].dataType.typeName() in ("long", "integer"):
+        keys = F.broadcast(keys)
     d = docs.withColumn("_h", F.xxhash64("text"))
     d = d.join(keys, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_h") == F.col("hash"))).select("id", "text")
     return stage(d.dropDuplicates(["id"]) if repeated else d, "texts")

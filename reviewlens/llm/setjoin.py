@@ -303,17 +303,19 @@ def linked(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     docs = df.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     hot, times = _frequent(docs, shingle)
-    signed = docs.withColumn("h", F.xxhash64("text")).mapInArrow(
+    wide = docs.withColumn("h", F.xxhash64("text")).mapInArrow(
         _signed(shingle, percent, hot, times),
         f"doc_id {kind}, h bigint, n bigint, node binary, prefix array<bigint>, bits array<bigint>")
-    signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "signed")
+    # Prefixes are most of this table and are read once.
+    wide = stage(wide.withColumn("id", F.monotonically_increasing_id()), "wide")
+    signed = stage(wide.drop("prefix"), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "id")).alias("f")
     names = stage(signed.where("n > 0").groupBy("node").agg(least).select(
         "node", F.col("f.id").alias("id"), F.col("f.doc_id").alias("first_doc"), F.col("f.h").alias("h")), "names")
     copies = signed.where("n > 0").select("node", "id").join(
         names.select("node", F.col("id").alias("first_id")), "node").where("id <> first_id")
     copies = stage(copies.select("id"), "copies")
-    nodes = signed.where("n > 0").select("id", "n", "bits", "prefix").join(copies, "id", "left_anti")
+    nodes = wide.where("n > 0").select("id", "n", "prefix").join(copies, "id", "left_anti")
 
     # In one exchange by shingle: how many have it, and those just before a node in order of size.
     group, in_size = Window.partitionBy("t"), Window.partitionBy("t").orderBy("n", "id")
@@ -322,6 +324,7 @@ def linked(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     postings = postings.withColumn("_of", F.count(F.lit(1)).over(group)).withColumn("_earlier", F.when(
         F.col("_of") <= SMALL, F.collect_list(F.struct("id", "n", "i")).over(in_size.rowsBetween(1 - SMALL, -1))))
     postings = stage(postings.select("t", "id", "n", "i", F.when(F.col("_of") <= SMALL, F.col("_earlier")).alias("e")), "postings")
+    drop(wide)
     met = postings.where("e is not null").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"),
                                                  F.explode("e").alias("x"))
     least = F.ceil((F.col("x.n") + F.col("nb")) * percent / (100.0 + percent) - 1e-9)
