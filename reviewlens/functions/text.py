@@ -8,6 +8,9 @@ Python.  Never use ``\\w``, ``\\b`` or a bare ``\\s`` here.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,10 +31,16 @@ TOKEN = f"({WORD}+)"
 PUNCT = rf"[^{WORD_CLASS}{WS_CLASS}]"
 
 HTML_BLOCKS = [r"(?is)<script[^>]*>.*?</script[^>]*>", r"(?is)<style[^>]*>.*?</style[^>]*>", r"(?s)<!--.*?-->"]
-HTML_TAG = r"<[^>]+>"
-# Entity decoding, &amp; last so "&amp;lt;" decodes once.
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                 ("&nbsp;", " "), ("&amp;", "&")]
+# A "<" opens a tag only before a letter, "/", "!" or "?"; "a < b" stays.
+HTML_TAG = r"<[A-Za-z/!?][^>]*>"
+# Character references: numeric ones (the semicolon may be missing), named ones with it.
+HTML_REFERENCE = r"&(?:#[0-9]{1,7};?|#[xX][0-9A-Fa-f]{1,6};?|[A-Za-z][A-Za-z0-9]*;)"
+# The standard's names, from Python's standard library.
+HTML_NAMES = {f"&{name}": value for name, value in html5.items() if name.endswith(";")}
+# What the standard reads numbers 128 to 159 as: Windows-1252, where that has a character.
+HTML_NUMBERS = {n: ord(c) for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))}
+REPLACEMENT = 0xFFFD
+APOSTROPHE = "['\u2019]"
 
 # Contraction table (our own, applied in this order, case-insensitive).
 # Whole words: (word, expansion); matched after start-of-text or a non-word char.
@@ -45,15 +54,20 @@ CONTRACTION_SUFFIXES = [("n't", " not"), ("'re", " are"), ("'ve", " have"), ("'l
 CONTRACTION_PROBE = r"(?i)\p{L}(n't|'re|'ve|'ll|'m|'d|'s)"
 
 
+def curly(word: str) -> str:
+    """``word`` as a pattern, with a straight or a typographic apostrophe."""
+    return word.replace("'", APOSTROPHE)
+
+
 def contraction_rules() -> list[tuple[str, str, str]]:
     """(pattern, java_replacement, re2_replacement) in application order."""
     rules = []
     for word, exp in CONTRACTION_WORDS:
-        rules.append((f"(?i)(^|{NON_WORD}){word}", f"$1{exp}", f"\\1{exp}"))
+        rules.append((f"(?i)(^|{NON_WORD}){curly(word)}", f"$1{exp}", f"\\1{exp}"))
     pron = "|".join(CONTRACTION_PRONOUNS)
-    rules.append((f"(?i)(^|{NON_WORD})({pron})'s", "$1$2 is", "\\1\\2 is"))
+    rules.append((f"(?i)(^|{NON_WORD})({pron}){APOSTROPHE}s", "$1$2 is", "\\1\\2 is"))
     for suf, exp in CONTRACTION_SUFFIXES:
-        rules.append((f"(?i)(\\p{{L}}){suf}({NON_WORD}|$)", f"$1{exp}$2", f"\\1{exp}\\2"))
+        rules.append((f"(?i)(\\p{{L}}){curly(suf)}({NON_WORD}|$)", f"$1{exp}$2", f"\\1{exp}\\2"))
     return rules
 
 
@@ -74,10 +88,37 @@ def strip_html(c) -> Column:
         tags = F.regexp_replace(tags, p, " ")
     tags = F.regexp_replace(tags, HTML_TAG, " ")
     out = F.when(src.contains("<"), tags).otherwise(src)
-    ents = out
-    for ent, ch in HTML_ENTITIES:
-        ents = F.replace(ents, F.lit(ent), F.lit(ch))
-    return F.when(out.contains("&"), ents).otherwise(out)
+    return F.when(out.contains("&"), decode_references(out)).otherwise(out)
+
+
+def decode_references(c) -> Column:
+    """Named and numeric character references as their characters, each once; unknown names stay.
+
+    The pieces between references and the references, zipped, add up to the value.  Names are looked up in a literal
+    map by first letter; numbers that are no character become U+FFFD.
+    """
+    by_letter: dict = {}
+    for name, value in HTML_NAMES.items():
+        by_letter.setdefault(name[1], {})[name] = value
+    names = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
+    numbers = F.from_json(F.lit(json.dumps(HTML_NUMBERS)), "map<string,int>")
+
+    def decoded(r):
+        bare = F.rtrim(r, F.lit(";"))
+        digits = F.when(F.lower(F.substring(r, 3, 1)) == "x", F.conv(F.substring(bare, 4, 8), 16, 10)).otherwise(
+            F.substring(bare, 3, 8)).cast("int")
+        n = F.coalesce(F.try_element_at(numbers, digits.cast("string")), digits)
+        n = F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), REPLACEMENT).otherwise(n)
+        return F.when(F.substring(r, 2, 1) == "#", F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(
+            F.try_element_at(F.try_element_at(names, F.substring(r, 2, 1)), r))
+
+    def whole(x):
+        pieces = F.zip_with(F.split(x, HTML_REFERENCE, -1), F.regexp_extract_all(x, F.lit(HTML_REFERENCE), F.lit(0)),
+                            lambda p, r: F.concat(p, F.coalesce(decoded(r), r, F.lit(""))))
+        return F.array_join(pieces, "")
+
+    # Bound once: the value is an expensive expression and is read twice.
+    return F.element_at(F.transform(F.array(_c(c)), whole), 1)
 
 
 # F-02 -----------------------------------------------------------------------
@@ -87,7 +128,7 @@ def expand_contractions(c) -> Column:
     out = src
     for pat, java_rep, _ in contraction_rules():
         out = F.regexp_replace(out, pat, java_rep)
-    return F.when(src.contains("'"), out).otherwise(src)
+    return F.when(src.contains("'") | src.contains("\u2019"), out).otherwise(src)
 
 
 # F-03, F-04, F-05 -------------------------------------------------------------

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.operators.features import quantile_bucket
 from reviewlens.functions.labels import class_name
 from reviewlens.operators import rank as R
 
@@ -113,29 +114,28 @@ def _one_vs_rest(scored: DataFrame, n_classes: int) -> DataFrame:
     return ex.groupBy("cls", "score").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg"))
 
 
-def roc_curve(scored: DataFrame, n_classes: int = 3, score_bins: int = 4096) -> DataFrame:
-    """E-05: one-vs-rest ROC points at every distinct score (descending thresholds).
+def roc_curve(scored: DataFrame, n_classes: int = 3, buckets: int = 1024) -> DataFrame:
+    """E-05: one-vs-rest ROC points at every distinct score (descending thresholds), from (0, 0) at infinity on.
 
-    Cumulative TP/FP use the bucketed prefix sums of ``rank.prefix_sums``:
-    scores in [0, 1] are binned into 4,096 ordered buckets, so no class is
-    ever ordered inside one task.
+    Cumulative TP/FP use the bucketed prefix sums of ``rank.prefix_sums`` over buckets between approximate quantiles of
+    the distinct scores, so no class is ever ordered inside one task, however close its scores or whatever their range.
     """
-    agg = _one_vs_rest(scored, n_classes)
-    bucket = F.least(F.floor(F.col("score") * score_bins), F.lit(score_bins - 1)).cast("int")
-    cum = R.prefix_sums(agg, bucket, [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")},
+    agg = quantile_bucket(_one_vs_rest(scored, n_classes), "score", "_qb", buckets)
+    cum = R.prefix_sums(agg, F.col("_qb"), [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")},
                         partition_by=["cls"], bucket_desc=True)
     tot = agg.groupBy("cls").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(tot, "cls").select(
+    none = F.lit(0).cast("bigint")
+    start = tot.select("cls", F.lit(float("inf")).alias("score"), none.alias("tp"), none.alias("fp"))
+    return cum.select("cls", "score", "tp", "fp").unionByName(start).join(tot, "cls").select(
         "cls", F.round("score", 6).alias("threshold"),
         F.round(F.when(F.col("P") > 0, F.col("tp") / F.col("P")), 6).alias("tpr"),
         F.round(F.when(F.col("N") > 0, F.col("fp") / F.col("N")), 6).alias("fpr"))
 
 
-def roc_auc(scored: DataFrame, n_classes: int = 3, score_bins: int = 4096) -> DataFrame:
+def roc_auc(scored: DataFrame, n_classes: int = 3, buckets: int = 1024) -> DataFrame:
     """E-05 / E-02: per-class AUC (ties count one half) and the macro mean; NULL if a class is all one side."""
-    agg = _one_vs_rest(scored, n_classes)
-    bucket = F.least(F.floor(F.col("score") * score_bins), F.lit(score_bins - 1)).cast("int")
-    cum = R.prefix_sums(agg, bucket, [F.col("score").asc()], {"neg_le": F.col("neg")}, partition_by=["cls"])
+    agg = quantile_bucket(_one_vs_rest(scored, n_classes), "score", "_qb", buckets)
+    cum = R.prefix_sums(agg, F.col("_qb"), [F.col("score").asc()], {"neg_le": F.col("neg")}, partition_by=["cls"])
     per = (cum.groupBy("cls").agg(
         F.sum(F.col("pos") * (F.col("neg_le") - 0.5 * F.col("neg"))).alias("num"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))

@@ -290,7 +290,7 @@ with {ONE_VS_REST},
 cum as (select cls, score,
   sum(pos) over (partition by cls order by score desc rows between unbounded preceding and current row) as tp,
   sum(neg) over (partition by cls order by score desc rows between unbounded preceding and current row) as fp
-  from agg),
+  from agg union all select distinct cls, 'infinity'::DOUBLE, 0, 0 from agg),
 tot as (select cls, sum(pos) as P, sum(neg) as N from agg group by cls)
 select cum.cls, round(score, 6) as threshold, round(case when P > 0 then tp / P end, 6) as tpr,
   round(case when N > 0 then fp / N end, 6) as fpr from cum join tot on cum.cls = tot.cls"""

@@ -20,9 +20,19 @@ def strip_html(e: str) -> str:
     for p in X.HTML_BLOCKS:
         e = rr(e, p, " ")
     e = rr(e, X.HTML_TAG, " ")
-    for ent, ch in X.HTML_ENTITIES:
-        e = f"replace({e}, {lit(ent)}, {lit(ch)})"
-    return e
+    return f"list_transform([{e}], lambda x: case when contains(x, '&') then {decode_references('x')} else x end)[1]"
+
+
+def decode_references(e: str) -> str:
+    names = ", ".join(map(lit, X.HTML_NAMES))
+    values = ", ".join(map(lit, X.HTML_NAMES.values()))
+    numbers = " ".join(f"when {a} then {b}" for a, b in X.HTML_NUMBERS.items())
+    n = ("cast(case when lower(r[2][3]) = 'x' then '0x' || rtrim(r[2][4:], ';') else rtrim(r[2][3:], ';') end as integer)")
+    char = (f"list_transform([{n}], lambda n: chr(case {numbers} when n = 0 or n between 55296 and 57343 or n > 1114111 "
+            f"then {X.REPLACEMENT} else n end))[1]").replace("when 1", "when n = 1")
+    one = (f"case when r[2][2] = '#' then {char} else list_extract([{values}], list_position([{names}], r[2])) end")
+    return (f"array_to_string(list_transform(list_zip(regexp_split_to_array({e}, {lit(X.HTML_REFERENCE)}), "
+            f"regexp_extract_all({e}, {lit(X.HTML_REFERENCE)})), lambda r: r[1] || coalesce({one}, r[2], '')), '')")
 
 
 def expand_contractions(e: str) -> str:

@@ -79,3 +79,30 @@ def test_further_classes_get_their_columns(spark):
     m = M.metrics_basic(df).first()
     assert m.f1_class_3 == pytest.approx(2 / 3, abs=1e-6) and m.f1_class_7 == 0.0 and m.f1_class_2 is None
     assert m.macro_f1 == pytest.approx((2 / 3 + 0 + 2 / 3 + 0) / 4, abs=1e-6)
+
+
+def test_curve_starts_at_zero_and_takes_any_score(spark):
+    """Scores far outside [0, 1] and nine tenths of them equal to three digits: points equal a plain running count."""
+    rows = []
+    for i in range(2000):
+        s = 0.900 + i * 1e-7 if i % 10 else -5.0 + i
+        rows.append((i, i % 2, s, 1.0 - s, 0.5))
+    df = spark.createDataFrame(rows, "doc_id bigint, y_true int, p0 double, p1 double, p2 double")
+    got = [(r.threshold, r.tpr, r.fpr) for r in M.roc_curve(df).where("cls = 0").orderBy(F.desc("tpr"), F.desc("fpr")).collect()]
+    want = [(float("inf"), 0.0, 0.0)]
+    tp = fp = 0
+    for s in sorted({r[2] for r in rows}, reverse=True):
+        tp += sum(1 for r in rows if r[2] == s and r[1] == 0)
+        fp += sum(1 for r in rows if r[2] == s and r[1] != 0)
+        want.append((round(s, 6), round(tp / 1000, 6), round(fp / 1000, 6)))
+    got, want = (sorted(rows, key=lambda x: (x[1], x[2])) for rows in (got, want))
+    assert [x[1:] for x in got] == [x[1:] for x in want]
+    assert all(a[0] == b[0] or abs(a[0] - b[0]) < 2e-6 for a, b in zip(got, want))
+
+
+def test_buckets_of_close_scores_are_small(spark):
+    from reviewlens.operators.features import quantile_bucket
+    n = 20_000
+    df = spark.range(n).select((F.when(F.col("id") % 10 > 0, 0.9 + F.col("id") * 1e-8).otherwise(F.col("id") / n)).alias("score"))
+    most = quantile_bucket(df, "score", "b").groupBy("b").count().agg(F.max("count")).first()[0]
+    assert most < 0.01 * n

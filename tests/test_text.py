@@ -22,6 +22,34 @@ def test_clean_contractions_and_html(spark):
     assert one(spark, X.clean_text, "<script>var a='<p>';</script>a<br>b") == "a b"
 
 
+def test_clean_references_and_typographic_apostrophes(spark):
+    assert one(spark, X.clean_text, "I don\u2019t, a < b and c > d &eacute; &#8217;") == "i do not a b and c d \u00e9"
+    assert one(spark, X.clean_text, "It\u2019s &Eacute;t&#233; &#xE9;t&#XE9 won\u2019t John\u2019s") == \
+        "it is \u00e9t\u00e9 \u00e9t\u00e9 will not john s"
+
+
+def test_references_decode_once(spark):
+    import html
+    cases = ["&amp;lt;", "&amp;amp;", "&zzname; &", "a&nbsp;b", "&#0;&#55296;&#1114112;", "&#128;&#146;&#x97;",
+             "&NotEqualTilde;x", "", "&;&#;&#x;", "&lt;b&gt;&quot;&apos;&#39;", "\U0001F600&#128512;"]
+    for v in cases:
+        assert one(spark, X.decode_references, v) == html.unescape(v), v
+    assert one(spark, X.strip_html, None) is None
+    assert one(spark, X.strip_html, "1 < 2 <!doctype x><?pi?></p>3") == "1 < 2    3"
+
+
+def test_references_match_twin(spark):
+    import duckdb
+    from reviewlens.plans import sqltext as S
+    v = "x &eacute;&#233;&#xE9;&#128;&#0; &amp;lt; &unknown; &NotEqualTilde; < 3 <b>y</b> don\u2019t"
+    got = duckdb.execute(f"select {S.clean_text('v')}, {S.strip_html('v')} from (select ? as v)", [v]).fetchone()
+    assert got == (one(spark, X.clean_text, v), one(spark, X.strip_html, v))
+
+
+def test_cleaners_are_plug_ins(spark):
+    assert one(spark, lambda c: X.clean_text(c, html=lambda x: x, contractions=F.upper), "<B>don't</B>") == "b don't b"
+
+
 def test_clean_idempotent(spark):
     df = spark.createDataFrame([("Ça   va? Très\tbien!! 42 www.x.org",), ("  ",), ("",)], "v string")
     once = df.select(X.clean_text("v").alias("c"))
