@@ -11,7 +11,7 @@ WITH RECURSIVE w AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS MATERIALIZED (
   SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - {k - 2}), i -> array_to_string(ws[i:i + {k - 1}], ' '))) END AS sh
+    ELSE list_distinct(list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) END AS sh
   FROM w),
 t AS MATERIALIZED (SELECT rid, len(sh) AS n, unnest(sh) AS g FROM s),
 links AS MATERIALIZED (
