@@ -32,9 +32,27 @@ def vector_array(c) -> F.Column:
     return vector_to_array(F.col(c) if isinstance(c, str) else c, "float32")
 
 
+#: Tokens that one Word2Vec partition trains on; each pass averages the partitions' vectors.
+TOKENS_A_PARTITION = 250_000
+MOST_PARTITIONS = 1 << 10
+
+
+def w2v_partitions(n_tokens: int) -> int:
+    return max(1, min(MOST_PARTITIONS, -(-n_tokens // TOKENS_A_PARTITION)))
+
+
 def train_word2vec(docs: DataFrame, text_col: str, **over):
-    params = dict(W2V, **over)
+    """X-03: skip-gram vectors, trained on as many partitions as the tokens ask for.
+
+    Every partition runs over its documents, the vectors of a word are averaged over the partitions that saw it, and the
+    next pass starts from the average; a pass more for every doubling of the partitions makes up for the shorter steps.  The vocabulary with its vectors is on the driver and broadcast (MLlib's form), so
+    ``minCount`` is what bounds it.  ``numPartitions`` and ``maxIter`` in ``over`` replace the computed ones.
+    """
     toks = docs.select(X.ws_tokens(F.col(text_col)).alias("_tokens"))
+    n = toks.agg(F.sum(F.size("_tokens"))).first()[0] or 0
+    parts = over.get("numPartitions", w2v_partitions(n))
+    passes = W2V["maxIter"] + (parts - 1).bit_length()
+    params = {**W2V, "maxIter": passes, "numPartitions": parts, **over}
     return Word2Vec(inputCol="_tokens", outputCol="_vec", **params).fit(toks)
 
 

@@ -233,3 +233,29 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+# M-19 --------------------------------------------------------------------------------------
+def linear_batches(coefficients, intercepts, classify: bool, batch_size: int = 4096):
+    """Column function over an array column: a linear model applied to whole batches by Spark's batch inference.
+
+    ``coefficients`` is classes x features (one row for a regression).  The matrices travel with the function, are built
+    once a Python worker, and each Arrow batch is one matrix product.  ``classify`` gives the class of the greatest margin
+    (the least of equals), else the value of the one row.
+    """
+    import numpy as np
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import DoubleType
+
+    rows, shift = [[float(v) for v in r] for r in coefficients], [float(v) for v in intercepts]
+
+    def load():
+        w, b = np.array(rows).T, np.array(shift)
+
+        def predict(features: np.ndarray) -> np.ndarray:
+            margins = features @ w + b
+            return margins.argmax(axis=1).astype(float) if classify else margins[:, 0]
+
+        return predict
+
+    return predict_batch_udf(load, return_type=DoubleType(), batch_size=batch_size, input_tensor_shapes=[[len(rows[0])]])

@@ -480,12 +480,15 @@ def ingest_csv(spark, sf):
     return IO.read_reviews(spark, f"{base}", fmt="csv", schema=OLD_NAMES_SCHEMA, key="doc_id").select(*V1_COLS)
 
 
+ROWS_A_DOCUMENT = 2_000
+
+
 @query
 def ingest_json(spark, sf):
-    """S-02: one JSON array document per file (multiLine), one file per hash bucket of rows."""
+    """S-02: one JSON array document per file (multiLine), one file per hash bucket of about ROWS_A_DOCUMENT rows."""
     base = scratch_dir(spark, "ingest-json")
     v = _v1_old_names(spark, sf)
-    buckets = max(v.rdd.getNumPartitions(), 1)
+    buckets = max(1, -(-v.count() // ROWS_A_DOCUMENT))
     docs = (v.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
             .agg(F.to_json(F.collect_list(F.struct(*v.columns))).alias("value")))
     docs.write.partitionBy("bucket").text(base)
@@ -502,6 +505,7 @@ def stage_roundtrip(spark, sf):
 
 # ------------------------------------------------------------------ learners (rows-only checks)
 from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import array_to_vector  # noqa: E402
 
 from reviewlens.functions.columns import with_computed  # noqa: E402
 from reviewlens.operators import closed as CF  # noqa: E402
@@ -540,9 +544,23 @@ def represent(sp, rep: str = "tfidf", slots: int = FT.SLOTS):
         st = FT.text_stats(sp, "text")
         z = FT.standard_scale(st, st.join(train.select("doc_id"), "doc_id"), FT.STAT_COLS)
         return sp.join(VectorAssembler(inputCols=FT.STAT_COLS, outputCol="features").transform(z), "doc_id")
+    if rep == "w2v":
+        long, _ = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
+        v = EM.weighted_doc_vectors(sp, long, w2v_vectors(train), EM.W2V["vectorSize"])
+        return sp.join(v.select("doc_id", array_to_vector("vec").alias("features")), "doc_id")
+    if rep == "sbert":
+        v = EM.embed_with_cache(sp.sparkSession, sp.select("doc_id", "clean_text"), "clean_text",
+                                scratch_dir(sp.sparkSession, "embed-cache"))
+        return sp.join(v.select("doc_id", array_to_vector("embedding").alias("features")), "doc_id")
     raise ValueError(rep)
 
 
+def w2v_vectors(train):
+    """X-03 on the train split: ``term, vec``."""
+    model = EM.train_word2vec(train, "clean_text")
+    return model.getVectors().select(F.col("word").alias("term"), EM.vector_array("vector").alias("vec"))
+
+
 def nb_input(spark, sf):
     """Labelled documents with their split, and (doc_id, term, value) TF-IDF of all terms fitted on train; both written."""
     from reviewlens.session import stage
@@ -726,6 +744,16 @@ def stats_regressions(spark, sf):
     return out
 
 
+@query
+def batch_scoring(spark, sf):
+    """M-19: ridge on the text statistics scores the test split through Spark's batch inference function."""
+    d, cols, fits = _closed_regressions(spark, sf)
+    beta = fits["ridge"]
+    score = ML.linear_batches([beta[1:]], [beta[0]], classify=False)
+    test = d.where(F.col("split") == "test").select("doc_id", "label", F.array(*cols).alias("x"))
+    return test.select("doc_id", "label", F.round(score("x"), 6).alias("prediction"))
+
+
 @query
 def fitted_comparison(spark, sf):
     """U-03 / E-12: results of fitted classifiers and regressions, with different measures, as one sorted table."""
@@ -785,6 +813,28 @@ def lemma_text(spark, sf):
     return LX.lemmatize_text(work(spark, sf), "clean_text")
 
 
+def plural_dictionary(tokens):
+    """``form, lemma`` of the words with an s at the end that occur without it too: a dictionary that the table itself gives."""
+    t = tokens.select("term").distinct()
+    forms = t.where(F.col("term").endswith("s")).select(
+        F.col("term").alias("form"), F.expr("left(term, length(term) - 1)").alias("lemma"))
+    return forms.join(t.select(F.col("term").alias("lemma")), "lemma", "left_semi")
+
+
+@query
+def lemma_dictionary(spark, sf):
+    """F-16 / F-18 with a dictionary: forms with a plural s become the word without it, where the corpus has that word."""
+    w = work_staged(spark, sf)
+    words = w.select(F.explode(X.word_tokens(F.col("clean_text"))).alias("term"))
+    return LX.preprocess_for_ml(w, "clean_text", True, dictionary=plural_dictionary(words))
+
+
+@query
+def preprocess_stems(spark, sf):
+    """F-18 with stems: processed text of every document of the working set."""
+    return LX.preprocess_for_ml(work_staged(spark, sf), "clean_text", use_lemma=False)
+
+
 @query
 def stem_vs_lemma(spark, sf):
     """F-17: text, stem and lemma side by side."""
@@ -896,9 +946,8 @@ def w2v_train(spark, sf):
 def w2v_weighted(spark, sf):
     """X-04: TF-IDF-weighted mean of word vectors per document (zero vector when no shared term)."""
     sp = learn_split(spark, sf)
-    model = EM.train_word2vec(sp.where(F.col("split") == "train"), "clean_text")
     long, _ = FT.tfidf(sp, "clean_text", fit=F.col("split") == "train")
-    vecs = model.getVectors().select(F.col("word").alias("term"), EM.vector_array("vector").alias("vec"))
+    vecs = w2v_vectors(sp.where(F.col("split") == "train"))
     out = EM.weighted_doc_vectors(sp.select("doc_id"), long, vecs, 128)
     return out.select("doc_id", F.size("vec").alias("dim"),
                       F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
@@ -917,12 +966,16 @@ def embed_cached(spark, sf):
 
 @query
 def run_features(spark, sf):
-    """X-07 / X-08: every representation fitted on train, one summary row each."""
+    """X-07 / X-08: every representation fitted on train; documents and non-zero features of each split."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
     sp = learn_split(spark, sf)
     rows = None
-    for rep in ("bow", "tfidf", "text_stats", "tfidf_stats"):
+    for rep in ("bow", "tfidf", "text_stats", "tfidf_stats", "w2v", "sbert"):
         d = represent(sp, rep)
-        r = d.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs")).select(F.lit(rep).alias("representation"), "*")
+        r = d.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"), Summarizer.numNonZeros(F.col("features")).alias("nz"))
+        total = F.aggregate(vector_to_array("nz"), F.lit(0.0), lambda a, x: a + x).cast("bigint")
+        r = r.select(F.lit(rep).alias("representation"), "split", "n_docs", total.alias("n_nonzero"))
         rows = r if rows is None else rows.unionByName(r)
     return rows
 
@@ -942,6 +995,13 @@ def run_eda(spark, sf):
                                                                     F.col("n_duplicates").cast("double")),
         E.vocab_stats(w).select(F.lit("vocab"), F.lit("vocab_size"), F.col("vocab_size").cast("double")),
         E.cloud_doc_counts(w).select(F.lit("cloud_docs"), F.col("sentiment"), F.col("n_docs").cast("double")),
+        E.length_histogram(w, "char_len").select(F.lit("length_histogram"), F.col("bin").cast("string"), F.col("cnt").cast("double")),
+        E.length_kde(w, "char_len").select(F.lit("length_density"), F.col("grid").cast("string"), F.col("density")),
+        E.length_by_rating(w).select(F.lit("words_by_rating"), F.col("rating").cast("string"), F.round("mean_words", 6)),
+        *[E.top_ngrams(w, n, 20).select(F.lit(f"top_{n}_grams"), F.col("ngram"), F.col("cnt").cast("double")) for n in (1, 2)],
+        E.top_ngrams_by_class(w, (1, 2), 5).select(
+            F.lit("ngrams_by_class"), F.concat_ws(":", "sentiment", "n", "ngram"), F.col("cnt").cast("double")),
+        E.cloud_terms(w).select(F.lit("cloud_terms"), F.concat_ws(":", "sentiment", "ngram"), F.col("cnt").cast("double")),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -473,7 +473,23 @@ union all select 'duplicates', 'n_duplicates', cast(count(*) - count(distinct re
 union all select 'vocab', 'vocab_size', cast(count(distinct tok) as double)
   from (select unnest({S.ws_tokens('lower(clean_text)')}) as tok from w)
 union all select 'cloud_docs', sentiment, cast(count(*) as double) from w
-  where sentiment is not null group by sentiment"""
+  where sentiment is not null group by sentiment
+union all select 'length_histogram', cast(bin as varchar), cast(cnt as double) from ({SQL["length_histogram"]})
+union all select 'length_density', cast(grid as varchar), density from ({SQL["length_kde"]})
+union all select 'words_by_rating', cast(rating as varchar), round(mean_words, 6) from ({SQL["length_by_rating"]})
+union all select 'top_1_grams', ngram, cast(cnt as double) from ({SQL["top_unigrams"]})
+union all select 'top_2_grams', ngram, cast(cnt as double) from ({SQL["top_bigrams"]})
+union all select 'ngrams_by_class', concat_ws(':', sentiment, n, ngram), cast(cnt as double) from ({SQL["top_ngrams_by_class"]})
+union all select 'cloud_terms', concat_ws(':', sentiment, ngram), cast(cnt as double) from ({SQL["cloud_terms"]})"""
+
+SQL["lemma_dictionary"] = f"""
+with k as materialized (select doc_id, {S.word_tokens('clean_text')} as toks from {WORK}),
+t as materialized (select doc_id, unnest(toks) as term, unnest(range(len(toks))) as pos from k),
+d as materialized (select distinct term from t),
+m as (select a.term, coalesce(b.term, a.term) as w from d a
+      left join d b on a.term like '%s' and b.term = left(a.term, len(a.term) - 1)),
+j as (select doc_id, string_agg(w, ' ' order by pos) as txt from t join m using (term) group by doc_id)
+select k.doc_id, coalesce(txt, '') as processed_text from k left join j using (doc_id)"""
 
 # ---------------------------------------------------------------------------- learners with a closed form
 # The learn split: labelled documents, cleaned; TF-IDF of 1- and 2-grams fitted on train.
@@ -582,6 +598,9 @@ _REGS = " union all ".join(_ERRORS.format(name=S.lit(n), src=s) for n, s in (("l
 SQL["stats_regressions"] = f"""with recursive {_ZS}, {_solved('l', 'gm', '0.0')}, {_solved('d', 'gm', '1.0')}
 select model, 'text_stats' as representation, rmse, mae from ({_REGS})"""
 
+SQL["batch_scoring"] = f"""with recursive {_ZS}, {_solved('d', 'gm', '1.0')}
+select doc_id, rating as label, round(list_dot_product(r[1:6], b), 6) as prediction from z, d where split = 'test'"""
+
 SQL["fitted_comparison"] = f"""with a as ({SQL["nb_predictions"]}), b as ({SQL["baseline_majority"]}), c as ({SQL["stats_regressions"]})
 select 'Classical ML' as model_type, 'complement_nb' as model, 'tfidf' as representation, round(accuracy, 6) as accuracy,
   round(macro_f1, 6) as macro_f1, NULL::DOUBLE as rmse, NULL::DOUBLE as mae from {_f1_of('a')}

@@ -1,8 +1,4 @@
-"""Porter suffix-stripping stemmer (M. F. Porter, 1980), one token at a time.
-
-A small per-token helper: the Spark job stems each *distinct* token once and
-joins the result back (see ``operators.lexical``).
-"""
+"""Porter suffix-stripping stemmer (M. F. Porter, 1980), one token at a time: what the native expressions are held against."""
 
 from __future__ import annotations
 

@@ -138,3 +138,16 @@ def test_comparison_unites_tables_of_different_columns(spark):
     got = [(r.model_type, r.model, r.representation, r.accuracy, r.macro_f1, r.rmse) for r in CF.comparison(Classical_ML=a, Regression=b).collect()]
     assert got == [("Classical ML", "Unknown", "Unknown", 0.0, 0.9, None), ("Classical ML", "m1", "tfidf", 0.5, 0.4, None),
                    ("Regression", "q", "Unknown", None, None, 1.0), ("Regression", "r", "Unknown", None, None, 2.0)]
+
+
+def test_batch_scores_equal_transform(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = [(i, float(i % 3), float(i % 3) + (i % 7) / 10, float((i * 5) % 11)) for i in range(90)]
+    d = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "doc_id long, label double, a double, b double"))
+    model = ML.build("logistic", "classification", 90, maxIter=20).fit(d)
+    score = ML.linear_batches(model.coefficientMatrix.toArray(), model.interceptVector.toArray(), classify=True, batch_size=7)
+    got = model.transform(d).select("prediction", score(F.array("a", "b")).alias("batch")).collect()
+    assert len(got) == 90 and all(r.prediction == r.batch for r in got)
+    assert d.limit(0).select(score(F.array("a", "b"))).count() == 0

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.functions.porter import stem
+from porter_by_hand import stem
+from reviewlens.functions import text as X
+from reviewlens.functions.stemming import stemmed
 from reviewlens.operators import embed as EM
 from reviewlens.operators import lexical as LX
 
@@ -16,6 +18,32 @@ def test_porter(word, expected):
     assert stem(word) == expected
 
 
+ODD_WORDS = """syzygy toying playyy yyyed tyyyying ss s ing ed eed feed sky skies naïve ÿing étés oed rolled fizzed conflated
+troubled sized failing adoption rational conditional probate cease hopefulness sensibiliti feudalism irritant ion""".split()
+
+
+def test_native_stems_equal_those_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = docs.select(F.explode(X.word_tokens(X.clean_text(F.col("text")))).alias("term"))
+    words = words.union(spark.createDataFrame([(w,) for w in [*ODD_WORDS, ""]], "term string")).distinct()
+    got = stemmed(words, "term", "stem").collect()
+    assert len(got) > 500 and [r for r in got if r.stem != stem(r.term)] == []
+    assert stemmed(spark.createDataFrame([(None,)], "term string"), "term", "stem").first().stem is None
+
+
+def test_word2vec_partitions_keep_neighbours(spark):
+    groups = [[f"{c}{i}" for i in range(6)] for c in "abc"]
+    rows = [(i, " ".join(groups[i % 3][(i // 3 * 5 + j * j) % 6] for j in range(12))) for i in range(900)]
+    d = spark.createDataFrame(rows, "doc_id long, t string").repartition(4, "doc_id")
+    assert EM.w2v_partitions(0) == 1 and EM.w2v_partitions(EM.TOKENS_A_PARTITION + 1) == 2
+    for parts in (1, 4):
+        m = EM.train_word2vec(d, "t", vectorSize=16, numPartitions=parts)
+        assert m.getVectors().count() == 18
+        for g in groups:
+            near = [r.word for r in m.findSynonyms(g[0], 5).collect()]
+            assert sum(w in g for w in near) >= 4
+
+
 def test_stem_and_lemma_jobs(spark):
     d = spark.createDataFrame([(1, "Running dogs ran"), (2, ""), (3, "the cats")], "doc_id long, t string")
     s = {r.doc_id: r.stem for r in LX.stem_text(d, "t").collect()}
@@ -46,3 +74,10 @@ def test_weighted_vectors_zero_when_no_shared_term(spark):
     out = {r.doc_id: r.vec for r in EM.weighted_doc_vectors(docs, long, vecs, 2).collect()}
     assert out[1] == pytest.approx([0.5, 0.5])
     assert out[2] == [0.0, 0.0]
+
+
+def test_dictionary_with_several_lemmas_takes_the_least(spark):
+    d = spark.createDataFrame([(1, "Dogs dogs ran")], "doc_id long, t string")
+    dic = spark.createDataFrame([("DOGS", "hound"), ("dogs", "dog"), ("cats", "cat")], "form string, lemma string")
+    assert [r.processed_text for r in LX.preprocess_for_ml(d, "t", dictionary=dic).collect()] == ["dog dog ran"]
+    assert [r.processed_text for r in LX.preprocess_for_ml(d, "t", use_lemma=False).collect()] == ["dog dog ran"]
