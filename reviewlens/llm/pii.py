@@ -37,8 +37,12 @@ OCCURRENCE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]
 
 #: Punctuation that is no part of an instance at its edges.
 EDGES = ".,;:!?()[]{}<>\"'`"
-#: Words before or after an instance that are a pattern, at most.
-CONTEXT = 3
+#: Words before or after an instance that are a pattern, at least and at most.  One word alone is no evidence; one on each side is.
+LEAST, CONTEXT = 2, 3
+#: Patterns trusted from the start: a name for a secret right before the instance (behind it "=" or ":"), or a name for a
+#: number before one of many digits.
+FRAMES = (r"^[19]<= (token|password|passwd|secret|api_key|apikey|access_key|auth)( |$)"
+          r"|^9<(token|password|passwd|secret|api_key|apikey|access_key|ssn|passport|iban) ")
 #: Instances with so many digits, or an at sign, mean the same wherever they are.
 DISTINCT_DIGITS = 5
 
@@ -142,7 +146,9 @@ def with_seeds(d: DataFrame) -> DataFrame:
     none = F.lit(None).cast("bigint")
     in_turn = Window.partitionBy("doc_id", "h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     back = Window.partitionBy("doc_id", "h").orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
-    # Lead and trail: punctuation at the edges.  Pieces side by side take the words before the first and after the last.
+    run = Window.partitionBy("doc_id", "h", "run")
+    # Lead and trail: punctuation at the edges.  Pieces side by side take the words before the first and after the last, and
+    # are one instance: a number written in four pieces counts once.
     lead = F.length("o.value") - F.length(F.ltrim("o.value", F.lit(EDGES)))
     bare = F.btrim("o.value", F.lit(EDGES))
     words = one.select("doc_id", "h", F.posexplode("occ").alias("i", "o")).withColumns({
@@ -151,16 +157,20 @@ def with_seeds(d: DataFrame) -> DataFrame:
         "after": F.last("o.after", ignorenulls=True).over(back)})
     words = words.withColumns({
         "start": F.col("stop") - F.length("o.value") + lead,
-        "digits": F.sum(n_digits(F.col("o.value"))).over(Window.partitionBy("doc_id", "h", "run"))}).select(
-        "doc_id", "h", "start", (F.col("start") + F.length(bare)).alias("end"), bare.alias("value"), "before", "after", "digits",
+        "at_sign": F.max(F.contains("o.value", F.lit("@"))).over(run), "pieces": F.count(F.lit(1)).over(run),
+        "digits": F.sum(n_digits(F.col("o.value"))).over(run), "turn": F.col("i") - F.min("i").over(run)})
+    whole = F.hex(F.bit_xor(F.xxhash64(bare, "turn")).over(run))
+    words = words.withColumn("instance", F.when(F.col("pieces") == 1, bare).otherwise(F.concat_ws(" ", "pieces", whole))).select(
+        "doc_id", "h", "start", (F.col("start") + F.length(bare)).alias("end"), bare.alias("value"), "instance",
+        (F.col("at_sign") | (F.col("digits") >= DISTINCT_DIGITS)).alias("distinct"), "before", "after", "digits",
         (F.col("start") + F.length(bare)).alias("at"), F.lit(0).alias("kind"), none.alias("reach"))
     spans = one.select("doc_id", "h", F.inline(F.concat("email", "ip", "card", "phone"))).select(
         "*", F.lit(None).cast("array<string>").alias("before"), F.lit(None).cast("array<string>").alias("after"),
-        none.alias("digits"), F.col("start").alias("at"), F.lit(1).alias("kind"), F.col("end").alias("reach"))
+        none.alias("digits"), F.lit(None).cast("string").alias("instance"), F.lit(None).cast("boolean").alias("distinct"), F.col("start").alias("at"), F.lit(1).alias("kind"), F.col("end").alias("reach"))
     so_far = Window.partitionBy("doc_id", "h").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     both = words.unionByName(spans).withColumn(
         "seed", F.coalesce(F.max("reach").over(so_far) > F.col("start"), F.lit(False)))
-    return both.where("kind = 0").select("doc_id", "h", "start", "end", "value", "seed",
+    return both.where("kind = 0").select("doc_id", "h", "start", "end", "value", "instance", "distinct", "seed",
                                          patterns(F.col("value"), F.col("digits"), F.col("before"), F.col("after")).alias("patterns"))
 
 
@@ -168,37 +178,36 @@ def n_digits(value: Column) -> Column:
     return F.length(F.regexp_replace(value, "[^0-9]", ""))
 
 
-def distinctive(value: Column) -> Column:
-    return F.contains(value, F.lit("@")) | (n_digits(value) >= DISTINCT_DIGITS)
-
-
 def patterns(value: Column, digits: Column, before: Column, after: Column) -> Column:
     """Coarse type (at sign, many digits, few; ``digits`` are those of all pieces side by side), side and words of each pattern."""
     kind = F.when(F.contains(value, F.lit("@")), "@").when(digits >= DISTINCT_DIGITS, "9").otherwise("1")
     one = [F.when(F.size(side) >= n, F.concat(kind, F.lit(mark), F.array_join(F.slice(side, 1, n), " ")))
-           for mark, side in (("<", before), (">", after)) for n in range(1, CONTEXT + 1)]
+           for mark, side in (("<", before), (">", after)) for n in range(LEAST, CONTEXT + 1)]
+    one.append(F.when((F.size(before) > 0) & (F.size(after) > 0), F.concat(
+        kind, F.lit("<"), F.element_at(before, 1), F.lit(" > "), F.element_at(after, 1))))
     return F.array_compact(F.array(*one))
 
 
 def bootstrap(occ: DataFrame, rounds: int = ROUNDS, min_known: int = MIN_KNOWN, min_share: float = MIN_SHARE):
-    """(trusted patterns, distinctive instances that they hold and no seed names): columns ``pattern`` and ``value``.
+    """(trusted patterns, distinctive instances that they hold and no seed names): columns ``pattern`` and ``instance``.
 
-    ``occ`` has one row an occurrence: ``patterns, value, seed`` (true where a base span overlaps it).  The graph's edges
-    are distinct (pattern, instance) pairs, so a frequent pair or pattern is aggregated before it is shuffled.
+    ``occ`` has one row an occurrence: ``patterns, instance, distinct`` (whether the instance means the same wherever it
+    is), ``seed`` (true where a base span overlaps it).  The graph's edges are distinct (pattern, instance) pairs, so copies
+    of a text count once and a frequent pair or pattern is aggregated before it is shuffled.  ``FRAMES`` are trusted as they are.
     """
-    edges = occ.select(F.explode("patterns").alias("pattern"), "value", "seed")
-    edges = stage(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
-    seeds = occ.where(F.col("seed") & distinctive(F.col("value"))).select("value").distinct()
+    edges = occ.select(F.explode("patterns").alias("pattern"), "instance", "distinct", "seed")
+    edges = stage(edges.groupBy("pattern", "instance").agg(F.max("distinct").alias("distinct"), F.max("seed").alias("seed")), "edges")
+    seeds = occ.where(F.col("seed") & F.col("distinct")).select("instance").distinct()
     seeds = known = stage(seeds.withColumn("known", F.lit(True)), "seeds")
     trusted = edges.select("pattern").limit(0)
     for _ in range(rounds):
-        scored = edges.join(known, "value", "left").groupBy("pattern").agg(
+        scored = edges.join(known, "instance", "left").groupBy("pattern").agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("seed") | F.col("known").isNotNull()).alias("n_known"))
-        trusted = stage(scored.where((F.col("n_known") >= min_known) & (F.col("n_known") >= min_share * F.col("n")))
-                        .select("pattern"), "trusted")
-        held = edges.where(distinctive(F.col("value"))).join(trusted, "pattern").select("value")
-        known = stage(seeds.select("value").union(held).distinct().withColumn("known", F.lit(True)), "known")
-    return trusted, known.join(seeds.select("value"), "value", "left_anti").select("value")
+        good = (F.col("n_known") >= min_known) & (F.col("n_known") >= min_share * F.col("n"))
+        trusted = stage(scored.where(good | F.col("pattern").rlike(FRAMES)).select("pattern"), "trusted")
+        held = edges.where("distinct").join(trusted, "pattern").select("instance")
+        known = stage(seeds.select("instance").union(held).distinct().withColumn("known", F.lit(True)), "known")
+    return trusted, known.join(seeds.select("instance"), "instance", "left_anti").select("instance")
 
 
 def find(df: DataFrame, **limits) -> DataFrame:
@@ -217,7 +226,7 @@ def find(df: DataFrame, **limits) -> DataFrame:
     trusted, new = bootstrap(occ, **limits)
     rest, place = occ.where("not seed"), ["doc_id", "h", "start", "end", "value"]
     held = rest.select(*place, F.explode("patterns").alias("pattern")).join(trusted, "pattern").select(*place)
-    found = (held.union(rest.join(new, "value").select(*place)).groupBy("doc_id", "h")
+    found = (held.union(rest.join(new, "instance").select(*place)).groupBy("doc_id", "h")
              .agg(F.array_sort(F.collect_set(F.struct("start", "end", "value"))).cast(_SPANS).alias("context")))
     f = found.withColumnsRenamed({"doc_id": "fd", "h": "fh"})
     out = base.join(f, F.col("doc_id").eqNullSafe(F.col("fd")) & (F.col("h") == F.col("fh")), "left")
