@@ -26,10 +26,14 @@ from reviewlens.operators import rank as R
 
 def linear_attribution(long: DataFrame, weights: DataFrame, n_rows: int, key: str = "doc_id",
                        top: int = 20) -> DataFrame:
-    """Mean |phi| per feature for one class from (key, index, value) and (index, weight)."""
+    """Mean |phi| per feature for one class from (key, index, value) and (index, weight).
+
+    There are at most as many indices as weights (a model's slots, on the driver already), so their statistics are
+    broadcast and the rows of ``long`` stay where they are.
+    """
     st = long.groupBy("index").agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("df"))
     mean = F.col("s") / F.lit(n_rows)
-    j = long.join(st.select("index", mean.alias("mean")), "index")
+    j = long.join(F.broadcast(st.select("index", mean.alias("mean"))), "index")
     nz = j.groupBy("index").agg(F.sum(F.abs(F.col("value") - F.col("mean"))).alias("nz"))
     out = (st.join(nz, "index").join(weights, "index")
            .select("index", F.col("weight"),
