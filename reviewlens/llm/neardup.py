@@ -80,22 +80,77 @@ def _sign(shingle: int):
     return run
 
 
-def _tokens(shingle: int):
-    """A row for each shingle ``s`` of a text, with the other columns and the size ``n`` of its set."""
+def _sets(shingle: int):
+    """The texts' sets as arrays ``s``, with the other columns."""
     def run(batches):
         for batch in batches:
             for part in parts_of(batch, max_bytes=1 << 20):
                 sets = shingle_sets(part.column("text"), shingle)
-                sizes = np.array([len(s) for s in sets], np.int64)
-                at = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c).take(at) for c in ("node", "root", "outside")],
-                     pa.array(np.repeat(sizes, sizes)), pa.array(flat)], ["node", "root", "outside", "n", "s"])
+                    [*[part.column(c) for c in ("node", "root", "outside")],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["node", "root", "outside", "s"])
 
     return run
 
 
+def _slot_counts(slots: int):
+    """``slot, n``: shingles of the task's sets by hashed slot, one row a slot that has any."""
+    def run(batches):
+        seen = np.zeros(slots, np.int64)
+        for batch in batches:
+            flat = batch.column("s").flatten().to_numpy()
+            seen += np.bincount(flat & (slots - 1), minlength=slots)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["slot", "n"])
+
+    return run
+
+
+def _heads(df: np.ndarray):
+    """A row for each shingle ``s`` of a set's head, with its place ``at`` in the order of (slot's count, s) and the set's size ``n``.
+
+    A set of n must share one of its first n - ceil(0.8 n) + 1 with any similar set, whatever the order, as long as it is
+    one for all sets.
+    """
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("s")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            rows, at, out = [], [], []
+            for i in range(batch.num_rows):
+                s = flat[ends[i]:ends[i + 1]]
+                head = s[np.lexsort((s, df[s & (len(df) - 1)]))[:len(s) - -(-len(s) * SIMILAR // 100) + 1]]
+                rows.append(np.full(len(head), i))
+                at.append(np.arange(len(head), dtype=np.int32))
+                out.append(head)
+            if not out:
+                continue
+            of = np.concatenate(rows)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(pa.array(of)) for c in ("node", "root", "outside")],
+                 pa.array(np.diff(ends)[of].astype(np.int64)), pa.array(np.concatenate(at)), pa.array(np.concatenate(out))],
+                ["node", "root", "outside", "n", "at", "s"])
+
+    return run
+
+
+def heads(sets: DataFrame) -> DataFrame:
+    """Written ``node, root, outside, n, at, s``: the rarest shingles of every set, as far as a similar set must share one.
+
+    ``sets`` is written, with ``s`` the array of a set.  How rare a shingle is goes by its hashed slot: 2^16 numbers, up to
+    2^20 where there are more shingles, are all that the driver sees.  Shingles are ordered where their set is, so only heads move.
+    """
+    total = sets.agg(F.sum(F.size("s").cast("bigint"))).first()[0] or 0
+    slots = 1 << min(max((total // 32).bit_length(), 16), 20)
+    counted = sets.select("s").mapInArrow(_slot_counts(slots), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    df = np.zeros(slots, np.int64)
+    rows = counted.toArrow()
+    df[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return stage(sets.mapInArrow(_heads(df), "node binary, root binary, outside boolean, n bigint, at int, s bigint"), "heads")
+
+
 def estimate(x: Column, y: Column) -> tuple[Column, Column]:
     """Collision-corrected Jaccard estimate of two sketches, and its standard error at the threshold."""
     def field(v, q):
@@ -163,14 +218,9 @@ def rest_pairs(members: DataFrame, label: DataFrame, texts: DataFrame, shingle:
     main = parts.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("main"))
     outside = (large.join(main, ["band", "key"]).groupBy("node").agg(
         F.max(F.col("root") != F.col("main.root")).alias("outside"), F.min("root").alias("root")))
-    tokens = outside.join(texts.withColumnRenamed("id", "node"), "node").mapInArrow(
-        _tokens(shingle), "node binary, root binary, outside boolean, n bigint, s bigint")
-    tokens = stage(tokens, "tokens")
-    counts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(counts, "s").withColumn(
-        "at", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")) - 1)
-    # A set of n must share one of its first n - ceil(0.8 n) + 1 with any similar set.
-    head = stage(ranked.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * SIMILAR / 100)), "heads")
+    sets = stage(outside.join(texts.withColumnRenamed("id", "node"), "node").mapInArrow(
+        _sets(shingle), "node binary, root binary, outside boolean, s array<bigint>"), "sets")
+    head = heads(sets)
     x = head.where("outside").select("s", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"),
                                      F.col("at").alias("pa"))
     y = head.select("s", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"),
@@ -180,7 +230,7 @@ def rest_pairs(members: DataFrame, label: DataFrame, texts: DataFrame, shingle:
     fits = (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need) & (F.col("ra") != F.col("rb"))
     in_large = x.join(y, "s").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = stage(in_small.union(in_large).distinct(), "pairs")
-    drop(m, tokens, head)
+    drop(m, sets, head)
     return pairs
 
 
