@@ -44,6 +44,53 @@ def test_word2vec_partitions_keep_neighbours(spark):
             assert sum(w in g for w in near) >= 4
 
 
+def test_word_vectors_are_rows_and_agree_between_runs(spark):
+    d = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c a{i % 3}" + " rare" * (i == 3)) for i in range(200)] + [(900, ""), (901, None)],
+                              "doc_id long, t string").repartition(5)
+    m = EM.train_word2vec(d, "t", vectorSize=8, numPartitions=3)
+    plan = m.getVectors()._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "LocalTableScan" not in plan  # no vector came from the driver
+    vec = {r.word: r.vector for r in m.table.collect()}
+    assert set(vec) == {*(f"a{i}" for i in range(7)), *(f"b{i}" for i in range(5)), "c"}
+    assert all(len(v) == 8 and any(v) for v in vec.values())
+    again = EM.train_word2vec(d.repartition(2), "t", vectorSize=8, numPartitions=3)
+    assert {r.word: r.vector for r in again.table.collect()} == vec
+    assert EM.train_word2vec(d.where("doc_id > 800"), "t").getVectors().count() == 0
+    assert EM.w2v_partitions(10 ** 9, 12) == 252 and EM.w2v_partitions(10 ** 6, 12) == 4
+
+
+def test_averages_weigh_by_count_over_any_batches(spark):
+    import numpy as np
+    rows = [(p, f"w{w}", p + 1, 0, np.array([w, p], np.float32).tobytes()) for w in range(5) for p in range(w + 1)]
+    d = spark.createDataFrame(rows, "part int, word string, n long, h long, vec binary").coalesce(1).sortWithinPartitions("word")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {r.word: r.vector for r in d.mapInArrow(EM._averaged(2, True), "word string, vector array<float>").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {f"w{w}": [w, sum(p * (p + 1) for p in range(w + 1)) / sum(p + 1 for p in range(w + 1))] for w in range(5)}
+    assert got.keys() == want.keys() and all(got[w] == pytest.approx(want[w]) for w in want)
+
+
+def test_weighted_vectors_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(EM, "ROWS_A_PART", 4)
+    rows = [(i % 17 if i % 11 else None, f"t{i % 13}" + " x" * (i % 10 == 0), (i % 4) / 4) for i in range(150)]
+    rows = list({(k, t): (k, t, w) for k, t, w in rows}.values())
+    vec = {f"t{j}": [float(j), 1.0, -j / 2] for j in range(11)}
+    docs = spark.createDataFrame([(i,) for i in range(19)] + [(3,), (None,)], "doc_id long")
+    long = spark.createDataFrame(rows, "doc_id long, term string, weight double")
+    vecs = spark.createDataFrame(list(vec.items()), "term string, vec array<float>")
+    out = EM.weighted_doc_vectors(docs, long, vecs, 3)
+    assert "Summarizer" not in out._jdf.queryExecution().toString()  # no vector a (document, term) row
+    out = out.collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(map(str, [*range(19), 3, None]))
+    for r in out:
+        mine = [(w, vec[t]) for k, t, w in rows if k is not None and k == r.doc_id and w > 0 and t in vec]
+        total = sum(w for w, _ in mine)
+        want = [sum(w * v[j] for w, v in mine) / total for j in range(3)] if mine else [0.0] * 3
+        assert r.vec == pytest.approx(want, abs=1e-6)
+
+
 def test_stem_and_lemma_jobs(spark):
     d = spark.createDataFrame([(1, "Running dogs ran"), (2, ""), (3, "the cats")], "doc_id long, t string")
     s = {r.doc_id: r.stem for r in LX.stem_text(d, "t").collect()}
