@@ -82,3 +82,31 @@ def test_bayes_fits_of_one_pass_equal_single_fits(spark):
     for name, (part, alpha) in fits.items():
         p = CF.predict_nb(CF.fit_complement_nb(long, lab.where(parts[part][0]), alpha), long, test)
         assert {r.doc_id: r[name] for r in got} == {r.doc_id: r.prediction for r in p.collect()}
+
+
+def test_hashed_entries_stay_where_their_texts_are(spark, monkeypatch):
+    monkeypatch.setattr(FT, "SLOTS", 1 << 10)
+    rows = [(i, "train" if i != 2 else "test", t) for i, t in enumerate(TEXTS)]
+    d = spark.createDataFrame(rows, "doc_id long, split string, text string")
+    fit = F.col("split") == "train"
+    once = FT.hashed_tfidf(d, "text", (1, 2), fit)
+    assert "Exchange" not in plan_of(once)
+    # An empty text more of a document outside ``fit`` changes nothing; a repeated key is one document.
+    twice = FT.hashed_tfidf(d.unionByName(spark.createDataFrame([(2, "test", "")], d.schema)), "text", (1, 2), fit)
+    a, b = ({(r.doc_id, r["index"]): r.value for r in t.collect()} for t in (once, twice))
+    assert len(a) > 10 and a == pytest.approx(b)
+
+
+def test_a_split_writes_its_texts_once(spark, tmp_path, monkeypatch):
+    from reviewlens import session
+    from reviewlens.plans import catalog as K
+    spark.createDataFrame([(i, f"text {i}", "en", "s") for i in range(50)], "doc_id long, text string, lang string, source string"
+                          ).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, i % 3) for i in range(50)], "doc_id long, toxic int, quality int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    seen = []
+    real = session.stage
+    monkeypatch.setattr(session, "stage", lambda df, name: seen.append(name) or real(df, name))
+    sp = K.learn_split(spark, str(tmp_path))
+    assert seen == ["learn-class"]
+    assert {r.split: r["count"] for r in sp.groupBy("split").count().collect()} == {"train": 35, "val": 5, "test": 10}
