@@ -80,3 +80,20 @@ def test_narrow_or_dense_vectors_stay_with_mllib(spark):
     d = spark.createDataFrame(rows, ["doc_id", "label", "features"])
     model = ML.build("random_forest", "classification", 40, numTrees=3).fit(d)
     assert not isinstance(model, FO.SlotForestModel) and model.getNumTrees == 3
+
+
+def test_learners_of_a_representation_share_its_tables(spark, monkeypatch):
+    from reviewlens.plans import catalog as C
+
+    rows = [(i, float(i % 2), Vectors.dense([float(i % 2), float(i % 5)]), "train" if i < 30 else "test") for i in range(40)]
+    d = spark.createDataFrame(rows, ["doc_id", "label", "features", "split"])
+    built = []
+    monkeypatch.setattr(C, "learn_split", lambda *a: d)
+    monkeypatch.setattr(C, "represent", lambda sp, rep, slots: built.append(rep) or sp)
+    monkeypatch.setattr(C, "_REPRESENTED", {}, raising=False)
+    monkeypatch.setattr(C, "_FITTED", {})
+    for name in ("random_forest", "complement_nb"):
+        row = C._fit_one(spark, "x", name, "bow")[1].first()
+        assert (row.model, row.accuracy) == (name, 1.0 if name == "random_forest" else row.accuracy)
+    C._fit_one(spark, "x", "random_forest", "tfidf")
+    assert built == ["bow", "tfidf"]
