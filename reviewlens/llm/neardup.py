@@ -15,7 +15,8 @@ Equal sets are one *node* from the start.  Then, without emitting the pairs with
 4. *Rest, large buckets.*  Members outside the bucket's largest component meet the others by an exact prefix join:
    similar sets share one of their rarest shingles, at a place that the bound on sizes allows.
 
-Pairs pass the collision-corrected estimate (less five standard errors) before they are confirmed on full sets.
+Pairs pass a test of their sizes and the collision-corrected estimate (less five standard errors) before they are confirmed on
+full sets.
 Components of all links are found by least labels and pointer jumping; every step is a written table.
 """
 
@@ -26,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.functions.columns import with_computed
 from reviewlens.session import drop, stage
 
 from .common import arrow_ready, numbered, parts_of, renamed
@@ -151,32 +151,45 @@ def heads(sets: DataFrame) -> DataFrame:
     return stage(sets.mapInArrow(_heads(df), "node binary, root binary, outside boolean, n bigint, at int, s bigint"), "heads")
 
 
-def estimate(x: Column, y: Column) -> tuple[Column, Column]:
-    """Collision-corrected Jaccard estimate of two sketches, and its standard error at the threshold."""
-    def field(v, q):
-        return F.shiftrightunsigned(v, 16 * q).bitwiseAND(F.lit(EMPTY))
+def estimate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Collision-corrected Jaccard estimates of two arrays of sketches (pairs x bands), and their standard errors at the threshold."""
+    x, y = (np.ascontiguousarray(v, np.int64).view(np.uint16) for v in (x, y))
+    same = x == y
+    empty = np.count_nonzero(same & (x == EMPTY), axis=1)
+    used = np.maximum(x.shape[1] - empty, 1)
+    by_chance = 1 / (3 * 2.0 ** MANTISSA)
+    share = (np.count_nonzero(same, axis=1) - empty) / used
+    return (share - by_chance) / (1 - by_chance), np.sqrt(0.16 / used)
 
-    def compared(v, w):
-        total = F.lit(0)
-        for q in range(REGISTERS // BANDS):
-            a, b = field(v, q), field(w, q)
-            total = total + F.when((a == EMPTY) & (b == EMPTY), 0).when(a == b, 1001).otherwise(1)
-        return total
 
-    code = F.aggregate(F.zip_with(x, y, compared), F.lit(0), lambda s, v: s + v)
-    used = F.greatest(code % 1000, F.lit(1))
-    by_chance = 1 / (3 * 2.0 ** MANTISSA)
-    share = F.floor(code / 1000) / used
-    return (share - by_chance) / (1 - by_chance), F.sqrt(F.lit(0.16) / used)
+def _likely(batches):
+    for batch in batches:
+        ba, bb = (batch.column(c).flatten().to_numpy().reshape(-1, BANDS) for c in ("ba", "bb"))
+        est, error = estimate(ba, bb)
+        keep = pa.array(est >= SIMILAR / 100 - 5 * error)
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c).filter(keep) for c in ("a", "b")], pa.array(est).filter(keep)], ["a", "b", "est"])
+
+
+def alike_in_size(x, y) -> Column:
+    """Whether sets of ``x`` and ``y`` shingles can be similar at all."""
+    return 100 * F.least(x, y) >= SIMILAR * F.greatest(x, y)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b, est) whose registers do not rule the similarity out."""
-    left = nodes.select(F.col("node").alias("a"), F.col("bands").alias("ba"))
-    right = nodes.select(F.col("node").alias("b"), F.col("bands").alias("bb"))
-    est, error = estimate(F.col("ba"), F.col("bb"))
-    d = with_computed(pairs.join(left, "a").join(right, "b").select("a", "b", "ba", "bb"), est=est, error=error)
-    return d.where(F.col("est") >= SIMILAR / 100 - 5 * F.col("error")).select("a", "b", "est")
+    """Pairs (a, b, est) whose sizes and registers do not rule the similarity out."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bands").alias("ba"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bands").alias("bb"))
+    d = pairs.join(left, "a").join(right, "b").where(alike_in_size("na", "nb"))
+    return d.select("a", "b", "ba", "bb").mapInArrow(_likely, "a binary, b binary, est double")
+
+
+def linked(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``confirmed`` of pairs that are written first: it reads them several times."""
+    pairs = stage(pairs.select("a", "b").distinct(), "likely")
+    out = confirmed(pairs, texts, shingle, SIMILAR)
+    drop(pairs)
+    return out
 
 
 def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
@@ -194,7 +207,7 @@ def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts:
             F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root", "hub")).alias("main")).where("parts > 1")
         pairs = m.join(main, ["band", "key"]).where(F.col("root") != F.col("main.root")).select(
             F.col("node").alias("a"), F.col("main.hub.node").alias("b")).distinct()
-        found = confirmed(likely(pairs, nodes), texts, shingle, SIMILAR)
+        found = linked(likely(pairs, nodes), texts, shingle)
         if found.isEmpty():
             drop(found)
             continue
@@ -205,13 +218,13 @@ def further_hubs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts:
 
 def rest_pairs(members: DataFrame, label: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """Written candidate pairs between components, from small and from large buckets."""
-    m = with_root(members.select("node", "band", "key", "size"), label, "node", "root")
+    m = with_root(members.select("node", "n", "band", "key", "size"), label, "node", "root")
     mixed_buckets = m.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     m = stage(m.join(mixed_buckets.select("band", "key"), ["band", "key"]), "mixed")
     small = m.where(F.col("size") <= SMALL)
-    one = small.select("band", "key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    two = small.select("band", "key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    in_small = one.join(two, ["band", "key"]).where("a < b and ra <> rb").select("a", "b").distinct()
+    one = small.select("band", "key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+    two = small.select("band", "key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+    in_small = one.join(two, ["band", "key"]).where(F.expr("a < b and ra <> rb") & alike_in_size("na", "nb")).select("a", "b").distinct()
 
     large = m.where(F.col("size") > SMALL)
     parts = large.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -246,15 +259,16 @@ def grouped(df: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame
     signed = stage(docs.withColumn("h", F.xxhash64("text")).mapInArrow(
         _sign(shingle), f"doc_id {kind}, h bigint, n_shingles bigint, node binary, bands array<bigint>"), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    first = signed.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
+    first = signed.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(order.alias("o"), "n_shingles", "bands")).alias("f"))
     nodes = stage(first.select("node", F.col("f.o.doc_id").alias("first_doc"), F.col("f.o.h").alias("h"),
-                               F.col("f.bands").alias("bands")), "nodes")
-
-    bands = nodes.select("node", F.posexplode("bands").alias("band", "key")).where("key <> -1")
-    buckets = bands.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("hub"))
-    members = stage(bands.join(buckets.where("size > 1").select("band", "key", "size", F.col("hub.node").alias("hub")),
-                               ["band", "key"]), "members")
+                               F.col("f.n_shingles").alias("n"), F.col("f.bands").alias("bands")), "nodes")
+
+    bands = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).where("key <> -1")
+    order = F.xxhash64("node", "band")
+    # Numbers alone are aggregated by hashing; the hub's name is looked up in the buckets that are left.
+    buckets = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("lead")).where("size > 1")
+    hub = F.min(F.when(order == F.col("lead"), F.col("node"))).over(Window.partitionBy("band", "key"))
+    members = stage(bands.join(buckets, ["band", "key"]).withColumn("hub", hub).drop("lead"), "members")
     chosen = stage(nodes.join(members.select("node").distinct(), "node"), "chosen")
     keys = stage(chosen.select(F.col("node").alias("id"), F.col("first_doc").alias("doc"), F.col("h").alias("hash")), "keys")
     texts = texts_of(docs, keys, has_repeats(signed))
@@ -263,13 +277,13 @@ def grouped(df: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     best = likely(stars, chosen).groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(
         "a", F.col("best.b").alias("b"))
-    links = confirmed(best, texts, shingle, SIMILAR)
+    links = linked(best, texts, shingle)
     roots = components(links)
     label = stage(with_root(chosen.select("node"), roots, "node", "root").select("node", "root"), "labels")
     drop(links, roots)
     label = further_hubs(members, label, chosen, texts, shingle)
     pairs = rest_pairs(members, label, texts, shingle)
-    more = confirmed(likely(pairs, chosen), texts, shingle, SIMILAR)
+    more = linked(likely(pairs, chosen), texts, shingle)
     label = joined(label, more)
     drop(pairs, more, members, chosen, texts)
     rooted = with_root(nodes.select("node", "first_doc", "h"), label, "node", "root")

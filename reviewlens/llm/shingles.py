@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 from .common import split_words
 
 #: Odd multipliers that keep the first words of a shingle apart; further places go on from the last.
 _PLACES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
+#: Words whose bytes are hashed together.
+HASHED = 1 << 15
+#: bytes.lower() changes A-Z alone.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64)
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers (xor-shift and multiply)."""
@@ -28,14 +32,31 @@ def places(k: int) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """Hashes of words, A-Z in lower case: each byte is scrambled with its place, a word's sum is scrambled again."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    words = words.cast(pa.binary())
+    ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4).astype(np.int64)
+    out = np.zeros(len(words), np.uint64)
+    for first in range(0, len(words), HASHED):
+        at = ends[first:first + HASHED + 1]
+        raw = _LOWER[np.frombuffer(words.buffers()[2], np.uint8, at[-1] - at[0], at[0])]
+        size = np.diff(at)
+        place = np.arange(len(raw)) - np.repeat(at[:-1] - at[0], size)
+        filled = np.flatnonzero(size)  # reduceat gives an empty word the byte behind it
+        sums = np.add.reduceat(mixed((place.astype(np.uint64) << np.uint64(8)) + raw + np.uint64(1)), (at[:-1] - at[0])[filled])
+        out[first + filled] = sums
+    return mixed(out + np.uint64(0xA0761D6478BD642F))
+
+
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of every text's shingles of ``k`` words, A-Z in lower case.
 
     Texts of fewer words have the whole sequence as their only one; texts without words and nulls the empty set.
     """
     words, index, offsets = split_words(texts)
-    # bytes.lower() changes A-Z alone.
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in words.to_pylist()), np.uint64, len(words))
+    hashes = word_hashes(words)
     w = hashes[index] if len(index) else np.zeros(0, np.uint64)
     n, at = len(w), places(k)
     rolled = np.zeros(max(n - k + 1, 0), np.uint64)
@@ -45,7 +66,11 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     out = []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         if b - a >= k:
-            out.append(np.unique(rolled[a:b - k + 1]))
+            s = np.sort(rolled[a:b - k + 1])
+            first = np.empty(len(s), bool)
+            first[0] = True
+            np.not_equal(s[1:], s[:-1], out=first[1:])
+            out.append(s[first])
         elif b > a:
             whole = (w[a:b] * at[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
             out.append(mixed(np.array([whole], np.uint64)))
