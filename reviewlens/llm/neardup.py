@@ -177,10 +177,13 @@ def alike_in_size(x, y) -> Column:
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b, est) whose sizes and registers do not rule the similarity out."""
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bands").alias("ba"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bands").alias("bb"))
-    d = pairs.join(left, "a").join(right, "b").where(alike_in_size("na", "nb"))
+    """Pairs (a, b, est) whose registers do not rule the similarity out, nor their sizes ``n`` where the nodes have them."""
+    sizes = "n" in nodes.columns
+    left = nodes.select(F.col("node").alias("a"), F.col("bands").alias("ba"), *([F.col("n").alias("na")] if sizes else []))
+    right = nodes.select(F.col("node").alias("b"), F.col("bands").alias("bb"), *([F.col("n").alias("nb")] if sizes else []))
+    d = pairs.join(left, "a").join(right, "b")
+    if sizes:
+        d = d.where(alike_in_size("na", "nb"))
     return d.select("a", "b", "ba", "bb").mapInArrow(_likely, "a binary, b binary, est double")
 
 
